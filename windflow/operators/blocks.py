@@ -31,17 +31,27 @@ def so_far(keys: Sequence[str], order: str, ties: Sequence[str] = ()):
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
-def from_earlier_blocks(blocked: DataFrame, keys: Sequence[str],
-                        totals: dict[str, tuple[Column, Callable[[Column], Column]]]) -> DataFrame:
+Totals = dict[str, tuple[Column, Callable[[Column], Column]]]
+
+
+def from_earlier_blocks(blocked: DataFrame, keys: Sequence[str], earlier: Totals,
+                        overall: Totals | None = None) -> DataFrame:
     """Per (keys, block), what all earlier blocks hand over.
 
-    `totals` maps an output name to (aggregate over one block, aggregate over blocks).
+    `earlier` maps an output name to (aggregate over one block, aggregate over blocks); `overall`
+    does the same for outputs that span all blocks of the keys, later ones included.
     """
-    per_block = blocked.groupBy(*keys, BLOCK).agg(*[a.alias(n) for n, (a, _) in totals.items()])
-    earlier = (Window.partitionBy(*keys).orderBy(BLOCK)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    return per_block.select(*keys, BLOCK, *[over(F.col(n)).over(earlier).alias(n)
-                                            for n, (_, over) in totals.items()])
+    overall = overall or {}
+    per_block = blocked.groupBy(*keys, BLOCK).agg(
+        *[a.alias(n) for n, (a, _) in (earlier | overall).items()])
+    before = (Window.partitionBy(*keys).orderBy(BLOCK)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    whole = (Window.partitionBy(*keys).orderBy(BLOCK)
+             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return per_block.select(
+        *keys, BLOCK,
+        *[over(F.col(n)).over(before).alias(n) for n, (_, over) in earlier.items()],
+        *[over(F.col(n)).over(whole).alias(n) for n, (_, over) in overall.items()])
 
 
 def row_index(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] = (),

@@ -80,10 +80,16 @@ def session_average_stream(df: DataFrame, key: str, ts: str, value: str, gap: st
 
 
 def with_stream_time(df: DataFrame, ts: str, partition: str, order: str,
-                     width: int = BLOCK_WIDTH, name: str = "stream_time") -> DataFrame:
-    """`df` with the largest event time seen in its log partition up to and including each row."""
+                     width: int = BLOCK_WIDTH, name: str = "stream_time",
+                     clock: str | None = None) -> DataFrame:
+    """`df` with the largest event time seen in its log partition up to and including each row.
+
+    `clock` names a further column for the largest event time of the whole log partition, which
+    the per-block totals give for nothing.
+    """
     blocked = with_block(df, order, width)
-    before = from_earlier_blocks(blocked, [partition], {"__before": (F.max(ts), F.max)})
+    before = from_earlier_blocks(blocked, [partition], {"__before": (F.max(ts), F.max)},
+                                 {clock: (F.max(ts), F.max)} if clock else None)
     return (blocked.withColumn("__here", F.max(ts).over(so_far([partition], order)))
             .join(before, [partition, BLOCK])
             .withColumn(name, F.greatest("__here", "__before"))
@@ -91,13 +97,14 @@ def with_stream_time(df: DataFrame, ts: str, partition: str, order: str,
 
 
 def mark_late(df: DataFrame, ts: str, partition: str, order: str, size: str,
-              grace: str = "0 seconds", width: int = BLOCK_WIDTH) -> DataFrame:
+              grace: str = "0 seconds", width: int = BLOCK_WIDTH,
+              clock: str | None = None) -> DataFrame:
     """`df` with `window_start`, `window_end`, `stream_time` and `is_late` (batch).
 
     A record is late when its tumbling window, plus `grace`, had closed by stream time as of the
     record itself.
     """
-    timed = with_stream_time(df, ts, partition, order, width)
+    timed = with_stream_time(df, ts, partition, order, width, clock=clock)
     return (timed.withColumn("__w", F.window(ts, size))
             .withColumn("window_start", F.col("__w.start"))
             .withColumn("window_end", F.col("__w.end"))
@@ -118,13 +125,13 @@ def final_windows(df: DataFrame, key: str, ts: str, value: str, partition: str,
 
     Each log partition has its own clock, as each is processed on its own.
     """
-    rows = present(df, key, ts, value)
-    kept = mark_late(rows, ts, partition, order, size, grace, width).filter(~F.col("is_late"))
+    rows = present(df, key, ts, value).select(key, ts, value, partition, order)
+    kept = mark_late(rows, ts, partition, order, size, grace, width, "__clock").filter(~F.col("is_late"))
     windows = (kept.groupBy(partition, key, "window_start", "window_end")
-               .agg(F.sum(value).alias("sum_power"), F.count(value).alias("num_data_points")))
-    clocks = rows.groupBy(partition).agg(F.max(ts).alias("__clock"))
+               .agg(F.sum(value).alias("sum_power"), F.count(value).alias("num_data_points"),
+                    F.max("__clock").alias("__clock")))
     closed = F.col("window_end") + F.expr(interval(grace)) <= F.col("__clock")
-    return (windows.join(clocks, partition).filter(closed).drop("__clock")
+    return (windows.filter(closed).drop("__clock")
             .withColumn("average", F.col("sum_power") / F.col("num_data_points")))
 
 

@@ -24,13 +24,16 @@ class Views:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def readings(self) -> DataFrame:
-        """One reading per event; `offset_id` is the arrival order, `partition_id` the partition."""
+        """One reading per event; `offset_id` is the arrival order, `partition_id` the partition.
+
+        Power comes in whole watts: sums are then exact, whatever order they are added in.
+        """
         return self._table("events").select(
             F.col("event_id").alias("offset_id"),
             F.pmod("user_id", F.lit(4)).cast("int").alias("partition_id"), "ts",
             turbine_key(F.col("user_id")).alias("wind_turbine_id"),
             park_key(F.col("user_id")).alias("wind_park_id"),
-            convert_power(F.col("value"), "kW", "W").alias("current_power"))
+            F.round(convert_power(F.col("value"), "kW", "W")).alias("current_power"))
 
     def late_readings(self) -> DataFrame:
         """The same, with event times up to two hours behind their arrival."""
@@ -127,7 +130,7 @@ SQL = {
         SELECT event_id AS offset_id, CAST(user_id % 4 AS INT) AS partition_id, ts,
                concat('Turbine', user_id) AS wind_turbine_id,
                concat('Windpark', user_id % 5) AS wind_park_id,
-               value * 1000.0::DOUBLE AS current_power
+               round(value * 1000.0::DOUBLE) AS current_power
         FROM events""",
     "late_readings": f"""
         SELECT offset_id, partition_id, wind_turbine_id, wind_park_id, current_power,
