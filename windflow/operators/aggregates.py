@@ -87,9 +87,10 @@ def latest_by_key(df: DataFrame, key: str, order: str | Sequence[str] = "offset"
     rows = present(df, key)
     dead = F.coalesce(tombstone, F.lit(False)) if tombstone is not None else F.lit(False)
     others = [c for c in df.columns if c != key]
-    newest = rows.withColumn("__dead", dead).groupBy(key).agg(
-        F.max_by(F.struct("__dead", *others), by).alias("__row"))
-    return newest.filter(~F.col("__row.__dead")).select(key, *[f"__row.{c}" for c in others])
+    newest = rows.groupBy(key).agg(F.max_by(
+        F.struct(dead.alias("dead"), F.struct(*others).alias("row")), by).alias("__newest"))
+    return (newest.filter(~F.col("__newest.dead"))
+            .select(key, *[F.col(f"__newest.row.{c}") for c in others]))
 
 
 @dataclass(frozen=True)

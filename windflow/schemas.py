@@ -39,6 +39,8 @@ OUTBOX_EVENT = struct_of("aggregatetype STRING, aggregateid STRING, type STRING,
                     "payloadid STRING")
 TOPIC_LOG = struct_of("topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP, "
                  "key STRING, value STRING")
+LEDGER = struct_of("topic STRING, partition INT, offset BIGINT, key STRING, value STRING, "
+                   "txn_state STRING, next_offset BIGINT")
 
 READING_WITH_MASTER_DATA = T.StructType(
     [T.StructField("turbine_data", READING), T.StructField("master_data", MASTER_DATA)])

@@ -19,20 +19,23 @@ SETTINGS = {
     "spark.python.unix.domain.socket.enabled": "true",
 }
 
-TARGET_PARTITION_BYTES = 128 << 20
+SMALL_PARTITION, LARGE_PARTITION = 128 << 20, 1 << 30
+MOST_PARTITIONS = 100_000
 
 
-def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
-    """`SETTINGS` plus a first shuffle width for an input of this size.
+def settings_for(shuffled_bytes: int, cores: int) -> dict[str, str]:
+    """`SETTINGS` plus a first shuffle width for jobs whose largest shuffle moves so many bytes.
 
-    The width keeps one shuffle partition near 128 MiB, at least two per core, so that a task
-    fits in executor memory; adaptive execution merges what turns out too small.
+    Partitions hold 128 MiB, growing up to 1 GiB once there would be more than 100 000 of them
+    (every map task writes a block per partition), and there are at least two per core. Adaptive
+    execution merges what turns out too small and splits what is skewed.
     """
-    width = max(2 * cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+    size = min(max(SMALL_PARTITION, shuffled_bytes // MOST_PARTITIONS), LARGE_PARTITION)
+    width = max(2 * cores, -(-shuffled_bytes // size))
     return SETTINGS | {
         "spark.sql.shuffle.partitions": str(width),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size),
+        "spark.sql.files.maxPartitionBytes": str(size),
     }
 
 

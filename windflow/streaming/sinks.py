@@ -90,7 +90,8 @@ class ChangelogTable:
 
     def upsert(self, rows: DataFrame, batch_id: int, tombstone=None) -> None:
         dead = F.coalesce(tombstone, F.lit(False)) if tombstone is not None else F.lit(False)
-        newest = latest_by_key(rows.withColumn("is_deleted", dead), self.key, self.order)
+        marked = rows.select(*self.schema.names, dead.alias("is_deleted"))
+        newest = latest_by_key(marked, self.key, self.order)
         self.changes.write(newest, batch_id)
 
     def _rows(self, spark: SparkSession) -> DataFrame:
@@ -112,8 +113,3 @@ class ChangelogTable:
         (spark.range(1).select(F.lit(upto).cast("bigint").alias("upto")).coalesce(1)
          .write.mode("append").parquet(f"{self.path}/compacted"))
 
-
-LEDGER = T.StructType([
-    *[f for f in TOPIC_LOG.fields if f.name in ("topic", "key", "value")],
-    T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType()),
-    T.StructField("txn_state", T.StringType()), T.StructField("next_offset", T.LongType())])
