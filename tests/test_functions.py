@@ -31,6 +31,7 @@ def test_murmur2_vectors(spark):
     df = spark.createDataFrame([("21",), ("foobar",), ("abc",), ("",)], "k STRING")
     out = [r[0] for r in df.select(hashing.murmur2(F.col("k"))).collect()]
     assert out[:3] == [-973932308, -790332482, 479470107]
+    assert spark.createDataFrame([(None,)], "k STRING").select(hashing.murmur2(F.col("k"))).first()[0] is None
     # The public vectors of the client library for longer keys.
     df = spark.createDataFrame([("a-little-bit-long-string",), ("a-little-bit-longer-string",),
                                 ("lkjh234lh9fiuh90y23oiuhsafujhadof229phr9h19h89h8",)], "k STRING")

@@ -64,15 +64,26 @@ class Codec:
         return F.to_json(record)
 
 
+def parsed_once(df: DataFrame, struct: Column) -> DataFrame:
+    """`df` with the fields of `struct` as columns, computed once per row.
+
+    A parsed struct in a plain projection would be parsed again for every field and filter that
+    uses it, since the optimizer moves those below the projection. It does not move them below a
+    generator.
+    """
+    return df.select("*", F.inline(F.array(struct)))
+
+
 def decode_json(df: DataFrame, codec: Codec, value: str = "value") -> DataFrame:
-    """`df` with `record` (the typed struct) and `state` in place of the JSON text.
+    """`df` with `record` (the typed struct) and `state` beside the JSON text.
 
     `state` is `ok`, `rejected` (malformed; `value` is kept for the reject output) or `tombstone`
     (null payload). One pass: filter on `state` to split the outputs.
     """
-    parsed = df.withColumn("__parsed", codec.parse(F.col(value)))
+    text = F.col(value)
+    parsed = parsed_once(df, F.struct(codec.parse(text).alias("__parsed")))
     p = F.col("__parsed")
-    state = (F.when(F.col(value).isNull(), F.lit("tombstone"))
+    state = (F.when(text.isNull(), F.lit("tombstone"))
              .when(codec.malformed(p), F.lit("rejected"))
              .otherwise(F.lit("ok")))
     return (parsed.withColumn("state", state)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from windflow.functions.codecs import Codec, decoded
+from windflow.functions.codecs import Codec, decode_json, decoded
 from windflow.operators.aggregates import average_by_key
 from windflow.operators.joins import Joiner, WITH_MASTER_DATA, join_stream_table
 from windflow.operators.ledger import transfer_ledger
@@ -53,11 +53,9 @@ def table_job(log: DataFrame, codec: Codec, table: ChangelogTable, name: str,
               **options) -> StreamingQuery:
     """Keep a keyed table up to date from its changelog topic; a null payload deletes its key."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = batch.withColumn("__p", codec.parse(F.col("value")))
-        good = parsed.filter(F.col("value").isNull() | ~codec.malformed(F.col("__p")))
-        rows = good.select("key", "offset", codec.record(F.col("__p")).alias("__r"),
-                           F.col("value").isNull().alias("__dead"))
-        table.upsert(rows.select("key", "offset", "__r.*", "__dead"), batch_id, F.col("__dead"))
+        good = decode_json(batch, codec).filter(F.col("state") != "rejected")
+        table.upsert(good.select("key", "offset", "record.*", "state"), batch_id,
+                     F.col("state") == "tombstone")
 
     return run_job(log, name, write, **options)
 
