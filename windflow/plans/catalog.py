@@ -32,7 +32,7 @@ def query(name: str, sql: str, *views: str):
     """Register a function of `Views` under `name`, with its checking SQL."""
     def register(build: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
         QUERIES[name] = lambda spark, folder: build(Views(spark, folder))
-        ORACLE[name] = with_views(sql, *views)
+        ORACLE[name] = with_views(sql, *views) if views else sql
         return build
     return register
 

@@ -80,7 +80,11 @@ def maintenance_job(work: DataFrame, identity: list[str], log_out: BatchLog, eve
 
     The events are written first: a reader that takes events only of batches whose log rows are
     committed (`event_out.read` joined with `log_out.manifest`) never sees one without the other.
+    `work` must carry its `date`: a clock read here would give a replayed batch other rows.
     """
+    if "date" not in work.columns:
+        raise ValueError("work reports need a date column")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         log = maintenance_log(batch)
         event_out.write(require_outbox_rows(outbox_events(log, identity)), batch_id)
