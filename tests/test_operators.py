@@ -169,6 +169,15 @@ def test_hopping_windows_overlap(spark):
     assert rows(out, "window_start") == [(at(0),), (at(30),)]
 
 
+@pytest.mark.parametrize("size,slide", [("60 seconds", "15 seconds"), ("50 seconds", "12 seconds"),
+                                        ("7 seconds", "1 second"), ("20 seconds", "20 seconds")])
+def test_panes_give_the_same_hopping_windows(spark, size, slide, monkeypatch):
+    df = timed(spark, [(i, i * 37 % 200, float(i), f"T{i % 2}") for i in range(60)])
+    ours = rows(windows.windowed_average(df, "k", "ts", "v", size, slide))
+    monkeypatch.setattr(windows, "PANES_FROM", 10**9)
+    assert ours == rows(windows.windowed_average(df, "k", "ts", "v", size, slide))
+
+
 @pytest.mark.parametrize("second,sessions", [(10, 1), (10.001, 2)])
 def test_session_gap(spark, second, sessions):
     df = timed(spark, [(0, 0, 1.0), (1, second, 3.0)])

@@ -158,6 +158,20 @@ def test_same_batch_twice_leaves_the_same_rows(spark, tmp_path):
     assert rows(out.read(spark), "topic", "key", "batch_id") == [("a", "x", 7), ("b", "y", 7)]
 
 
+def test_follower_gets_each_committed_batch_once(spark, tmp_path):
+    out = BatchLog(str(tmp_path / "out"), struct_of("topic STRING, key STRING"))
+    frame = lambda *keys: spark.createDataFrame([("a", k) for k in keys], out.schema)
+    got = Collect()
+    follow = lambda: pipelines.follow_job(spark, out, got, checkpoint=str(tmp_path / "cp"))
+    out.write(frame("x", "y"), 0)
+    frame("lost").write.partitionBy("topic").parquet(f"{out.path}/data/batch_id=1")
+    follow()
+    out.write(frame("x", "y"), 0)
+    out.write(frame("z"), 1)
+    follow()
+    assert [sorted(r.key for r in batch) for batch in got.batches] == [["x", "y"], ["z"]]
+
+
 def test_routing_job_feeds_both_topics(spark, tmp_path):
     path = str(tmp_path / "log")
     write_log(spark, path, [reading(0, 0, "T", 9_999.0), reading(1, 1, "T", 10_000.0),

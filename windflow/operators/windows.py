@@ -6,12 +6,13 @@ before the shuffle and a hot key costs one small row per task and window.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from windflow.functions.durations import hours, interval
+from windflow.functions.durations import hours, interval, micros
 from windflow.functions.power import energy_wh, wh_to_mwh
 from windflow.operators.aggregates import present
 from windflow.operators.blocks import BLOCK, BLOCK_WIDTH, from_earlier_blocks, so_far, with_block
@@ -21,20 +22,43 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+# Above so many windows per row, rows are first combined into panes.
+PANES_FROM = 4
+
+
+def _combined(df: DataFrame, keys: list[str], window: Column, total: Column, n: Column) -> DataFrame:
+    return (df.groupBy(*keys, window.alias("window"))
+            .agg(total.alias("sum_power"), n.alias("num_data_points")))
+
+
 def windowed_average(df: DataFrame, key: str | Sequence[str], ts: str, value: str, size: str,
                      slide: str | None = None) -> DataFrame:
     """Sum, number and average per key and window; `slide` makes the windows hop.
 
     Windows are aligned to the epoch and hold `[start, end)`. On a stream, set a watermark on
     `ts` first. The window comes out as the plain columns `window_start` and `window_end`.
+
+    Hopping windows copy each row into every window it is in. In batch, where that is
+    `PANES_FROM` windows or more, rows are first summed up per pane, the longest stretch that all
+    windows are made of, and only panes are copied.
     """
     keys = _keys(key)
-    window = F.window(ts, size, slide) if slide else F.window(ts, size)
-    return (present(df, *keys, value).groupBy(*keys, window.alias("window"))
-            .agg(F.sum(value).alias("sum_power"), F.count(value).alias("num_data_points"))
-            .select(*keys, F.col("window.start").alias("window_start"),
-                    F.col("window.end").alias("window_end"), "sum_power", "num_data_points",
-                    (F.col("sum_power") / F.col("num_data_points")).alias("average")))
+    rows = present(df, *keys, value)
+    total, n = F.sum(value), F.count(value)
+    if slide is None:
+        result = _combined(rows, keys, F.window(ts, size), total, n)
+    elif df.isStreaming or micros(size) < PANES_FROM * micros(slide):
+        result = _combined(rows, keys, F.window(ts, size, slide), total, n)
+    else:
+        pane = f"{math.gcd(micros(size), micros(slide))} microseconds"
+        panes = (_combined(rows, keys, F.window(ts, pane), total, n)
+                 .withColumn("__at", F.col("window.start")).drop("window"))
+        result = _combined(panes, keys, F.window("__at", size, slide), F.sum("sum_power"),
+                           F.sum("num_data_points"))
+    return result.select(
+        *keys, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        "sum_power", "num_data_points",
+        (F.col("sum_power") / F.col("num_data_points")).alias("average"))
 
 
 def energy_per_window(df: DataFrame, key: str | Sequence[str], ts: str, power_in_watts: str,

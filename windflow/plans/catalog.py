@@ -373,6 +373,18 @@ def hopping_average(v: Views) -> DataFrame:
                                               "1 hour", "30 minutes")
 
 
+@query("hopping_panes", """
+SELECT wind_park_id, start AS window_start, start + INTERVAL 2 HOUR AS window_end,
+       sum(current_power) AS sum_power, count(*) AS num_data_points,
+       sum(current_power) / count(*) AS average
+FROM (SELECT *, time_bucket(INTERVAL 15 MINUTE, ts) - k * INTERVAL 15 MINUTE AS start
+      FROM readings, range(8) AS steps(k))
+GROUP BY wind_park_id, start""", "readings")
+def hopping_panes(v: Views) -> DataFrame:
+    return windows.windowed_average(v.readings(), "wind_park_id", "ts", "current_power", "2 hours",
+                                    "15 minutes")
+
+
 @query("session_average", """
 , marked AS (
   SELECT *, coalesce(ts > lag(ts) OVER (PARTITION BY wind_turbine_id ORDER BY ts) + INTERVAL 1 HOUR, true)

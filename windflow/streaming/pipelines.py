@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -49,6 +49,19 @@ def transfers_job(log: DataFrame, out: BatchLog, name: str = "transactions-trans
     return run_job(log, name, write, **options)
 
 
+def follow_job(spark: SparkSession, log: BatchLog, write: BatchFunction, name: str = "follower",
+               **options) -> StreamingQuery:
+    """Consume a `BatchLog` as a stream: each committed batch once, uncommitted ones never.
+
+    Only the small commit files are streamed; the rows are then read from the folders of the
+    batches they name.
+    """
+    def deliver(commits: DataFrame, batch_id: int) -> None:
+        write(log.read(commits.sparkSession, commits), batch_id)
+
+    return run_job(log.stream_manifest(spark), name, deliver, **options)
+
+
 def table_job(log: DataFrame, codec: Codec, table: ChangelogTable, name: str,
               **options) -> StreamingQuery:
     """Keep a keyed table up to date from its changelog topic; a null payload deletes its key."""

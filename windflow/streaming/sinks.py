@@ -37,14 +37,20 @@ class BatchLog:
         self.path, self.schema, self.partition_by = path.rstrip("/"), schema, tuple(partition_by)
 
     def write(self, rows: DataFrame, batch_id: int, source: DataFrame | None = None) -> None:
-        """Write and commit one batch.
+        """Write and commit one batch, unless it is committed already.
 
         `source` is the micro-batch the rows come from; its next offsets are committed with them.
         """
+        if self.is_committed(rows.sparkSession, batch_id):
+            return
         (rows.select(*self.schema.names).write.mode("overwrite").partitionBy(*self.partition_by)
          .parquet(f"{self.path}/data/batch_id={batch_id}"))
         self.commit(rows.sparkSession, batch_id, source)
 
+    def is_committed(self, spark: SparkSession, batch_id: int) -> bool:
+        mark = read_if_there(spark, f"{self.path}/manifest/batch_id={batch_id}", _POSITIONS)
+        return not mark.isEmpty()
+
     def commit(self, spark: SparkSession, batch_id: int, source: DataFrame | None) -> None:
         mark = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name)
                                        for f in _POSITIONS.fields])
@@ -54,22 +60,27 @@ class BatchLog:
                 (F.max("offset") + 1).alias("next_offset")))
         mark.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/batch_id={batch_id}")
 
+    _MANIFEST = T.StructType([*_POSITIONS.fields, T.StructField("batch_id", T.LongType())])
+
     def manifest(self, spark: SparkSession) -> DataFrame:
-        return read_if_there(spark, f"{self.path}/manifest",
-                             T.StructType([*_POSITIONS.fields,
-                                           T.StructField("batch_id", T.LongType())]))
+        return read_if_there(spark, f"{self.path}/manifest", self._MANIFEST)
+
+    def stream_manifest(self, spark: SparkSession) -> DataFrame:
+        """The commits as a stream: the batches that a follower has yet to take."""
+        return spark.readStream.schema(self._MANIFEST).parquet(f"{self.path}/manifest")
 
     def positions(self, spark: SparkSession) -> DataFrame:
         """The committed input position per topic and partition."""
         return (self.manifest(spark).filter(F.col("topic").isNotNull())
                 .groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset")))
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The rows of all committed batches, with their `batch_id`."""
+    def read(self, spark: SparkSession, commits: DataFrame | None = None) -> DataFrame:
+        """The rows of all committed batches, or of those in `commits`, with their `batch_id`."""
         data = read_if_there(spark, f"{self.path}/data",
                              T.StructType([*self.schema.fields,
                                            T.StructField("batch_id", T.LongType())]))
-        return data.join(self.manifest(spark).select("batch_id").distinct(), "batch_id", "left_semi")
+        commits = self.manifest(spark) if commits is None else commits
+        return data.join(commits.select("batch_id").distinct(), "batch_id", "left_semi")
 
 
 class ChangelogTable:
