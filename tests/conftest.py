@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         "spark.sql.session.timeZone": SETTINGS["spark.sql.session.timeZone"]})
     session.sparkContext.setLogLevel("ERROR")
-    shared_folder(session, fallback=str(tmp_path_factory.mktemp("checkpoints")))
+    shared_folder(session, fallback=lambda: str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
 

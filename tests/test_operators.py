@@ -52,6 +52,17 @@ def test_place_puts_records_into_their_partition(spark):
     assert placed.filter("at <> partition").count() == 0
 
 
+def test_heavy_producers_by_key(spark):
+    df = spark.createDataFrame([("HeavyProducer_1",), ("Turbine1",), (None,)], "key STRING")
+    out = {r.key: r.partition for r in routing.partition_heavy(df, 12).collect()}
+    assert out["HeavyProducer_1"] < 4 <= out["Turbine1"] and out[None] is None
+    assert routing.unkeyed(df).count() == 1
+    with pytest.raises(ValueError):
+        routing.partition_heavy(df, 4)
+    with pytest.raises(ValueError):
+        routing.partition_heavy(df.select(F.lit(1).alias("key")), 12)
+
+
 def test_require_fails_the_job(spark):
     df = readings(spark, [(0, "T", 2.0)])
     assert routing.require(df, F.col("current_power") > 1, "low").count() == 1

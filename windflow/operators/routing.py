@@ -6,7 +6,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from windflow.functions.hashing import HEAVY_PARTITIONS, heavy_partition
 from windflow.schemas import TOPICS
 
 # Fixed value: the power, in watts, that separates little from much wind.
@@ -69,6 +71,22 @@ def partition_by(df: DataFrame, partitioner: Callable[[Column], Column], key: st
     return df.withColumn("partition", partitioner(F.col(key)).cast("int"))
 
 
+def partition_heavy(df: DataFrame, partitions: int, heavy: int = HEAVY_PARTITIONS,
+                    key: str = "key", hash_name: str = "md5") -> DataFrame:
+    """Set `partition`: heavy producers to the first `heavy` partitions, others to the rest.
+
+    Keys must be text. Records without a key get no partition: see `unkeyed`.
+    """
+    if not isinstance(df.schema[key].dataType, T.StringType):
+        raise ValueError("keys must be text")
+    return partition_by(df, lambda k: heavy_partition(k, partitions, heavy, hash_name=hash_name), key)
+
+
+def unkeyed(df: DataFrame, key: str = "key") -> DataFrame:
+    """The records a keyed operator drops: the reject output for missing keys."""
+    return df.filter(F.col(key).isNull())
+
+
 def place(df: DataFrame, partitions: int, partition: str = "partition") -> DataFrame:
     """Move every record into the Spark partition that its `partition` column names."""
     return df.repartitionById(partitions, F.col(partition))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windflow.functions.codecs import Codec, decode_json, decoded, encode_records as to_records
-from windflow.functions.hashing import default_partition, heavy_partition as heavy
+from windflow.functions.hashing import default_partition
 from windflow.functions.power import convert_power as rescale
 from windflow.functions.power import clamp, power_curve as curve
 from windflow.functions.text import turbine_key
@@ -252,7 +252,7 @@ SELECT offset_id, record_key,
 FROM (SELECT *, CAST('0x' || substr(md5(record_key), 1, 8) AS BIGINT) AS h FROM keyed_producers)""",
        "keyed_producers")
 def heavy_partition(v: Views) -> DataFrame:
-    return routing.partition_by(v.keyed_producers(), lambda key: heavy(key, 12), "record_key")
+    return routing.partition_heavy(v.keyed_producers(), 12, key="record_key")
 
 
 # Murmur2 over the key's bytes, four at a time, lowest byte first; products fit in 64 bits.

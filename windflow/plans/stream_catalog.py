@@ -1,8 +1,8 @@
 """Registered queries that run as streaming jobs, checked by the SQL of their batch forms.
 
-Each writes the tables it needs as a topic log in the shared folder, in three steps of ten days,
-and then runs a job over it that takes one file per micro-batch, so that state and positions are
-handed from batch to batch. What the job wrote is the result.
+Each writes the tables it needs as a topic log in the shared folder, in steps, and runs its job
+after each: the job stops and resumes at its checkpoint, and hands state and positions from one
+micro-batch to the next. What the job wrote is the result.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windflow.functions.codecs import Codec, decoded
@@ -34,53 +34,51 @@ class _Run:
 
     def __init__(self, v: Views):
         self.spark = v.spark
-        named = v.spark.conf.get("spark.checkpoint.dir", None)
-        shared = shared_folder(v.spark, None if named else tempfile.mkdtemp(prefix="windflow-"))
+        shared = shared_folder(v.spark, fallback=lambda: tempfile.mkdtemp(prefix="windflow-"))
         self.path = f"{shared}/queries/{uuid.uuid4().hex}"
         self.log = f"{self.path}/log"
         self.checkpoint = f"{self.path}/job"
 
     def append(self, topic: str, records: DataFrame, key: str | None, codec: Codec) -> None:
-        """Append records with `partition_id`, `offset_id` and `ts`; a log partition stays in order."""
+        """Append records that carry `partition_id`, `offset_id` and `ts` as topic-log rows."""
         text_key = F.col(key) if key else F.lit(None).cast("string")
-        log = records.select(
+        topic_log.append_topic_log(records.select(
             F.lit(topic).alias("topic"), F.col("partition_id").alias("partition"),
             F.col("offset_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
-            text_key.alias("key"), codec.encode().alias("value"))
-        topic_log.append_topic_log(log.repartition("partition").sortWithinPartitions("offset"), self.log)
-
-    def append_in_steps(self, topic: str, records: DataFrame, key: str, codec: Codec,
-                        arrival: str = "ts") -> None:
-        first, second = (F.expr(f"TIMESTAMP_NTZ '{s}'") for s in STEPS)
-        at = F.col(arrival)
-        for part in (at < first, (at >= first) & (at < second), at >= second):
-            self.append(topic, records.filter(part), key, codec)
+            text_key.alias("key"), codec.encode().alias("value")), self.log)
 
     def stream(self, topic: str) -> DataFrame:
-        return topic_log.stream_topics(self.spark, self.log, [topic], max_files=1)
+        return topic_log.stream_topics(self.spark, self.log, [topic])
+
+
+def _periods(arrival: str) -> list[Column]:
+    """Conditions that cut the month into three parts by time of arrival."""
+    first, second = (F.expr(f"TIMESTAMP_NTZ '{s}'") for s in STEPS)
+    at = F.col(arrival)
+    return [at < first, (at >= first) & (at < second), at >= second]
 
 
 @query("stream_turbine_average", ORACLE["turbine_average"])
 def stream_turbine_average(v: Views) -> DataFrame:
-    run = _Run(v)
-    run.append_in_steps(TOPICS["readings"], v.readings(), "wind_turbine_id", Codec(READING))
+    run, codec = _Run(v), Codec(READING)
     out = BatchLog(f"{run.path}/out", struct_of(
         "wind_turbine_id STRING, sum_power DOUBLE, num_data_points BIGINT, average DOUBLE"), ())
-    averages_job(decoded(run.stream(TOPICS["readings"]), Codec(READING)), "wind_turbine_id", out.write,
-                 checkpoint=run.checkpoint)
+    for period in _periods("ts"):
+        run.append(TOPICS["readings"], v.readings().filter(period), "wind_turbine_id", codec)
+        averages_job(decoded(run.stream(TOPICS["readings"]), codec), "wind_turbine_id", out.write,
+                     checkpoint=run.checkpoint)
     return latest_by_key(out.read(v.spark), "wind_turbine_id", "batch_id").drop("batch_id")
 
 
 @query("stream_final_windows", ORACLE["final_windows"])
 def stream_final_windows(v: Views) -> DataFrame:
-    run = _Run(v)
-    # Steps follow arrival, not event time, which lags behind it.
-    arrived = v.readings().select("offset_id", F.col("ts").alias("arrival"))
-    late = v.late_readings().join(arrived, "offset_id")
-    run.append_in_steps(TOPICS["readings"], late, "wind_turbine_id", Codec(READING), "arrival")
+    run, codec = _Run(v), Codec(READING)
     job = ExactFinalWindows(f"{run.path}/state", "wind_turbine_id", "timestamp", "current_power", "1 hour")
-    run_job(decoded(run.stream(TOPICS["readings"]), Codec(READING)), "final-windows", job,
-            checkpoint=run.checkpoint)
+    # Steps follow arrival, not event time, which lags behind it.
+    for period in _periods("arrival"):
+        run.append(TOPICS["readings"], v.late_readings("arrival").filter(period), "wind_turbine_id", codec)
+        run_job(decoded(run.stream(TOPICS["readings"]), codec), "final-windows", job,
+                checkpoint=run.checkpoint)
     return job.results(v.spark).select(
         F.col("log_partition").alias("partition_id"), "wind_turbine_id",
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
@@ -90,37 +88,39 @@ def stream_final_windows(v: Views) -> DataFrame:
 
 @query("stream_transfer_ledger", ORACLE["transfer_ledger"])
 def stream_transfer_ledger(v: Views) -> DataFrame:
-    run = _Run(v)
+    run, codec = _Run(v), Codec(TRANSFER)
+    out = BatchLog(f"{run.path}/out", LEDGER)
     transfers = (v.transfers().withColumn("partition_id", F.pmod("offset_id", F.lit(4)).cast("int"))
                  .withColumn("ts", F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'")))
-    for flagged in (True, False):
-        run.append(TOPICS["transfers"], transfers.filter(F.col("is_suspicious") == flagged), None,
-                   Codec(TRANSFER))
-    out = BatchLog(f"{run.path}/out", LEDGER)
-    transfers_job(run.stream(TOPICS["transfers"]), out, checkpoint=run.checkpoint)
+    for flagged in (F.col("is_suspicious"), ~F.col("is_suspicious")):
+        run.append(TOPICS["transfers"], transfers.filter(flagged), None, codec)
+        transfers_job(run.stream(TOPICS["transfers"]), out, checkpoint=run.checkpoint)
     return out.read(v.spark).select(F.col("offset").alias("offset_id"), "topic", "key", "value",
                                     "txn_state", "next_offset")
 
 
 @query("stream_readings_weather", ORACLE["readings_weather"])
 def stream_readings_weather(v: Views) -> DataFrame:
-    run = _Run(v)
+    run, readings = _Run(v), Codec(READING)
     weather = Codec(struct_of("turbine_id INT, wind_speed DOUBLE"))
-    run.append_in_steps(TOPICS["readings"], v.readings(), "wind_turbine_id", Codec(READING))
-    run.append_in_steps(TOPICS["weather"], v.weather().withColumn(
-        "partition_id", F.pmod("turbine_id", F.lit(4))), "wind_turbine_id", weather)
-
-    def side(topic: str, codec: Codec) -> DataFrame:
-        return decoded(run.stream(topic), codec).withWatermark("timestamp", "20 minutes")
-
-    pairs = join_within(side(TOPICS["readings"], Codec(READING)), side(TOPICS["weather"], weather),
-                        "key", "timestamp", "timestamp", "20 minutes")
-    flat = pairs.select(F.col("value.turbine_data.offset").alias("offset_id"),
-                        F.col("key").alias("wind_turbine_id"), "value.turbine_data.current_power",
-                        F.col("value.weather_data.offset").alias("weather_offset_id"),
-                        "value.weather_data.wind_speed")
     out = BatchLog(f"{run.path}/out", struct_of(
         "offset_id BIGINT, wind_turbine_id STRING, current_power DOUBLE, weather_offset_id BIGINT, "
         "wind_speed DOUBLE"), ())
-    run_job(flat, "readings-weather", out.write, checkpoint=run.checkpoint)
+    tables = {TOPICS["readings"]: (v.readings(), readings),
+              TOPICS["weather"]: (v.weather().withColumn(
+                  "partition_id", F.pmod("turbine_id", F.lit(4))), weather)}
+
+    def side(topic: str) -> DataFrame:
+        return decoded(run.stream(topic), tables[topic][1]).withWatermark("timestamp", "20 minutes")
+
+    for period in _periods("ts"):
+        for topic, (records, codec) in tables.items():
+            run.append(topic, records.filter(period), "wind_turbine_id", codec)
+        pairs = join_within(side(TOPICS["readings"]), side(TOPICS["weather"]), "key", "timestamp",
+                            "timestamp", "20 minutes")
+        flat = pairs.select(F.col("value.turbine_data.offset").alias("offset_id"),
+                            F.col("key").alias("wind_turbine_id"), "value.turbine_data.current_power",
+                            F.col("value.weather_data.offset").alias("weather_offset_id"),
+                            "value.weather_data.wind_speed")
+        run_job(flat, "readings-weather", out.write, checkpoint=run.checkpoint)
     return out.read(v.spark).drop("batch_id")

@@ -35,9 +35,12 @@ class Views:
             park_key(F.col("user_id")).alias("wind_park_id"),
             F.round(convert_power(F.col("value"), "kW", "W")).alias("current_power"))
 
-    def late_readings(self) -> DataFrame:
-        """The same, with event times up to two hours behind their arrival."""
-        return self.readings().withColumn(
+    def late_readings(self, arrival: str | None = None) -> DataFrame:
+        """The same, with event times up to two hours behind their arrival, itself kept if named."""
+        readings = self.readings()
+        if arrival:
+            readings = readings.withColumn(arrival, F.col("ts"))
+        return readings.withColumn(
             "ts", F.expr(f"ts - make_dt_interval(0, 0, 0, (offset_id * 7919) % {JITTER_SECONDS})"))
 
     def raw_readings(self) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import SparkSession
 
 # Only what the operators rely on. Shuffle sizing is left to adaptive execution:
@@ -49,16 +51,17 @@ def build_session(app: str, master: str | None = None, **overrides: str) -> Spar
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
+def shared_folder(spark: SparkSession, fallback: Callable[[], str] | None = None) -> str:
     """The folder all executors see, named by the cluster in `spark.checkpoint.dir`.
 
-    `fallback` is used, and set on the session, only where the cluster names none (tests).
+    Where the session names none and runs in one process (tests), `fallback` makes one, which is
+    set on the session. On a cluster a missing name is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if fallback is None:
-        raise ValueError("spark.checkpoint.dir is not set; name a folder every executor can reach")
-    spark.sparkContext.setCheckpointDir(fallback)
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback.rstrip("/")
+    if not named:
+        if fallback is None or not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that every executor can reach")
+        named = fallback()
+        spark.sparkContext.setCheckpointDir(named)
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
