@@ -16,7 +16,6 @@ from windflow.streaming.fold import fold_stream
 from windflow.streaming.jobs import run_job, start_job
 from windflow.streaming.late_windows import ExactFinalWindows
 from windflow.streaming.sinks import BatchLog, ChangelogTable
-from windflow.streaming.table_join import join_table_streams
 
 from helpers import at, rows, write_log
 
@@ -264,8 +263,8 @@ def test_native_final_windows_may_admit_late_rows(spark, tmp_path):
         write_log(spark, path, [reading(o, s, "T", v) for o, s, v in part])
     out = Collect()
     typed = decoded(stream(spark, path), Codec(READING))
-    run_job(windows.final_windows_native(typed, "wind_turbine_id", "timestamp", "current_power", "1 minute"),
-            "native", out, checkpoint=str(tmp_path / "cp"))
+    pipelines.energy_job(typed, out, checkpoint=str(tmp_path / "cp"))
+    assert all(r.energy_wh == r.average / 60 for batch in out.batches for r in batch)
     counts = {r.window_start: r.num_data_points for batch in out.batches for r in batch}
     assert counts[at(0)] == 3 and counts[at(60)] == 1 and at(120) not in counts
 
@@ -310,11 +309,10 @@ def test_stream_stream_join_forgets_old_rows(spark, tmp_path):
     path = str(tmp_path / "log")
     for i in range(6):
         write_log(spark, path, [reading(i, i * 100, "T", 1.0), ("weather-data", 0, i, i * 100, "T", "{}")])
-    a = decoded(stream(spark, path), Codec(READING)).withColumn("key", F.col("wind_turbine_id"))
-    b = stream(spark, path, "weather-data")
-    pairs = joins.join_within(a.withWatermark("timestamp", "0 seconds"), b.withWatermark("timestamp", "0 seconds"),
-                              "key", "timestamp", "timestamp")
-    query = run_job(pairs, "forgetful", Collect(), checkpoint=str(tmp_path / "cp"))
+    out = Collect()
+    query = pipelines.weather_job(decoded(stream(spark, path), Codec(READING)), stream(spark, path, "weather-data"),
+                                  "key", out, checkpoint=str(tmp_path / "cp"))
+    assert sum(len(b) for b in out.batches) == 6
     held = query.lastProgress["stateOperators"][0]["numRowsTotal"]
     assert held < 6, "without both time bounds all twelve rows would stay"
 
@@ -329,13 +327,12 @@ def test_table_streams_joined(spark, tmp_path):
     write_log(spark, left, [("s", 0, 0, 0, "k1", "on"), ("s", 0, 1, 1, "k2", "off"), ("s", 0, 2, 2, "k1", "ON")])
     write_log(spark, right, [("m", 0, 0, 0, "k1", "a")])
     dead = F.col("name").isNull()
-    joined = join_table_streams(changes(spark, left, "s"), changes(spark, right, "m"),
-                                left_tombstone=dead, right_tombstone=dead)
     out = Collect()
 
     def run():
         out.batches.clear()
-        run_job(joined, "tables", out, checkpoint=str(tmp_path / "cp"), output_mode="update")
+        pipelines.status_job(changes(spark, left, "s"), changes(spark, right, "m"), out, status_tombstone=dead,
+                             master_tombstone=dead, checkpoint=str(tmp_path / "cp"))
         return [(r.key, r.turbine_status and r.turbine_status.name, r.master_data and r.master_data.name,
                  r.is_deleted) for b in out.batches for r in b]
 

@@ -61,12 +61,16 @@ def windowed_average(df: DataFrame, key: str | Sequence[str], ts: str, value: st
         (F.col("sum_power") / F.col("num_data_points")).alias("average"))
 
 
+def with_energy(averages: DataFrame, size: str) -> DataFrame:
+    """Windowed averages in watts with the energy of their windows of length `size`."""
+    return (averages.withColumn("energy_wh", energy_wh(F.col("average"), hours(size)))
+            .withColumn("generated_power_in_mwh", wh_to_mwh(F.col("energy_wh"))))
+
+
 def energy_per_window(df: DataFrame, key: str | Sequence[str], ts: str, power_in_watts: str,
                       size: str = "1 minute") -> DataFrame:
     """Energy per key and window: the average power times the window's length."""
-    averages = windowed_average(df, key, ts, power_in_watts, size)
-    return (averages.withColumn("energy_wh", energy_wh(F.col("average"), hours(size)))
-            .withColumn("generated_power_in_mwh", wh_to_mwh(F.col("energy_wh"))))
+    return with_energy(windowed_average(df, key, ts, power_in_watts, size), size)
 
 
 def session_average(df: DataFrame, key: str, ts: str, value: str, gap: str) -> DataFrame:

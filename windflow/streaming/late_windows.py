@@ -18,15 +18,20 @@ from windflow.operators.aggregates import present
 from windflow.operators.blocks import BLOCK_WIDTH
 from windflow.operators.windows import with_stream_time
 from windflow.schemas import struct_of
-from windflow.streaming.sinks import BatchLog, read_if_there
+from windflow.streaming.sinks import BatchLog
+
+
+# A batch reads the state of the one before and replaces its own: three slots are more than enough.
+_SLOTS = 3
 
 
 class ExactFinalWindows:
     """`foreachBatch` function: tumbling sums per key, emitted once, when the window closes.
 
-    Under `path`, batch N leaves `windows/data/batch_id=N`, closed windows apart from open ones,
-    and the clocks. It reads only what batch N - 1 left, so a repeated batch gives the same result.
-    Records of one log partition must arrive in offset order across batches.
+    Under `path`, `windows/slot=N` and `clocks/slot=N` hold the state after a batch, in turns, so
+    the state does not pile up; closed windows go to the `BatchLog` `closed`. A batch reads only
+    what the one before left, so a repeated batch gives the same result. Records of one log
+    partition must arrive in offset order across batches. One `path` belongs to one checkpoint.
     """
 
     def __init__(self, path: str, key: str, ts: str, value: str, size: str,
@@ -35,27 +40,36 @@ class ExactFinalWindows:
         self.path, self.key, self.ts, self.value = path.rstrip("/"), key, ts, value
         self.size, self.grace = size, grace
         self.partition, self.order, self.width = partition, order, width
-        self.windows = BatchLog(f"{self.path}/windows", T.StructType([
+        row = T.StructType([
             T.StructField("log_partition", T.IntegerType()), T.StructField(key, key_type),
             T.StructField("window_start", T.TimestampType()),
             T.StructField("window_end", T.TimestampType()),
             T.StructField("sum_power", T.DoubleType()),
-            T.StructField("num_data_points", T.LongType()),
-            T.StructField("is_closed", T.BooleanType())]), partition_by=("is_closed",))
+            T.StructField("num_data_points", T.LongType())])
+        self.closed = BatchLog(f"{self.path}/closed", row, partition_by=())
+        self._windows = T.StructType([*row.fields, T.StructField("is_closed", T.BooleanType())])
         self._clocks = struct_of("log_partition INT, clock TIMESTAMP")
 
+    def _slot(self, kind: str, batch_id: int) -> str:
+        return f"{self.path}/{kind}/slot={batch_id % _SLOTS}"
+
     def _left_by(self, spark: SparkSession, batch_id: int) -> tuple[DataFrame, DataFrame]:
-        """The open windows and the clocks after batch `batch_id`."""
-        rows = read_if_there(spark, f"{self.path}/windows/data/batch_id={batch_id}",
-                             self.windows.schema)
-        clocks = read_if_there(spark, f"{self.path}/clocks/batch_id={batch_id}", self._clocks)
-        return rows.filter(~F.col("is_closed")), clocks
+        """The open windows and the clocks after batch `batch_id`; none before the first."""
+        if batch_id < 0:
+            return (spark.createDataFrame([], self.closed.schema),
+                    spark.createDataFrame([], self._clocks))
+        windows = spark.read.schema(self._windows).parquet(self._slot("windows", batch_id))
+        return (windows.filter(~F.col("is_closed")).drop("is_closed"),
+                spark.read.schema(self._clocks).parquet(self._slot("clocks", batch_id)))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if self.closed.is_committed(spark, batch_id):
+            return
         open_before, clocks_before = self._left_by(spark, batch_id - 1)
         rows = (present(batch, self.key, self.ts, self.value)
-                .withColumn("log_partition", F.col(self.partition).cast("int")))
+                .withColumn("log_partition", F.col(self.partition).cast("int"))
+                .select("log_partition", self.order, self.key, self.ts, self.value))
         timed = (with_stream_time(rows, self.ts, "log_partition", self.order, self.width)
                  .join(clocks_before, "log_partition", "left")
                  .withColumn("stream_time", F.greatest("stream_time", "clock")))
@@ -66,22 +80,23 @@ class ExactFinalWindows:
                               F.col("__w.end").alias("window_end"))
                  .agg(F.sum(self.value).alias("sum_power"),
                       F.count(self.value).alias("num_data_points")))
-        merged = (open_before.drop("is_closed").unionByName(added)
+        merged = (open_before.unionByName(added)
                   .groupBy("log_partition", self.key, "window_start", "window_end")
                   .agg(F.sum("sum_power").alias("sum_power"),
                        F.sum("num_data_points").alias("num_data_points")))
-        clocks = (clocks_before.unionByName(
-            rows.select("log_partition", F.col(self.ts).alias("clock")))
-            .groupBy("log_partition").agg(F.max("clock").alias("clock")))
-        (clocks.coalesce(1).write.mode("overwrite")
-         .parquet(f"{self.path}/clocks/batch_id={batch_id}"))
-        clocks = spark.read.schema(self._clocks).parquet(f"{self.path}/clocks/batch_id={batch_id}")
-        marked = (merged.join(clocks, "log_partition")
-                  .withColumn("is_closed", F.col("window_end") + grace <= F.col("clock")))
-        self.windows.write(marked, batch_id)
+        # One row per log partition.
+        (clocks_before.unionByName(rows.select("log_partition", F.col(self.ts).alias("clock")))
+         .groupBy("log_partition").agg(F.max("clock").alias("clock"))
+         .coalesce(1).write.mode("overwrite").parquet(self._slot("clocks", batch_id)))
+        clocks = spark.read.schema(self._clocks).parquet(self._slot("clocks", batch_id))
+        (merged.join(clocks, "log_partition")
+         .withColumn("is_closed", F.col("window_end") + grace <= F.col("clock"))
+         .select(*self._windows.names)
+         .write.mode("overwrite").partitionBy("is_closed").parquet(self._slot("windows", batch_id)))
+        written = spark.read.schema(self._windows).parquet(self._slot("windows", batch_id))
+        self.closed.write(written.filter("is_closed"), batch_id)
 
     def results(self, spark: SparkSession) -> DataFrame:
         """The windows closed so far."""
-        closed = self.windows.read(spark).filter("is_closed")
-        return (closed.drop("is_closed", "batch_id")
+        return (self.closed.read(spark).drop("batch_id")
                 .withColumn("average", F.col("sum_power") / F.col("num_data_points")))

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from windflow.functions.codecs import Codec, decode_json, decoded
 from windflow.operators.aggregates import average_by_key
-from windflow.operators.joins import Joiner, WITH_MASTER_DATA, join_stream_table
+from windflow.operators.joins import Joiner, WITH_MASTER_DATA, join_stream_table, join_within
 from windflow.operators.ledger import transfer_ledger
 from windflow.operators.outbox import maintenance_log, outbox_events, require_outbox_rows
 from windflow.operators.routing import route_wind
+from windflow.operators.windows import final_windows_native, with_energy
 from windflow.schemas import READING, TRANSFER
 from windflow.streaming.jobs import BatchFunction, run_job
 from windflow.streaming.sinks import BatchLog, ChangelogTable
+from windflow.streaming.table_join import join_table_streams
 
 
 def averages_job(readings: DataFrame, key: str, sink: str | BatchFunction, name: str = "averages",
@@ -37,6 +39,36 @@ def routing_job(log: DataFrame, out: BatchLog, name: str = "wind-analyzer", **op
     return run_job(log, name, write, **options)
 
 
+def energy_job(readings: DataFrame, sink: str | BatchFunction, size: str = "1 minute",
+               grace: str = "0 seconds", name: str = "wind-turbine-energy-approximator",
+               **options) -> StreamingQuery:
+    """Energy per turbine and window, emitted once, after the window has closed.
+
+    Late records are judged by Spark's watermark. For the exact rule give `ExactFinalWindows` to
+    `run_job` and take `with_energy` of its results.
+    """
+    averages = final_windows_native(readings, "wind_turbine_id", "timestamp", "current_power", size, grace)
+    return run_job(with_energy(averages, size), name, sink, **options)
+
+
+def weather_job(readings: DataFrame, weather: DataFrame, key: str, sink: str | BatchFunction,
+                within: str = "20 seconds", delay: str = "0 seconds", name: str = "wind-weather-joiner",
+                **options) -> StreamingQuery:
+    """Readings with the weather within `within` of them; rows may come `delay` late."""
+    pairs = join_within(readings.withWatermark("timestamp", delay), weather.withWatermark("timestamp", delay),
+                        key, "timestamp", "timestamp", within)
+    return run_job(pairs, name, sink, **options)
+
+
+def status_job(status: DataFrame, masters: DataFrame, sink: str | BatchFunction, key: str = "key",
+               status_tombstone: Column | None = None, master_tombstone: Column | None = None,
+               name: str = "wind-status-joiner", **options) -> StreamingQuery:
+    """The status table with master data: each key's row anew whenever either side changes."""
+    joined = join_table_streams(status, masters, key, left_tombstone=status_tombstone,
+                                right_tombstone=master_tombstone)
+    return run_job(joined, name, sink, output_mode="update", **options)
+
+
 def transfers_job(log: DataFrame, out: BatchLog, name: str = "transactions-transformer",
                   **options) -> StreamingQuery:
     """Transfers to credit and debit lines, committed with the input position they came from."""

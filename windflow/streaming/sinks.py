@@ -31,7 +31,10 @@ def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 class BatchLog:
-    """A table of committed micro-batches at `path`, of rows of `schema`."""
+    """A table of committed micro-batches at `path`, of rows of `schema`.
+
+    One `path` belongs to one checkpoint: batch ids of another job would be taken for repeats.
+    """
 
     def __init__(self, path: str, schema: T.StructType, partition_by: Sequence[str] = ("topic",)):
         self.path, self.schema, self.partition_by = path.rstrip("/"), schema, tuple(partition_by)
