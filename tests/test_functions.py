@@ -202,3 +202,16 @@ def test_avro_header(spark):
     assert not df.select(avro.has_header(F.col("value"))).collect()[1][0]
     framed = df.limit(1).select(avro.with_header(F.lit(bytearray(b"xy")), 258)).first()[0]
     assert bytes(framed) == b"\x00\x00\x00\x01\x02xy"
+
+
+def test_avro_needs_its_jar(spark):
+    df = spark.createDataFrame([("T1", "P1", 1.0)], schemas.READING)
+    try:
+        framed = avro.encode_avro(df, schemas.READING, "WindTurbineData", 7)
+    except RuntimeError as error:
+        assert "spark-avro" in str(error)
+        with pytest.raises(RuntimeError, match="spark-avro"):
+            avro.decode_avro(df.withColumn("value", F.lit(bytearray(b""))), schemas.READING, "WindTurbineData")
+    else:
+        assert tuple(avro.decode_avro(framed, schemas.READING, "WindTurbineData").first().record) == (
+            "T1", "P1", 1.0)

@@ -76,7 +76,8 @@ def test_broker_options():
 
 def test_broker_rows(spark):
     raw = spark.createDataFrame([("t", 0, 1, None, bytearray(b"k"), bytearray("5€".encode()))],
-                                "topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP, key BINARY, value BINARY")
+                                "topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP, "
+                                "key BINARY, value BINARY")
     log = broker.as_topic_log(raw)
     assert tuple(log.first())[4:] == ("k", "5€")
     assert broker.sink_columns(log.drop("timestamp")).columns == ["topic", "key", "value", "partition"]
