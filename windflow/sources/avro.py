@@ -6,8 +6,6 @@ tested: the header handling is tested, the two functions of that jar are not.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,14 +32,6 @@ def with_header(encoded: Column, registered_id: int) -> Column:
     return F.concat(F.unhex(F.lit(f"00{registered_id:08x}")), encoded)
 
 
-def _from_jar(build: Callable[[], Column]) -> Column:
-    """`build()`, with a clear error where the session lacks the Avro jar."""
-    try:
-        return build()
-    except TypeError as error:
-        raise RuntimeError("add org.apache.spark:spark-avro_2.13 to the session") from error
-
-
 def decode_avro(df: DataFrame, schema: T.StructType, name: str, value: str = "value",
                 required: tuple[str, ...] = ()) -> DataFrame:
     """`df` with `record` decoded from registry-framed Avro bytes; unframed values give null."""
@@ -49,7 +39,7 @@ def decode_avro(df: DataFrame, schema: T.StructType, name: str, value: str = "va
 
     body = F.when(has_header(F.col(value)), payload(F.col(value)))
     declared = avro_schema(schema, name, required=required)
-    return df.withColumn("record", _from_jar(lambda: from_avro(body, declared, {"mode": "PERMISSIVE"})))
+    return df.withColumn("record", from_avro(body, declared, {"mode": "PERMISSIVE"}))
 
 
 def encode_avro(df: DataFrame, schema: T.StructType, name: str, registered_id: int,
@@ -59,5 +49,4 @@ def encode_avro(df: DataFrame, schema: T.StructType, name: str, registered_id: i
 
     record = F.struct(*[F.col(f.name) for f in schema.fields])
     declared = avro_schema(schema, name, required=required)
-    encoded = _from_jar(lambda: to_avro(record, declared))
-    return df.withColumn("value", with_header(encoded, registered_id))
+    return df.withColumn("value", with_header(to_avro(record, declared), registered_id))
