@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windflow.llm import exact, language, packing, token_counts
+from windflow.llm import exact, language, packing, substrings, suffixes, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,6 +39,11 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_copies(table(spark, folder, "documents")).drop("n_chunks")
 
 
+@query()
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeated_passages(table(spark, folder, "documents"))
+
+
 @query()
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -47,6 +52,11 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
                             "lang_pred", "score", "margin", "rejected")
 
 
+@query()
+def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.without_repeated_bytes(table(spark, folder, "documents"))
+
+
 @query()
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"))
