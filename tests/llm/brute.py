@@ -58,3 +58,42 @@ def byte_strings(docs, window=100):
         spans = sum(1 for i in range(len(b)) if gone[i] and not (i and gone[i - 1]))
         out[doc_id, text] = (len(b), sum(gone), spans, sha(kept))
     return out
+
+
+def lowered(text):
+    return words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def shingles(text, n=5):
+    w = lowered(text)
+    if not w:
+        return set()
+    return {tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)}
+
+
+def near_groups(docs, percent=85):
+    """{doc_id: (n_shingles, component_id, kept)} for documents with different ids."""
+    sets = {doc_id: shingles(text) for doc_id, text in docs}
+    parent = {d: d for d in sets}
+
+    def root(d):
+        while parent[d] != d:
+            parent[d] = parent[parent[d]]
+            d = parent[d]
+        return d
+
+    holders = {}
+    for d, s in sets.items():
+        for x in s:
+            holders.setdefault(x, []).append(d)
+    for d, s in sets.items():
+        common = {}
+        for x in s:
+            for e in holders[x]:
+                if e < d:
+                    common[e] = common.get(e, 0) + 1
+        for e, both in common.items():
+            if 100 * both >= percent * (len(s) + len(sets[e]) - both):
+                a, b = root(d), root(e)
+                parent[max(a, b)] = min(a, b)
+    return {d: (len(s), root(d), root(d) == d) for d, s in sets.items()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windflow.llm import exact, language, packing, substrings, suffixes, token_counts
+from windflow.llm import exact, language, near, packing, substrings, suffixes, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,6 +27,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query()
+def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_copies(table(spark, folder, "documents"))
+
+
 @query("""
 WITH t AS (
     SELECT doc_id, length(coalesce(text, '')) AS n_points,
