@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windflow.llm import exact, language, near, packing, substrings, suffixes, token_counts
+from windflow.llm import exact, language, licenses, near, packing, substrings, suffixes, templates, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,11 +44,21 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_copies(table(spark, folder, "documents")).drop("n_chunks")
 
 
+@query()
+def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return templates.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query()
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.without_repeated_passages(table(spark, folder, "documents"))
 
 
+@query()
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 @query()
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
