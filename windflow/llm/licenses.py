@@ -35,8 +35,8 @@ NOTICES = {
 
 
 def runs_of(text: Column) -> Column:
-    """Hashes of the runs of three words, in order. Words are lower-cased letters and digits."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    """Hashes of the runs of three words, in order. Words are lower-cased; ASCII signs part them."""
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x00-/:-@\[-`{-\x7f]+"), lambda w: w != "")
 
     def hashed(ws: Column) -> Column:
         last = F.size(ws) - SHINGLE
@@ -51,9 +51,14 @@ def _seed(band: int) -> int:
 
 
 def minimum(runs: list[Column], band: int) -> Column:
+    """The smallest of the runs under the band's order; null runs do not count."""
     return F.least(*[r.bitwiseXOR(F.lit(_seed(band))) for r in runs])
 
 
+def array_minimum(window: str, band: int) -> Column:
+    return F.array_min(F.transform(window, lambda r: r.bitwiseXOR(F.lit(_seed(band)))))
+
+
 def notice_table(spark: SparkSession, notices: dict[str, str] | None = None) -> DataFrame:
     return spark.createDataFrame(sorted((notices or NOTICES).items()), "license string, notice string")
 
@@ -79,20 +84,19 @@ def scan(docs: DataFrame, notices: DataFrame | None = None, *, id_col: str = "do
     found together. Either table may be empty: then there is no row.
     """
     notices = notices if notices is not None else notice_table(docs.sparkSession)
-    listed = notices.select("license", runs_of(F.col("notice")).alias("runs")).filter("runs is not null")
+    listed = notices.filter("notice is not null").select("license", runs_of(F.col("notice")).alias("runs"))
     checks = listed.agg(F.count("*").alias("n"), F.min(F.size("runs")).alias("least")).first()
     if checks["n"] > MOST_NOTICES:
         raise ValueError(f"more than {MOST_NOTICES} notices")
     if checks["n"] and checks["least"] < SHINGLE:
         raise ValueError("a notice has fewer than five words")
     windows = _notice_windows(listed)
-    bands = windows.select(*[F.array_min(F.transform("window", lambda r, s=_seed(b): r.bitwiseXOR(F.lit(s)))).alias(f"b{b}")
-                             for b in range(BANDS)]).collect()
+    bands = windows.select(*[array_minimum("window", b).alias(f"b{b}") for b in range(BANDS)]).collect()
     texts = docs.filter(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("doc_id"), runs_of(F.col(text_col).cast("string")).alias("runs")).filter(
-        F.size("runs") > 0)
+        F.col(id_col).cast("long").alias("doc_id"), runs_of(F.col(text_col).cast("string")).alias("runs"))
     last = F.floor((F.size("runs") - 1) / STRIDE).cast("int")
-    placed = texts.select("doc_id", "runs", F.explode(F.sequence(F.lit(0), last)).alias("k"))
+    placed = texts.select("doc_id", "runs", F.explode(
+        F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).alias("k"))
     own = [F.get("runs", F.col("k") * STRIDE + i).alias(f"r{i}") for i in range(WIDTH)]
     cut = placed.select("doc_id", *own)
     columns = [F.col(f"r{i}") for i in range(WIDTH)]
@@ -101,7 +105,7 @@ def scan(docs: DataFrame, notices: DataFrame | None = None, *, id_col: str = "do
     runs = found.select("doc_id", F.explode(F.array(*columns)).alias("run")).filter("run is not null").distinct()
     wanted = listed.select("license", F.explode(F.array_distinct("runs")).alias("run"),
                            F.size(F.array_distinct("runs")).cast("long").alias("n_runs"))
-    return (runs.join(wanted, "run").groupBy("doc_id", "license", "n_runs")
+    return (runs.join(F.broadcast(wanted), "run").groupBy("doc_id", "license", "n_runs")
             .agg(F.count("*").alias("n_found"))
             .withColumn("containment", F.col("n_found") / F.col("n_runs"))
             .filter(F.col("containment") >= contained)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windflow.llm import exact, language, licenses, near, packing, substrings, suffixes, templates, token_counts
+from windflow.llm import exact, language, licenses, near, packing, substrings, suffixes, templates, token_counts, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,6 +44,18 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_copies(table(spark, folder, "documents")).drop("n_chunks")
 
 
+# The rules that the query applies.
+RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+         ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@query(urls.oracle(RULES))
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    labels = urls.labels_by_title(pages, table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return urls.judged(pages, labels, RULES).drop("purity")
+
+
 @query()
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return templates.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
