@@ -46,6 +46,16 @@ def runs_of(text: Column) -> Column:
     return F.transform(F.array(words), hashed)[0]
 
 
+def windows_of(text: Column) -> Column:
+    """The windows of a text: structs of `WIDTH` runs, those beyond the end null. Only windows leave the
+    expression: to carry the runs beside them would copy all for each."""
+    def cut(runs: Column) -> Column:
+        last = F.floor((F.size(runs) - 1) / STRIDE).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda k: F.struct(
+            *[F.get(runs, k * STRIDE + i).alias(f"r{i}") for i in range(WIDTH)]))
+    return F.transform(F.array(runs_of(text)), cut)[0]
+
+
 def _seed(band: int) -> int:
     return ((band + 1) * 0x9E3779B97F4A7C15) % (1 << 64) - (1 << 63)
 
@@ -92,13 +102,8 @@ def scan(docs: DataFrame, notices: DataFrame | None = None, *, id_col: str = "do
         raise ValueError("a notice has fewer than five words")
     windows = _notice_windows(listed)
     bands = windows.select(*[array_minimum("window", b).alias(f"b{b}") for b in range(BANDS)]).collect()
-    texts = docs.filter(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("doc_id"), runs_of(F.col(text_col).cast("string")).alias("runs"))
-    last = F.floor((F.size("runs") - 1) / STRIDE).cast("int")
-    placed = texts.select("doc_id", "runs", F.explode(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).alias("k"))
-    own = [F.get("runs", F.col("k") * STRIDE + i).alias(f"r{i}") for i in range(WIDTH)]
-    cut = placed.select("doc_id", *own)
+    cut = docs.filter(F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("doc_id"), F.inline_outer(windows_of(F.col(text_col).cast("string"))))
     columns = [F.col(f"r{i}") for i in range(WIDTH)]
     met = [minimum(columns, b).isin(sorted({row[b] for row in bands})) for b in range(BANDS)]
     found = cut.filter(reduce(Column.__or__, met) if bands else F.lit(False))
