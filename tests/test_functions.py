@@ -26,6 +26,8 @@ def test_convert_and_clamp(spark):
     out = df.select(power.convert_power(F.col("p"), "W", "kW"), power.convert_power(F.col("p"), "kW", "MW"),
                     power.convert_power(F.col("p"), "MW", "W"), power.clamp(F.col("p"), 0.0, 1000.0))
     assert tuple(out.first()) == (1.5, 1.5, 1.5e9, 1000.0)
+    none = spark.createDataFrame([(None,)], "p DOUBLE").select(power.clamp(F.col("p"), 0.0, 30.0))
+    assert none.first()[0] is None
 
 
 def test_murmur2_vectors(spark):

@@ -11,6 +11,7 @@ from windflow.operators import aggregates, joins, windows
 from windflow.operators.ledger import committed_only
 from windflow.schemas import LEDGER, MASTER_DATA, READING, TOPIC_LOG, TRANSFER, struct_of
 from windflow.sources import topic_log
+from windflow.sources.topic_log import stream_topics
 from windflow.streaming import pipelines
 from windflow.streaming.fold import fold_stream
 from windflow.streaming.jobs import run_job, start_job
@@ -365,12 +366,53 @@ def test_maintenance_log_and_events_share_a_batch(spark, tmp_path):
                      "remarks STRING, months_ahead INT")
     spark.createDataFrame([(1, at(0), "Oil change", 1.0, "x", 2), (2, at(1), "Blade inspection", 2.0, None, 3)],
                           work).write.parquet(str(tmp_path / "work"))
-    log_out = BatchLog(str(tmp_path / "log"), MAINTENANCE, partition_by=())
-    event_out = BatchLog(str(tmp_path / "events"), OUTBOX_EVENT, partition_by=())
+    out = BatchLog(str(tmp_path / "out"), MAINTENANCE, partition_by=(), sides={"events": OUTBOX_EVENT})
     pipelines.maintenance_job(spark.readStream.schema(work).parquet(str(tmp_path / "work")),
-                              ["turbine_id", "date"], log_out, event_out, checkpoint=str(tmp_path / "cp"))
-    assert rows(log_out.read(spark), "turbine_id", "batch_id") == [(1, 0), (2, 0)]
-    assert rows(event_out.read(spark), "aggregateid", "batch_id") == [("1", 0), ("2", 0)]
+                              ["turbine_id", "date"], out, checkpoint=str(tmp_path / "cp"))
+    assert rows(out.read(spark), "turbine_id", "batch_id") == [(1, 0), (2, 0)]
+    assert rows(out.read(spark, side="events"), "aggregateid", "batch_id") == [("1", 0), ("2", 0)]
+
+
+def test_a_crash_between_outputs_shows_neither(spark, tmp_path, monkeypatch):
+    out = BatchLog(str(tmp_path / "out"), struct_of("x INT"), (), {"events": struct_of("y INT")})
+    one, two = spark.createDataFrame([(1,)], "x INT"), spark.createDataFrame([(2,)], "y INT")
+    monkeypatch.setattr(out, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        out.write(one, 0, events=two)
+    assert out.read(spark).count() == 0 == out.read(spark, side="events").count()
+    monkeypatch.undo()
+    out.write(one, 0, events=two)
+    assert out.read(spark).count() == 1 == out.read(spark, side="events").count()
+
+
+def test_compaction_keeps_rows_and_positions_in_few_folders(spark, tmp_path):
+    out = BatchLog(str(tmp_path / "out"), struct_of("topic STRING, x BIGINT"), ("topic",), {"events": struct_of("x BIGINT")})
+    for k in range(12):
+        rows_k = spark.range(k, k + 1).select(F.lit("t").alias("topic"), F.col("id").alias("x"))
+        source = spark.createDataFrame([("in", 0, k)], "topic STRING, partition INT, offset BIGINT")
+        out.write(rows_k, k, source, events=rows_k)
+        if k % 4 == 3:
+            out.compact(spark)
+    assert rows(out.read(spark), "x", "batch_id") == sorted([(k, k) for k in range(12)], key=repr) == rows(
+        out.read(spark, side="events"), "x", "batch_id")
+    assert rows(out.positions(spark)) == [("in", 0, 12)]
+    assert out.is_committed(spark, 3) and out.is_committed(spark, 11) and not out.is_committed(spark, 12)
+    out.write(rows_k, 5)  # a late repeat
+    assert out.read(spark).count() == 12
+    folders = [p for p in (tmp_path / "out").rglob("batch_id=*")] + list((tmp_path / "out" / "folded").iterdir())
+    assert len(folders) <= 4
+
+
+def test_rejects_are_kept(spark, tmp_path):
+    from windflow.streaming.sinks import REJECTS
+    path = str(tmp_path / "log")
+    good = '{"sender_account":"a","receiver_account":"b","amount":70.0,"is_suspicious":false}'
+    write_log(spark, path, [("bank-transactions", 0, i, i, None, v) for i, v in enumerate(
+        [good, "", "  ", good + " xx", "{bad", None, good.replace("70.0", "70.5")])])
+    out = BatchLog(str(tmp_path / "out"), LEDGER, sides={"rejects": REJECTS})
+    pipelines.transfers_job(stream_topics(spark, path, ["bank-transactions"]), out, checkpoint=str(tmp_path / "cp"))
+    assert rows(out.read(spark), "offset", "value") == [(0, "70€"), (0, "70€")]
+    assert [r[0] for r in rows(out.read(spark, side="rejects"), "offset")] == [1, 2, 3, 4, 6]
 
 
 def test_transfers_schema_matches_the_ledger():

@@ -12,13 +12,27 @@ _CORRUPT = "_corrupt_record"
 _NUMBERS = (T.IntegerType, T.LongType, T.DoubleType, T.FloatType)
 
 
+def _number(raw: Column, kind: T.DataType) -> Column:
+    """Text as a number; a whole number may be written with a decimal point."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return raw.try_cast(kind)
+    exact = raw.try_cast("decimal(38,10)")
+    return F.coalesce(raw.try_cast(kind), F.when(exact == F.floor(exact), exact.try_cast("decimal(38,0)").try_cast(kind)))
+
+
+def one_value(text: Column) -> Column:
+    """Whether the text is one JSON value, with nothing but white space around it."""
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+
+
 @dataclass(frozen=True)
 class Codec:
     """Decode and encode one record type.
 
-    By default a missing field is null and text that is not such a record is malformed. With
-    `java_defaults` the result is what a Java object mapper gives: missing numbers are 0, missing
-    booleans false, and numbers written as text are read as numbers.
+    By default a missing field is null and text that is not such a record is malformed, as is blank text and
+    anything behind the record. With `java_defaults` the result is what a Java object mapper gives:
+    missing numbers are 0, missing booleans false, numbers written as text are read as numbers, and
+    whole numbers may have a decimal point (70.0).
     """
 
     schema: T.StructType
@@ -40,7 +54,7 @@ class Codec:
         if not self.java_defaults:
             return raw
         if isinstance(f.dataType, _NUMBERS):
-            return F.coalesce(raw.try_cast(f.dataType), F.lit(0).cast(f.dataType))
+            return F.coalesce(_number(raw, f.dataType), F.lit(0).cast(f.dataType))
         if isinstance(f.dataType, T.BooleanType):
             return F.coalesce(raw, F.lit(False))
         return raw
@@ -49,12 +63,12 @@ class Codec:
         return F.struct(*[self._field(parsed, f).alias(f.name) for f in self.schema.fields])
 
     def malformed(self, parsed: Column) -> Column:
-        bad = parsed.getField(_CORRUPT).isNotNull()
+        bad = parsed.isNull() | parsed.getField(_CORRUPT).isNotNull()
         if self.java_defaults:
             for f in self.schema.fields:
                 if isinstance(f.dataType, _NUMBERS):
                     raw = parsed.getField(f.name)
-                    bad = bad | (raw.isNotNull() & raw.try_cast(f.dataType).isNull())
+                    bad = bad | (raw.isNotNull() & _number(raw, f.dataType).isNull())
         return F.coalesce(bad, F.lit(False))
 
     def encode(self, *, struct: Column | None = None) -> Column:
@@ -77,14 +91,14 @@ def parsed_once(df: DataFrame, struct: Column) -> DataFrame:
 def decode_json(df: DataFrame, codec: Codec, value: str = "value") -> DataFrame:
     """`df` with `record` (the typed struct) and `state` beside the JSON text.
 
-    `state` is `ok`, `rejected` (malformed; `value` is kept for the reject output) or `tombstone`
-    (null payload). One pass: filter on `state` to split the outputs.
+    `state` is `ok`, `rejected` (malformed, blank or followed by other text; `value` is kept for the
+    reject output) or `tombstone` (null payload). One pass: filter on `state` to split the outputs.
     """
     text = F.col(value)
     parsed = parsed_once(df, F.struct(codec.parse(text).alias("__parsed")))
     p = F.col("__parsed")
     state = (F.when(text.isNull(), F.lit("tombstone"))
-             .when(codec.malformed(p), F.lit("rejected"))
+             .when(codec.malformed(p) | ~one_value(text), F.lit("rejected"))
              .otherwise(F.lit("ok")))
     return (parsed.withColumn("state", state)
             .withColumn("record", F.when(F.col("state") == "ok", codec.record(p)))

@@ -78,7 +78,7 @@ def default_partition(key: Column, partitions: int) -> Column:
 
 
 def heavy_partition(key: Column, partitions: int, heavy: int = HEAVY_PARTITIONS,
-                    prefix: str = HEAVY_PREFIX, hash_name: str = "md5") -> Column:
+                    prefix: str = HEAVY_PREFIX, hash_name: str = "murmur2") -> Column:
     """Keys starting with `prefix` spread over the first `heavy` partitions, others over the rest.
 
     Null keys have no partition (null): send them to a reject output.

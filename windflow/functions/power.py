@@ -22,9 +22,10 @@ def convert_power(power: Column, from_unit: str, to_unit: str) -> Column:
 
 
 def clamp(x: Column, low: float | Column, high: float | Column) -> Column:
+    """`x` held between the bounds; null stays null."""
     low = low if isinstance(low, Column) else F.lit(low)
     high = high if isinstance(high, Column) else F.lit(high)
-    return F.greatest(low, F.least(high, x))
+    return F.when(x.isNotNull(), F.greatest(low, F.least(high, x)))
 
 
 def power_curve(wind_speed: Column, max_power: Column) -> Column:

@@ -36,7 +36,7 @@ def average_by_key(df: DataFrame, key: str | Sequence[str], value: str) -> DataF
 
 
 def running_average(df: DataFrame, key: str, value: str, order: str = "offset",
-                    ties: Sequence[str] = (), width: int = BLOCK_WIDTH) -> DataFrame:
+                    ties: Sequence[str] = (), width: int | None = None) -> DataFrame:
     """`df` with sum, number and average of the key's values up to each row (batch).
 
     This is the changelog of `average_by_key`: one row per update, in `order`, which must be
@@ -56,7 +56,7 @@ def running_average(df: DataFrame, key: str, value: str, order: str = "offset",
 
 
 def moving_average(df: DataFrame, key: str, value: str, n: int, order: str = "offset",
-                   ties: Sequence[str] = (), width: int = BLOCK_WIDTH) -> DataFrame:
+                   ties: Sequence[str] = (), width: int | None = None) -> DataFrame:
     """`df` with `moving_average`, the mean of the key's last `n` values at each row (batch).
 
     Rows get their position within the key; blocks of positions are averaged on their own, each
@@ -64,7 +64,7 @@ def moving_average(df: DataFrame, key: str, value: str, n: int, order: str = "of
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    size = max(width, n)
+    size = max(width or BLOCK_WIDTH, n)
     indexed = row_index(present(df, key, value), [key], order, ties, width=width)
     home = F.expr(f"__index div {size}L")
     from_end = F.lit(size) - F.pmod(F.col("__index"), F.lit(size))
@@ -80,17 +80,21 @@ def latest_by_key(df: DataFrame, key: str, order: str | Sequence[str] = "offset"
                   tombstone: Column | None = None) -> DataFrame:
     """A changelog as a table: the newest row of each key, keys deleted last left out.
 
-    `tombstone` says which rows delete their key. Deletions take part in finding the newest row.
+    `tombstone` says which rows delete their key. Deletions take part in finding the newest row. Of rows
+    of a key with equal `order` one is taken; rows whose first `order` is null are left out.
+
+    The largest first `order` per key is found by a hash aggregate over two narrow columns, combined
+    on the map side, and only the rows that carry it are ranked by the others.
     """
     orders = [order] if isinstance(order, str) else list(order)
-    by = F.col(orders[0]) if len(orders) == 1 else F.struct(*orders)
-    rows = present(df, key)
     dead = F.coalesce(tombstone, F.lit(False)) if tombstone is not None else F.lit(False)
-    others = [c for c in df.columns if c != key]
-    newest = rows.groupBy(key).agg(F.max_by(
-        F.struct(dead.alias("dead"), F.struct(*others).alias("row")), by).alias("__newest"))
-    return (newest.filter(~F.col("__newest.dead"))
-            .select(key, *[F.col(f"__newest.row.{c}") for c in others]))
+    rows = present(df, key, orders[0]).withColumn("__dead", dead)
+    top = rows.groupBy(key).agg(F.max(orders[0]).alias("__top")).withColumnRenamed(key, "__of")
+    last = rows.join(top, (F.col(key) == F.col("__of")) & (F.col(orders[0]) == F.col("__top")))
+    # Ties are few: what is left is about a row a key.
+    ranked = Window.partitionBy(key).orderBy(*[F.col(o).desc() for o in orders])
+    return (last.withColumn("__rank", F.row_number().over(ranked))
+            .filter((F.col("__rank") == 1) & ~F.col("__dead")).select(*df.columns))
 
 
 @dataclass(frozen=True)
@@ -108,35 +112,40 @@ class Fold:
 
 
 def custom_fold(df: DataFrame, key: str, fold: Fold, inputs: Sequence[str], order: str = "offset",
-                ties: Sequence[str] = (), name: str = "result", stretch: int = 4096,
-                levels: int = 3, width: int = BLOCK_WIDTH) -> DataFrame:
-    """`fold` over each key in `order` (batch).
+                ties: Sequence[str] = (), name: str = "result", width: int | None = None) -> DataFrame:
+    """`fold` over each key in `order`: one row per key (batch).
 
-    No task ever holds more than `stretch` rows or accumulators of a key at a time: rows are
-    folded in stretches of consecutive positions, then the results of `stretch` neighbours are
-    merged, `levels` times. With the defaults a key may have 4096^4 rows.
+    Rows are folded per (key, block of `order`), then a key's accumulators, one for each block, are merged
+    in order. A task holds one block's rows of a key, or one key's accumulators. Rows with equal `order`
+    and `ties` are folded in the order of their inputs.
     """
-    positions = row_index(present(df.select(key, order, *ties, *[c for c in inputs if c not in
-                                                                 (key, order, *ties)]), key),
-                          [key], order, ties, width=width)
-
-    def by_position(frame: DataFrame, payload: Column) -> DataFrame:
-        """Group neighbours; `__items` is sorted by position within the group."""
-        return (frame.select(key, F.expr(f"__index div {stretch}L").alias("__group"),
-                             F.struct("__index", payload.alias("__item")).alias("__pair"))
-                .groupBy(key, "__group")
-                .agg(F.sort_array(F.collect_list("__pair")).alias("__items")))
-
-    acc = (by_position(positions, F.struct(*inputs))
-           .select(key, F.col("__group").alias("__index"),
-                   F.aggregate("__items", fold.zero,
-                               lambda a, x: fold.step(a, x["__item"])).alias("__acc")))
-    for _ in range(levels):
-        acc = (by_position(acc, F.col("__acc"))
-               .select(key, F.col("__group").alias("__index"),
-                       F.aggregate("__items", fold.zero,
-                                   lambda a, x: fold.merge(a, x["__item"])).alias("__acc")))
-    return acc.select(key, F.col("__acc").alias(name))
+    rows = with_block(present(df, key, order).select(
+        F.col(key), F.col(order), *[F.col(c) for c in dict.fromkeys([*ties, *inputs]) if c not in (key, order)]),
+        order, width)
+    position = F.struct(F.col(order).alias("__order"), *[F.col(c).alias(f"__tie{i}") for i, c in enumerate(ties)])
+    blocks = (rows.groupBy(key, BLOCK)
+              .agg(F.sort_array(F.collect_list(F.struct(position.alias("__at"), F.struct(*inputs).alias("__row"))))
+                   .alias("__rows"))
+              .select(key, F.struct(BLOCK, F.aggregate(
+                  "__rows", fold.zero, lambda a, x: fold.step(a, x["__row"])).alias("__acc")).alias("__block")))
+    return (blocks.groupBy(key).agg(F.sort_array(F.collect_list("__block")).alias("__blocks"))
+            .select(key, F.aggregate("__blocks", fold.zero,
+                                     lambda a, x: fold.merge(a, x["__acc"])).alias(name)))
+
+
+def largest_rise_fold(value: str) -> Fold:
+    """Number, first and last value, and the largest rise from one row to the next."""
+    def state(n: Column, first: Column, last: Column, rise: Column) -> Column:
+        return F.struct(n.alias("num_data_points"), first.alias("first"), last.alias("last"), rise.alias("rise"))
+
+    def merge(a: Column, b: Column) -> Column:
+        return state(a["num_data_points"] + b["num_data_points"], F.coalesce(a["first"], b["first"]),
+                     F.coalesce(b["last"], a["last"]), F.greatest(a["rise"], b["rise"], b["first"] - a["last"]))
+
+    none = F.lit(None).cast("double")
+    return Fold(zero=state(F.lit(0).cast("bigint"), none, none, none),
+                step=lambda a, row: merge(a, state(F.lit(1).cast("bigint"), row[value], row[value], none)),
+                merge=merge)
 
 
 def running_average_fold(value: str) -> Fold:

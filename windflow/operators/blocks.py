@@ -2,9 +2,10 @@
 
 A running sum, a running clock or "the newest version before this row" are windows ordered by
 offset. Partitioned by key alone, a key that holds a third of all rows becomes one task. Here rows
-are partitioned by (key, block), a block being a fixed stretch of offsets, and what earlier blocks
-hand over is summed up per block first. Offsets are unique within a log partition, so one group
-has at most `width` rows per log partition the key lives in, however hot the key is.
+are partitioned by (key, block), a block being a fixed stretch of offsets or of time, and what earlier
+blocks hand over is summed up per block first. Offsets are unique within a log partition, so a group
+of a block of offsets has at most `width` rows per log partition the key lives in; a group of a block
+of time has what a key sends in that time. Choose `width` by the busiest key.
 
 The rows are shuffled once, on (key, block). The block totals are combined on the map side and are
 shuffled as one small row per (key, block).
@@ -16,13 +17,20 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK = "__block"
-BLOCK_WIDTH = 1 << 20
+# Offsets in a block, and microseconds where rows are ordered by time.
+BLOCK_WIDTH, BLOCK_MICROS = 1 << 16, 3_600_000_000
 
 
-def with_block(df: DataFrame, order: str, width: int = BLOCK_WIDTH) -> DataFrame:
-    return df.withColumn(BLOCK, F.expr(f"`{order}` div {int(width)}L"))
+def with_block(df: DataFrame, order: str, width: int | None = None) -> DataFrame:
+    """`df` with the block of each row's `order`, a whole number or a time; `width` as in `BLOCK_WIDTH`
+    or `BLOCK_MICROS`."""
+    if isinstance(df.schema[order].dataType, (T.TimestampType, T.TimestampNTZType)):
+        at = F.unix_micros(F.col(order).cast("timestamp"))
+        return df.withColumn(BLOCK, F.floor(at / F.lit(int(width or BLOCK_MICROS))))
+    return df.withColumn(BLOCK, F.floor(F.col(order) / F.lit(int(width or BLOCK_WIDTH))))
 
 
 def so_far(keys: Sequence[str], order: str, ties: Sequence[str] = ()):
@@ -55,7 +63,7 @@ def from_earlier_blocks(blocked: DataFrame, keys: Sequence[str], earlier: Totals
 
 
 def row_index(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] = (),
-              name: str = "__index", width: int = BLOCK_WIDTH) -> DataFrame:
+              name: str = "__index", width: int | None = None) -> DataFrame:
     """`df` with the 0-based position of each row within its key. Rows with a null key drop."""
     blocked = with_block(df, order, width)
     before = from_earlier_blocks(blocked, keys, {"__rows_before": (F.count(F.lit(1)), F.sum)})

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windflow.functions.durations import interval, micros
 from windflow.operators.aggregates import latest_by_key, present
-from windflow.operators.blocks import BLOCK, BLOCK_WIDTH, from_earlier_blocks, so_far, with_block
+from windflow.operators.blocks import BLOCK, so_far, with_block
 from windflow.operators.skew import join_salted
 
 Joiner = Callable[[Column, Column], Column]
@@ -25,7 +25,7 @@ def pair(left_name: str, right_name: str) -> Joiner:
 
 
 WITH_MASTER_DATA = pair("turbine_data", "master_data")
-STATUS_WITH_MASTER_DATA = pair("turbine_status", "master_data")
+STATUS_AND_MASTER_DATA = pair("turbine_status", "master_data")
 WITH_WEATHER = pair("turbine_data", "weather_data")
 
 
@@ -55,11 +55,12 @@ def join_stream_table(stream: DataFrame, table: DataFrame, key: str,
 
 def enrich_as_of(stream: DataFrame, table: DataFrame, key: str, order: str,
                  joiner: Joiner = WITH_MASTER_DATA, tombstone: Column | None = None,
-                 width: int = BLOCK_WIDTH) -> DataFrame:
+                 width: int | None = None) -> DataFrame:
     """Each record with the table row of its key as it was when the record came (batch).
 
-    Both sides share the arrival `order`; a table row counts from its own position on. `tombstone`
-    says which table rows delete their key. Rows without a match drop.
+    Both sides share the arrival `order`: offsets, or times where they come from logs of their own. A
+    table row counts from its own position on. `tombstone` says which table rows delete their key.
+    Rows without a match drop.
     """
     dead = F.coalesce(tombstone, F.lit(False)) if tombstone is not None else F.lit(False)
     fields = [c for c in table.columns if c not in (key, order)]
@@ -69,9 +70,7 @@ def enrich_as_of(stream: DataFrame, table: DataFrame, key: str, order: str,
     records = present(stream, key).select(
         key, order, F.lit(1).alias("__side"), F.struct(*stream.columns).alias("__record"))
     both = with_block(versions.unionByName(records, allowMissingColumns=True), order, width)
-    newest = F.max_by("__version", F.when(F.col("__side") == 0, F.col(order)))
-    before = from_earlier_blocks(both, [key], {
-        "__before": (newest, lambda c: F.last(c, ignorenulls=True))})
+    before = _handed_over(both, versions, key, order, width)
     here = F.last("__version", ignorenulls=True).over(so_far([key], order, ["__side"]))
     return (both.withColumn("__here", here)
             .filter(F.col("__side") == 1)
@@ -81,8 +80,17 @@ def enrich_as_of(stream: DataFrame, table: DataFrame, key: str, order: str,
             .select(key, joiner(F.col("__record"), F.col("__found.row")).alias("value")))
 
 
+def _handed_over(both: DataFrame, versions: DataFrame, key: str, order: str, width: int | None) -> DataFrame:
+    """Per key and block, the newest version of the earlier blocks. Only versions are carried."""
+    newest = with_block(versions, order, width).groupBy(key, BLOCK).agg(
+        F.max_by("__version", order).alias("__newest"))
+    blocks = both.select(key, BLOCK).distinct().join(newest, [key, BLOCK], "left")
+    earlier = Window.partitionBy(key).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select(key, BLOCK, F.last("__newest", ignorenulls=True).over(earlier).alias("__before"))
+
+
 def join_tables(left: DataFrame, right: DataFrame, key: str, order: str = "offset",
-                joiner: Joiner = STATUS_WITH_MASTER_DATA, left_tombstone: Column | None = None,
+                joiner: Joiner = STATUS_AND_MASTER_DATA, left_tombstone: Column | None = None,
                 right_tombstone: Column | None = None) -> DataFrame:
     """Two changelogs joined as tables: the newest row per key on each side (batch).
 

@@ -72,7 +72,7 @@ def partition_by(df: DataFrame, partitioner: Callable[[Column], Column], key: st
 
 
 def partition_heavy(df: DataFrame, partitions: int, heavy: int = HEAVY_PARTITIONS,
-                    key: str = "key", hash_name: str = "md5") -> DataFrame:
+                    key: str = "key", hash_name: str = "murmur2") -> DataFrame:
     """Set `partition`: heavy producers to the first `heavy` partitions, others to the rest.
 
     Keys must be text. Records without a key get no partition: see `unkeyed`.

@@ -12,14 +12,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
-    """The keys that hold more than `share` of all rows with a key: fewer than 1 / share of them."""
-    if not 0 < share <= 1:
-        raise ValueError("share must be in (0, 1]")
-    counts = (df.filter(F.col(key).isNotNull()).groupBy(key)
-              .agg(F.count(F.lit(1)).alias("__n")))
-    limit = counts.agg((F.sum("__n") * share).alias("__limit"))
-    return counts.filter(F.col("__n") > limit.scalar()).select(key)
+# The longest list of hot keys that may be broadcast.
+MOST_HOT_KEYS = 100_000
+
+
+def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
+    """The keys that hold more than `share` of all rows with a key: fewer than 1 / share of them.
+
+    Counts are combined on the map side, and only the hot keys come to the driver.
+    """
+    if not 1 / MOST_HOT_KEYS <= share <= 1:
+        raise ValueError(f"share must be in [{1 / MOST_HOT_KEYS}, 1]")
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg((F.sum("__n") * F.lit(share)).alias("__limit"))
+    return [row[key] for row in counts.filter(F.col("__n") > total.scalar()).select(key).collect()]
 
 
 def join_salted(left: DataFrame, right: DataFrame, key: str, spread: str, salts: int = 64,
@@ -27,20 +33,10 @@ def join_salted(left: DataFrame, right: DataFrame, key: str, spread: str, salts:
     """`left.join(right, key)`, the left rows of hot keys spread over `salts` tasks (batch).
 
     `spread` is a left column with many values (the offset). Only the right rows of hot keys are
-    copied. The list of hot keys has fewer than 1 / share rows, which is what makes it safe to
-    broadcast.
+    copied. The hot keys, fewer than 1 / share, are found before the join is planned.
     """
-    hot = F.broadcast(hot_keys(left, key, share).withColumn("__hot", F.lit(True)))
-
-    def marked(df: DataFrame) -> DataFrame:
-        return df.join(hot, key, "left")
-
-    salted_left = (marked(left)
-                   .withColumn("__salt", F.when(F.col("__hot"),
-                                                F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-                               .otherwise(F.lit(0))).drop("__hot"))
-    all_salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_right = (marked(right)
-                    .withColumn("__salt", F.explode(F.coalesce(all_salts, F.array(F.lit(0)))))
-                    .drop("__hot"))
+    hot = F.col(key).isin(hot_keys(left, key, share))
+    salted_left = left.withColumn("__salt", F.when(hot, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0))
+    copies = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_right = right.withColumn("__salt", F.explode(copies))
     return salted_left.join(salted_right, [key, "__salt"]).drop("__salt")

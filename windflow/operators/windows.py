@@ -15,17 +15,13 @@ from pyspark.sql import functions as F
 from windflow.functions.durations import hours, interval, micros
 from windflow.functions.power import energy_wh, wh_to_mwh
 from windflow.operators.aggregates import present
-from windflow.operators.blocks import BLOCK, BLOCK_WIDTH, from_earlier_blocks, so_far, with_block
+from windflow.operators.blocks import BLOCK, from_earlier_blocks, so_far, with_block
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-# Above so many windows per row, rows are first combined into panes.
-PANES_FROM = 4
-
-
 def _combined(df: DataFrame, keys: list[str], window: Column, total: Column, n: Column) -> DataFrame:
     return (df.groupBy(*keys, window.alias("window"))
             .agg(total.alias("sum_power"), n.alias("num_data_points")))
@@ -38,16 +34,16 @@ def windowed_average(df: DataFrame, key: str | Sequence[str], ts: str, value: st
     Windows are aligned to the epoch and hold `[start, end)`. On a stream, set a watermark on
     `ts` first. The window comes out as the plain columns `window_start` and `window_end`.
 
-    Hopping windows copy each row into every window it is in. In batch, where that is
-    `PANES_FROM` windows or more, rows are first summed up per pane, the longest stretch that all
-    windows are made of, and only panes are copied.
+    Rows of hopping windows are first summed up per pane, the longest stretch that all windows are made
+    of, and only panes are copied into their windows. A stream can aggregate a pane only once it is
+    final, so there rows are copied.
     """
     keys = _keys(key)
     rows = present(df, *keys, value)
     total, n = F.sum(value), F.count(value)
     if slide is None:
         result = _combined(rows, keys, F.window(ts, size), total, n)
-    elif df.isStreaming or micros(size) < PANES_FROM * micros(slide):
+    elif df.isStreaming:
         result = _combined(rows, keys, F.window(ts, size, slide), total, n)
     else:
         pane = f"{math.gcd(micros(size), micros(slide))} microseconds"
@@ -108,7 +104,7 @@ def session_average_stream(df: DataFrame, key: str, ts: str, value: str, gap: st
 
 
 def with_stream_time(df: DataFrame, ts: str, partition: str, order: str,
-                     width: int = BLOCK_WIDTH, name: str = "stream_time",
+                     width: int | None = None, name: str = "stream_time",
                      clock: str | None = None) -> DataFrame:
     """`df` with the largest event time seen in its log partition up to and including each row.
 
@@ -125,7 +121,7 @@ def with_stream_time(df: DataFrame, ts: str, partition: str, order: str,
 
 
 def mark_late(df: DataFrame, ts: str, partition: str, order: str, size: str,
-              grace: str = "0 seconds", width: int = BLOCK_WIDTH,
+              grace: str = "0 seconds", width: int | None = None,
               clock: str | None = None) -> DataFrame:
     """`df` with `window_start`, `window_end`, `stream_time` and `is_late` (batch).
 
@@ -142,13 +138,13 @@ def mark_late(df: DataFrame, ts: str, partition: str, order: str, size: str,
 
 
 def late_dropped(df: DataFrame, ts: str, partition: str, order: str, size: str,
-                 grace: str = "0 seconds", width: int = BLOCK_WIDTH) -> DataFrame:
+                 grace: str = "0 seconds", width: int | None = None) -> DataFrame:
     """The records a windowed aggregation drops for coming too late."""
     return mark_late(df, ts, partition, order, size, grace, width).filter("is_late").drop("is_late")
 
 
 def final_windows(df: DataFrame, key: str, ts: str, value: str, partition: str, order: str,
-                  size: str, grace: str = "0 seconds", width: int = BLOCK_WIDTH) -> DataFrame:
+                  size: str, grace: str = "0 seconds", width: int | None = None) -> DataFrame:
     """One row per window that has closed, late records left out: the exact rule (batch).
 
     Each log partition has its own clock, as each is processed on its own.

@@ -24,6 +24,11 @@ from windflow.sources import changes, metrics, topic_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Offsets in a block: so few that every key crosses blocks in the tables.
+SMALL_BLOCK = 512
+# A share of rows that some turbines exceed in the tables, so that salting takes place.
+HOT_SHARE = 0.001
+
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -37,14 +42,6 @@ def query(name: str, sql: str, *views: str):
     return register
 
 
-def _settled(x):
-    """Rounded to four digits for comparing sums whose last bits depend on the order of adding.
-
-    The shift moves the rounding points off the decimal grid, where exact results often lie.
-    """
-    return F.round(x + F.lit(3.14159e-5), 4)
-
-
 # Sources
 
 @query("topic_scan", """
@@ -136,10 +133,23 @@ FROM readings
 WINDOW w AS (PARTITION BY wind_turbine_id ORDER BY offset_id ROWS UNBOUNDED PRECEDING)""", "readings")
 def running_avg_changelog(v: Views) -> DataFrame:
     rows = v.readings().select("offset_id", "wind_turbine_id", "current_power")
-    running = aggregates.running_average(rows, "wind_turbine_id", "current_power", "offset_id")
+    running = aggregates.running_average(rows, "wind_turbine_id", "current_power", "offset_id", width=SMALL_BLOCK)
     return running.drop("current_power")
 
 
+@query("park_avg_changelog", """
+SELECT offset_id, wind_park_id, sum(current_power) OVER w AS sum_power, count(*) OVER w AS num_data_points,
+       sum(current_power) OVER w / count(*) OVER w AS average
+FROM late_readings
+WINDOW w AS (PARTITION BY wind_park_id ORDER BY ts, offset_id ROWS UNBOUNDED PRECEDING)""", "late_readings")
+def park_avg_changelog(v: Views) -> DataFrame:
+    """Every update of a park's average. Its turbines write to all log partitions, so time orders them."""
+    rows = v.late_readings().select("offset_id", "ts", "wind_park_id", "current_power")
+    running = aggregates.running_average(rows, "wind_park_id", "current_power", "ts", ["offset_id"],
+                                         width=3_600_000_000)
+    return running.drop("current_power", "ts")
+
+
 @query("transfer_ledger", """
 SELECT offset_id, topic, key, concat(amount, '€', CASE WHEN is_suspicious THEN ' <-Suspicious!' ELSE '' END) AS value,
        CASE WHEN is_suspicious THEN 'aborted' ELSE 'committed' END AS txn_state,
@@ -202,8 +212,8 @@ def convert_power(v: Views) -> DataFrame:
 
 
 @query("power_curve", """
-SELECT offset_id, least(30.0, greatest(0.0, wind_speed))::DOUBLE AS wind_speed,
-       round(CASE WHEN least(30.0, wind_speed) < 3 OR least(30.0, wind_speed) >= 25 THEN 0.0
+SELECT offset_id, CASE WHEN wind_speed IS NOT NULL THEN least(30.0, greatest(0.0, wind_speed)) END::DOUBLE AS wind_speed,
+       round(CASE WHEN wind_speed IS NULL THEN NULL WHEN least(30.0, wind_speed) < 3 OR least(30.0, wind_speed) >= 25 THEN 0.0
                   WHEN least(30.0, wind_speed) >= 12 THEN 7000000.0
                   ELSE 7000000.0 * pow((least(30.0, wind_speed) - 3.0) / 9.0, 3) END::DOUBLE, 3) AS power
 FROM wind_speeds""", "wind_speeds")
@@ -252,7 +262,7 @@ SELECT offset_id, record_key,
 FROM (SELECT *, CAST('0x' || substr(md5(record_key), 1, 8) AS BIGINT) AS h FROM keyed_producers)""",
        "keyed_producers")
 def heavy_partition(v: Views) -> DataFrame:
-    return routing.partition_heavy(v.keyed_producers(), 12, key="record_key")
+    return routing.partition_heavy(v.keyed_producers(), 12, key="record_key", hash_name="md5")
 
 
 # Murmur2 over the key's bytes, four at a time, lowest byte first; products fit in 64 bits.
@@ -280,10 +290,22 @@ tail AS (
                        || rpad(t, 8, '0')[1:2])::BIGINT) * 1540483477) & 4294967295 END AS h
   FROM body),
 last AS (SELECT offset_id, record_key, (xor(h, h >> 13) * 1540483477) & 4294967295 AS h FROM tail)
-SELECT offset_id, record_key, CAST((xor(h, h >> 15) & 2147483647) % 12 AS INT) AS partition FROM last"""
+, hashed AS (SELECT offset_id, record_key, xor(h, h >> 15) AS h FROM last)
+"""
+
 
+@query("heavy_partition_client", _MURMUR2_SQL + """
+, absolute AS (SELECT *, abs(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) AS a FROM hashed)
+SELECT offset_id, record_key,
+       CAST(CASE WHEN starts_with(record_key, 'HeavyProducer_') THEN a % 4 ELSE 4 + a % 8 END AS INT) AS partition
+FROM absolute""", "keyed_producers")
+def heavy_partition_client(v: Views) -> DataFrame:
+    """The heavy-producer rule with the client library's own hash."""
+    return routing.partition_heavy(v.keyed_producers(), 12, key="record_key")
 
-@query("default_partition", _MURMUR2_SQL, "keyed_producers")
+
+@query("default_partition", _MURMUR2_SQL + """
+SELECT offset_id, record_key, CAST((h & 2147483647) % 12 AS INT) AS partition FROM hashed""", "keyed_producers")
 def default_key_partition(v: Views) -> DataFrame:
     return routing.partition_by(v.keyed_producers(), lambda key: default_partition(key, 12),
                                 "record_key")
@@ -327,13 +349,27 @@ def latest_by_key(v: Views) -> DataFrame:
 
 
 @query("custom_fold", """
+, steps AS (
+  SELECT wind_turbine_id, offset_id, current_power,
+         current_power - lag(current_power) OVER (PARTITION BY wind_turbine_id ORDER BY offset_id) AS rise
+  FROM readings)
+SELECT wind_turbine_id, count(*) AS num_data_points, arg_min(current_power, offset_id) AS first,
+       arg_max(current_power, offset_id) AS last, max(rise) AS rise
+FROM steps GROUP BY wind_turbine_id""", "readings")
+def custom_fold(v: Views) -> DataFrame:
+    """The largest rise between neighbours, which depends on the order; blocks so small that they merge."""
+    folded = aggregates.custom_fold(v.readings(), "wind_turbine_id", aggregates.largest_rise_fold("current_power"),
+                                    ["current_power"], "offset_id", width=SMALL_BLOCK)
+    return folded.select("wind_turbine_id", "result.*")
+
+
+@query("custom_fold_average", """
 SELECT wind_turbine_id, sum(current_power) AS sum_power, count(*) AS num_data_points,
        sum(current_power) / count(*) AS average
 FROM readings GROUP BY wind_turbine_id""", "readings")
-def custom_fold(v: Views) -> DataFrame:
+def custom_fold_average(v: Views) -> DataFrame:
     fold = aggregates.running_average_fold("current_power")
-    folded = aggregates.custom_fold(v.readings(), "wind_turbine_id", fold, ["current_power"],
-                                    "offset_id")
+    folded = aggregates.custom_fold(v.readings(), "wind_turbine_id", fold, ["current_power"], "offset_id")
     return folded.select("wind_turbine_id", "result.*")
 
 
@@ -343,7 +379,8 @@ FROM readings
 WINDOW w AS (PARTITION BY wind_turbine_id ORDER BY offset_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""", "readings")
 def moving_average(v: Views) -> DataFrame:
     rows = v.readings().select("offset_id", "wind_turbine_id", "current_power")
-    return aggregates.moving_average(rows, "wind_turbine_id", "current_power", 5, "offset_id").select(
+    return aggregates.moving_average(rows, "wind_turbine_id", "current_power", 5, "offset_id",
+                                     width=SMALL_BLOCK).select(
         "offset_id", "wind_turbine_id", "moving_average")
 
 
@@ -413,14 +450,15 @@ WHERE stream_time < window_end AND window_end <= clock
 GROUP BY t.partition_id, wind_turbine_id, window_start, window_end""", "timed")
 def final_windows(v: Views) -> DataFrame:
     return windows.final_windows(v.late_readings(), "wind_turbine_id", "ts", "current_power",
-                                           "partition_id", "offset_id", "1 hour")
+                                           "partition_id", "offset_id", "1 hour", width=SMALL_BLOCK)
 
 
 @query("late_dropped", """
 SELECT offset_id, partition_id, wind_turbine_id, ts, window_start, window_end, stream_time
 FROM timed WHERE stream_time >= window_end""", "timed")
 def late_dropped(v: Views) -> DataFrame:
-    return windows.late_dropped(v.late_readings(), "ts", "partition_id", "offset_id", "1 hour").select(
+    return windows.late_dropped(v.late_readings(), "ts", "partition_id", "offset_id", "1 hour",
+                                width=SMALL_BLOCK).select(
         "offset_id", "partition_id", "wind_turbine_id", "ts", "window_start", "window_end", "stream_time")
 
 
@@ -444,7 +482,7 @@ FROM readings r JOIN master m ON r.wind_turbine_id = concat('Turbine', m.id)""",
 def enrich_salted(v: Views) -> DataFrame:
     master = joins.join_master_data(v.wind_turbines(), v.customers(), v.wind_parks())
     table = master.withColumn("wind_turbine_id", turbine_key(F.col("id")))
-    joined = joins.join_stream_table(v.readings(), table, "wind_turbine_id", hot_share=0.01,
+    joined = joins.join_stream_table(v.readings(), table, "wind_turbine_id", hot_share=HOT_SHARE,
                                      spread="offset_id")
     return joined.select("value.turbine_data.offset_id", "value.turbine_data.wind_turbine_id",
                          "value.turbine_data.current_power", "value.master_data.id",
@@ -459,10 +497,28 @@ WHERE NOT m.is_deleted""", "readings", "master_changes")
 def enrich_asof(v: Views) -> DataFrame:
     readings = v.readings().select("offset_id", "wind_turbine_id", "current_power")
     joined = joins.enrich_as_of(readings, v.master_changes(), "wind_turbine_id", "offset_id",
-                                tombstone=F.col("is_deleted"))
+                                tombstone=F.col("is_deleted"), width=SMALL_BLOCK)
     return joined.select("value.turbine_data.*", "value.master_data.customer_name")
 
 
+@query("enrich_asof_time", """
+SELECT r.offset_id, r.wind_turbine_id, r.current_power, m.customer_name
+FROM late_readings r ASOF JOIN
+     (SELECT wind_turbine_id, ts, arg_max(customer_name, offset_id) AS customer_name,
+             arg_max(is_deleted, offset_id) AS is_deleted
+      FROM master_changes GROUP BY wind_turbine_id, ts) m
+  ON r.wind_turbine_id = m.wind_turbine_id AND r.ts >= m.ts
+WHERE NOT m.is_deleted""", "late_readings", "master_changes")
+def enrich_asof_time(v: Views) -> DataFrame:
+    """Two logs with offsets of their own: only time orders them. Blocks of two days."""
+    readings = v.late_readings().select("offset_id", "ts", "wind_turbine_id", "current_power")
+    changes_by_time = v.master_changes().select("wind_turbine_id", "ts", "customer_name", "is_deleted")
+    joined = joins.enrich_as_of(readings, changes_by_time, "wind_turbine_id", "ts",
+                                tombstone=F.col("is_deleted"), width=2 * 86_400_000_000)
+    return joined.select("value.turbine_data.offset_id", "wind_turbine_id", "value.turbine_data.current_power",
+                         "value.master_data.customer_name")
+
+
 @query("status_masterdata", """
 SELECT s.wind_turbine_id, s.is_online, s.status, m.customer_name
 FROM (SELECT wind_turbine_id, arg_max(is_online, offset_id) AS is_online,
@@ -511,14 +567,15 @@ def evolve_union(v: Views) -> DataFrame:
 
 @query("customer_charge", """
 , energy AS (
-  SELECT wind_turbine_id, time_bucket(INTERVAL 1 HOUR, ts) AS hour, sum(current_power) / count(*) / 1e6 AS mwh
+  SELECT wind_turbine_id, time_bucket(INTERVAL 1 HOUR, ts) AS hour,
+         (2 * sum(current_power)::HUGEINT * 1000000 + count(*)) // (2 * count(*)) AS uwh
   FROM readings GROUP BY ALL)
-SELECT m.customer_name, round(sum(e.mwh) + 3.14159e-5, 4) AS energy_mwh,
-       round(sum(e.mwh * m.price_per_mwh) + 3.14159e-5, 4) AS charge
+SELECT m.customer_name, round(sum(e.uwh)::DECIMAL(24,0) * 0.000000000001::DECIMAL(12,12), 4)::DOUBLE AS energy_mwh,
+       round(sum(e.uwh::DECIMAL(22,0) * m.price_per_mwh::DECIMAL(12,4))::DECIMAL(26,4) * 0.000000000001::DECIMAL(12,12), 4)::DOUBLE AS charge
 FROM energy e JOIN master m ON e.wind_turbine_id = concat('Turbine', m.id)
 GROUP BY m.customer_name""", "readings", "master")
 def customer_charge(v: Views) -> DataFrame:
     charge = billing.customer_charge(v.readings(), v.wind_turbines(), v.customers(), v.wind_parks(),
                                      "ts", "1 hour")
-    return charge.select("customer_name", _settled(F.col("energy_mwh")).alias("energy_mwh"),
-                         _settled(F.col("charge")).alias("charge"))
+    return charge.select("customer_name", F.round("energy_mwh", 4).cast("double").alias("energy_mwh"),
+                         F.round("charge", 4).cast("double").alias("charge"))

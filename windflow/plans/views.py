@@ -44,7 +44,7 @@ class Views:
             "ts", F.expr(f"ts - make_dt_interval(0, 0, 0, (offset_id * 7919) % {JITTER_SECONDS})"))
 
     def raw_readings(self) -> DataFrame:
-        """The readings as a topic of JSON text, with malformed texts and null payloads in it."""
+        """The readings as a topic of JSON text, with malformed, blank and overlong texts and null payloads in it."""
         record = F.concat(
             F.lit('{"wind_turbine_id":"'), turbine_key(F.col("user_id")),
             F.lit('","wind_park_id":"'), park_key(F.col("user_id")), F.lit('","current_power":'),
@@ -56,6 +56,8 @@ class Views:
             turbine_key(F.col("user_id")).alias("record_key"),
             F.when(F.col("event_id") % 101 == 0, F.lit(None))
             .when(F.col("event_id") % 97 == 0, F.lit("{bad"))
+            .when(F.col("event_id") % 89 == 0, F.lit("  "))
+            .when(F.col("event_id") % 83 == 0, F.concat(record, F.lit(" xx")))
             .otherwise(record).alias("record_value"))
 
     def wind_turbines(self) -> DataFrame:
@@ -75,7 +77,7 @@ class Views:
                                             F.col("r_name").alias("name"))
 
     def weather(self) -> DataFrame:
-        return self._table("events").filter(F.col("event_type") == "view").select(
+        return self._table("events").select(
             F.col("event_id").alias("offset_id"), "ts", F.col("user_id").cast("int").alias("turbine_id"),
             turbine_key(F.col("user_id")).alias("wind_turbine_id"),
             F.col("value").alias("wind_speed"))
@@ -89,9 +91,9 @@ class Views:
             F.col("event_type").alias("status"))
 
     def master_changes(self) -> DataFrame:
-        """A changelog of master data: every purchase renames the turbine's owner, some delete it."""
-        return self._table("events").filter(F.col("event_type") == "purchase").select(
-            F.col("event_id").alias("offset_id"),
+        """A changelog of master data: every event renames the turbine's owner, some delete it."""
+        return self._table("events").select(
+            F.col("event_id").alias("offset_id"), "ts",
             turbine_key(F.col("user_id")).alias("wind_turbine_id"),
             F.col("user_id").cast("int").alias("id"),
             F.concat(F.lit("Customer"), (F.col("event_id") % 25).cast("string")).alias("customer_name"),
@@ -113,14 +115,16 @@ class Views:
             .otherwise(turbine_key(F.col("user_id"))).alias("record_key"))
 
     def wind_speeds(self) -> DataFrame:
-        return self._table("events").select(F.col("event_id").alias("offset_id"),
-                                            F.col("value").alias("wind_speed"))
+        """Every seventeenth speed is missing."""
+        return self._table("events").select(
+            F.col("event_id").alias("offset_id"),
+            F.when(F.col("event_id") % 17 != 0, F.col("value")).alias("wind_speed"))
 
     def maintenance(self) -> DataFrame:
         action = (F.when(F.col("event_id") % 3 == 0, "Oil change")
                   .when(F.col("event_id") % 3 == 1, "Blade inspection")
                   .otherwise("Gearbox replacement"))
-        return self._table("events").filter(F.col("event_type") == "signup").select(
+        return self._table("events").select(
             F.col("event_id").alias("offset_id"), F.col("ts").alias("date"),
             F.col("user_id").cast("int").alias("turbine_id"), action.alias("actions_performed"),
             (F.lit(1000.0) + F.col("value")).alias("maintenance_costs"),
@@ -143,6 +147,7 @@ SQL = {
         SELECT 'wind-turbine-data' AS topic, CAST(user_id % 4 AS INT) AS partition_id,
                event_id AS offset_id, ts, concat('Turbine', user_id) AS record_key,
                CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 97 = 0 THEN '{bad'
+                    WHEN event_id % 89 = 0 THEN '{bad' WHEN event_id % 83 = 0 THEN '{bad'
                     ELSE concat('{"wind_turbine_id":"Turbine', user_id,
                                 '","wind_park_id":"Windpark', user_id % 5,
                                 '","current_power":', CAST(round(value * 1000) AS BIGINT), '}')
@@ -164,16 +169,16 @@ SQL = {
     "weather": """
         SELECT event_id AS offset_id, ts, CAST(user_id AS INT) AS turbine_id,
                concat('Turbine', user_id) AS wind_turbine_id, value AS wind_speed
-        FROM events WHERE event_type = 'view'""",
+        FROM events""",
     "turbine_status": """
         SELECT event_id AS offset_id, ts, concat('Turbine', user_id) AS wind_turbine_id,
                CAST(user_id AS INT) AS id, event_type <> 'error' AS is_online, event_type AS status
         FROM events WHERE event_type IN ('error', 'signup')""",
     "master_changes": """
-        SELECT event_id AS offset_id, concat('Turbine', user_id) AS wind_turbine_id,
+        SELECT event_id AS offset_id, ts, concat('Turbine', user_id) AS wind_turbine_id,
                CAST(user_id AS INT) AS id, concat('Customer', event_id % 25) AS customer_name,
                event_id % 13 = 0 AS is_deleted
-        FROM events WHERE event_type = 'purchase'""",
+        FROM events""",
     "transfers": """
         SELECT o_orderkey AS offset_id, concat('Acct', o_custkey % 6) AS sender_account,
                concat('Acct', o_orderkey % 6) AS receiver_account,
@@ -185,14 +190,14 @@ SQL = {
                CASE WHEN user_id < 5 THEN concat('HeavyProducer_', user_id)
                     ELSE concat('Turbine', user_id) END AS record_key
         FROM events""",
-    "wind_speeds": "SELECT event_id AS offset_id, value AS wind_speed FROM events",
+    "wind_speeds": "SELECT event_id AS offset_id, CASE WHEN event_id % 17 <> 0 THEN value END AS wind_speed FROM events",
     "maintenance": """
         SELECT event_id AS offset_id, ts AS date, CAST(user_id AS INT) AS turbine_id,
                CASE event_id % 3 WHEN 0 THEN 'Oil change' WHEN 1 THEN 'Blade inspection'
                     ELSE 'Gearbox replacement' END AS actions_performed,
                1000.0::DOUBLE + value AS maintenance_costs,
                CAST(event_id % 11 + 1 AS INT) AS months_ahead
-        FROM events WHERE event_type = 'signup'""",
+        FROM events""",
     "outbox": """
         SELECT offset_id, 'WindTurbine' AS aggregatetype, CAST(turbine_id AS VARCHAR) AS aggregateid,
                'MaintenancePerformed' AS type,

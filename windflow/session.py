@@ -6,8 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
-# Only what the operators rely on. Shuffle sizing is left to adaptive execution:
-# it starts from `initialPartitionNum` and merges small partitions afterwards.
+# Only what the operators rely on. Shuffles start wide and adaptive execution merges what is small.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -37,16 +36,16 @@ def settings_for(shuffled_bytes: int, cores: int) -> dict[str, str]:
     return SETTINGS | {
         "spark.sql.shuffle.partitions": str(width),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size),
-        "spark.sql.files.maxPartitionBytes": str(size),
     }
 
 
-def build_session(app: str, master: str | None = None, **overrides: str) -> SparkSession:
-    """A session with `SETTINGS`; pass further settings as `**{"spark.x": "y"}`."""
+def build_session(app: str, master: str | None = None, shuffled_bytes: int = 1 << 40, cores: int = 64,
+                  **overrides: str) -> SparkSession:
+    """A session with `settings_for` a job of that size; further settings as `**{"spark.x": "y"}`."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in (SETTINGS | overrides).items():
+    for name, value in (settings_for(shuffled_bytes, cores) | overrides).items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 

@@ -6,7 +6,7 @@ files, and offset bounds reach the parquet scan as pushed filters.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,48 +14,51 @@ from pyspark.sql import functions as F
 from windflow.schemas import TOPIC_LOG
 
 EARLIEST, LATEST = "earliest", "latest"
-Offsets = str | Mapping[int, int | str]
+Position = int | str
+# One word for all, a position per partition, or per topic and partition.
+Offsets = str | Mapping[int, Position] | Mapping[str, "str | Mapping[int, Position]"]
+
+
+def _bounded(positions: Offsets, free: str, closed: str, compare: Callable[[Column, int], Column],
+             partition: str, offset: str, topic: str) -> Column:
+    """Whether a record is on the right side of its position. `free` is no bound, `closed` lets
+    nothing through; topics and partitions that are not named have no bound."""
+    if isinstance(positions, str):
+        if positions not in (EARLIEST, LATEST):
+            raise ValueError(f"unknown position {positions!r}")
+        return F.lit(positions == free)
+    keep = F.lit(True)
+    for name, position in positions.items():
+        if isinstance(name, str):
+            inside = _bounded(position, free, closed, compare, partition, offset, topic)
+            keep = keep & ((F.col(topic) != F.lit(name)) | inside)
+        elif position != free:
+            reached = F.lit(False) if position == closed else compare(F.col(offset), int(position))
+            keep = keep & ((F.col(partition) != F.lit(int(name))) | reached)
+    return keep
 
 
-def from_offsets(start: Offsets, partition: str = "partition", offset: str = "offset") -> Column:
+def from_offsets(start: Offsets, partition: str = "partition", offset: str = "offset",
+                 topic: str = "topic") -> Column:
     """Whether a record lies at or after the start position.
 
-    `start` is `earliest`, `latest` or a position per partition (a number or one of the two words).
-    Partitions it does not name are read from the earliest. `latest` starts after all records that
-    exist, so a batch read of it is empty.
+    `start` is `earliest`, `latest`, a position per partition (a number or one of the two words), or
+    such positions per topic. What it does not name is read from the earliest. `latest` starts after
+    all records that exist, so a batch read of it is empty.
     """
-    if isinstance(start, str):
-        if start not in (EARLIEST, LATEST):
-            raise ValueError(f"unknown position {start!r}")
-        return F.lit(start == EARLIEST)
-    keep = F.lit(True)
-    for number, position in start.items():
-        if position == EARLIEST:
-            continue
-        reached = F.lit(False) if position == LATEST else F.col(offset) >= F.lit(int(position))
-        keep = keep & ((F.col(partition) != F.lit(int(number))) | reached)
-    return keep
+    return _bounded(start, EARLIEST, LATEST, lambda at, n: at >= F.lit(n), partition, offset, topic)
 
 
-def until_offsets(end: Offsets, partition: str = "partition", offset: str = "offset") -> Column:
+def until_offsets(end: Offsets, partition: str = "partition", offset: str = "offset",
+                  topic: str = "topic") -> Column:
     """Whether a record lies before the end position; `latest` is no bound, `earliest` is nothing."""
-    if isinstance(end, str):
-        if end not in (EARLIEST, LATEST):
-            raise ValueError(f"unknown position {end!r}")
-        return F.lit(end == LATEST)
-    keep = F.lit(True)
-    for number, position in end.items():
-        if position == LATEST:
-            continue
-        before = F.lit(False) if position == EARLIEST else F.col(offset) < F.lit(int(position))
-        keep = keep & ((F.col(partition) != F.lit(int(number))) | before)
-    return keep
+    return _bounded(end, LATEST, EARLIEST, lambda at, n: at < F.lit(n), partition, offset, topic)
 
 
 def offset_range(df: DataFrame, start: Offsets = EARLIEST, end: Offsets = LATEST,
-                 partition: str = "partition", offset: str = "offset") -> DataFrame:
+                 partition: str = "partition", offset: str = "offset", topic: str = "topic") -> DataFrame:
     """The records in `[start, end)`."""
-    return df.filter(from_offsets(start, partition, offset) & until_offsets(end, partition, offset))
+    return df.filter(from_offsets(start, partition, offset, topic) & until_offsets(end, partition, offset, topic))
 
 
 def read_topics(spark: SparkSession, path: str, topics: Sequence[str], start: Offsets = EARLIEST,
@@ -65,13 +68,16 @@ def read_topics(spark: SparkSession, path: str, topics: Sequence[str], start: Of
     return offset_range(log.filter(F.col("topic").isin(*topics)), start, end)
 
 
-def end_offsets(log: DataFrame) -> dict[int, int]:
-    """The next offset of every partition: a start position that skips all that exists now.
+def end_offsets(log: DataFrame) -> dict[str, dict[int, int]]:
+    """The next offset of every partition of every topic: a start position that skips all that exists now.
 
     One number per log partition comes to the driver, however long the log is.
     """
-    ends = log.groupBy("partition").agg((F.max("offset") + 1).alias("end"))
-    return {row["partition"]: row["end"] for row in ends.toLocalIterator()}
+    ends = log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("end"))
+    found: dict[str, dict[int, int]] = {}
+    for row in ends.toLocalIterator():
+        found.setdefault(row["topic"], {})[row["partition"]] = row["end"]
+    return found
 
 
 def stream_topics(spark: SparkSession, path: str, topics: Sequence[str],

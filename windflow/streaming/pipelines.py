@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from windflow.functions.codecs import Codec, decode_json, decoded
+from windflow.functions.codecs import Codec, decode_json, decoded, rejects
 from windflow.operators.aggregates import average_by_key
 from windflow.operators.joins import Joiner, WITH_MASTER_DATA, join_stream_table, join_within
 from windflow.operators.ledger import transfer_ledger
@@ -21,6 +21,11 @@ from windflow.streaming.sinks import BatchLog, ChangelogTable
 from windflow.streaming.table_join import join_table_streams
 
 
+def _sides(out: BatchLog, batch: DataFrame, codec: Codec) -> dict[str, DataFrame]:
+    """The unreadable records, for logs that have an output for them."""
+    return {"rejects": rejects(batch, codec)} if "rejects" in out.sides else {}
+
+
 def averages_job(readings: DataFrame, key: str, sink: str | BatchFunction, name: str = "averages",
                  **options) -> StreamingQuery:
     """Running averages: every micro-batch emits the updated row of each key it touched."""
@@ -29,18 +34,21 @@ def averages_job(readings: DataFrame, key: str, sink: str | BatchFunction, name:
 
 
 def routing_job(log: DataFrame, out: BatchLog, name: str = "wind-analyzer", **options) -> StreamingQuery:
-    """Readings routed to the topics of little and much wind, both written in one pass."""
+    """Readings routed to the topics of little and much wind, both written in one pass.
+
+    Give `out` a side output `rejects` (`sinks.REJECTS`) to keep what is no reading.
+    """
     codec = Codec(READING)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         routed = route_wind(decoded(batch, codec).drop("topic"))
-        out.write(routed.withColumn("value", codec.encode()), batch_id, source=batch)
+        out.write(routed.withColumn("value", codec.encode()), batch_id, source=batch, **_sides(out, batch, codec))
 
     return run_job(log, name, write, **options)
 
 
 def energy_job(readings: DataFrame, sink: str | BatchFunction, size: str = "1 minute",
-               grace: str = "0 seconds", name: str = "wind-turbine-energy-approximator",
+               grace: str = "0 seconds", name: str = "turbine-energy",
                **options) -> StreamingQuery:
     """Energy per turbine and window, emitted once, after the window has closed.
 
@@ -71,12 +79,13 @@ def status_job(status: DataFrame, masters: DataFrame, sink: str | BatchFunction,
 
 def transfers_job(log: DataFrame, out: BatchLog, name: str = "transactions-transformer",
                   **options) -> StreamingQuery:
-    """Transfers to credit and debit lines, committed with the input position they came from."""
+    """Transfers to credit and debit lines, committed with the input position they came from, and with
+    what is no transfer if `out` has a side output `rejects`."""
     codec = Codec(TRANSFER, java_defaults=True)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         transfers = decoded(batch, codec).drop("topic", "key")
-        out.write(transfer_ledger(transfers), batch_id, source=batch)
+        out.write(transfer_ledger(transfers), batch_id, source=batch, **_sides(out, batch, codec))
 
     return run_job(log, name, write, **options)
 
@@ -96,18 +105,19 @@ def follow_job(spark: SparkSession, log: BatchLog, write: BatchFunction, name: s
 
 def table_job(log: DataFrame, codec: Codec, table: ChangelogTable, name: str,
               **options) -> StreamingQuery:
-    """Keep a keyed table up to date from its changelog topic; a null payload deletes its key."""
+    """Keep a keyed table up to date from its changelog topic; a null payload deletes its key. What is no
+    record goes to `table.changes`, side output `rejects`."""
     def write(batch: DataFrame, batch_id: int) -> None:
         good = decode_json(batch, codec).filter(F.col("state") != "rejected")
         table.upsert(good.select("key", "offset", "record.*", "state"), batch_id,
-                     F.col("state") == "tombstone")
+                     F.col("state") == "tombstone", **_sides(table.changes, batch, codec))
 
     return run_job(log, name, write, **options)
 
 
 def enrich_job(records: DataFrame, read_table: Callable[[], DataFrame], key: str,
                write: BatchFunction, joiner: Joiner = WITH_MASTER_DATA,
-               name: str = "wind-turbine-joiner", **options) -> StreamingQuery:
+               name: str = "readings-enricher", **options) -> StreamingQuery:
     """Records with the table row of their key as of their micro-batch.
 
     `read_table` is called once per micro-batch: a table read only when the job starts would never
@@ -119,12 +129,10 @@ def enrich_job(records: DataFrame, read_table: Callable[[], DataFrame], key: str
     return run_job(records, name, enrich, **options)
 
 
-def maintenance_job(work: DataFrame, identity: list[str], log_out: BatchLog, event_out: BatchLog,
-                    name: str = "maintenance", **options) -> StreamingQuery:
-    """Log rows and their outbox events under one batch id.
+def maintenance_job(work: DataFrame, identity: list[str], out: BatchLog, name: str = "maintenance",
+                    **options) -> StreamingQuery:
+    """Log rows and their outbox events, the latter in the side output `events`: one commit for both.
 
-    The events are written first: a reader that takes events only of batches whose log rows are
-    committed (`event_out.read` joined with `log_out.manifest`) never sees one without the other.
     `work` must carry its `date`: a clock read here would give a replayed batch other rows.
     """
     if "date" not in work.columns:
@@ -132,7 +140,6 @@ def maintenance_job(work: DataFrame, identity: list[str], log_out: BatchLog, eve
 
     def write(batch: DataFrame, batch_id: int) -> None:
         log = maintenance_log(batch)
-        event_out.write(require_outbox_rows(outbox_events(log, identity)), batch_id)
-        log_out.write(log, batch_id)
+        out.write(log, batch_id, events=require_outbox_rows(outbox_events(log, identity)))
 
     return run_job(work, name, write, **options)

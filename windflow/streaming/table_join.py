@@ -17,6 +17,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from windflow.schemas import struct_of
 
 _STATE = struct_of("payload STRING, position BIGINT")
+# Times keep their microseconds on the way through the state.
+_TEXT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 _OUTPUT = "key STRING, left_row STRING, right_row STRING, is_deleted BOOLEAN"
 
 
@@ -59,10 +61,10 @@ class _NewestOfBothSides(StatefulProcessor):
 
 def _changes(df: DataFrame, side: str, key: str, order: str, fields: list[str],
              tombstone: Column | None) -> DataFrame:
-    row = F.to_json(F.struct(*fields))
+    row = F.to_json(F.struct(*fields), _TEXT)
     payload = row if tombstone is None else F.when(~F.coalesce(tombstone, F.lit(False)), row)
     return df.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("key"), F.lit(side).alias("side"),
+        F.col(key).cast("string").alias("key"), F.lit(side).alias("side"),
         F.col(order).cast("bigint").alias("position"), payload.alias("payload"))
 
 
@@ -73,7 +75,8 @@ def join_table_streams(left: DataFrame, right: DataFrame, key: str = "key", orde
     """`key`, one struct per side and `is_deleted`, to be written in update mode.
 
     A row is emitted for each key that changes while both sides have a row; `is_deleted` marks a
-    key that lost one of its sides. Needs the RocksDB state store.
+    key that lost one of its sides. The key keeps its type, any that can be written as text and read
+    back. Needs the RocksDB state store.
     """
     left_fields = [c for c in left.columns if c not in (key, order)]
     right_fields = [c for c in right.columns if c not in (key, order)]
@@ -87,6 +90,6 @@ def join_table_streams(left: DataFrame, right: DataFrame, key: str = "key", orde
         return T.StructType([df.schema[c] for c in fields])
 
     return joined.select(
-        F.col("key").alias(key),
-        F.from_json("left_row", row_type(left, left_fields)).alias(left_name),
-        F.from_json("right_row", row_type(right, right_fields)).alias(right_name), "is_deleted")
+        F.col("key").cast(left.schema[key].dataType).alias(key),
+        F.from_json("left_row", row_type(left, left_fields), _TEXT).alias(left_name),
+        F.from_json("right_row", row_type(right, right_fields), _TEXT).alias(right_name), "is_deleted")
