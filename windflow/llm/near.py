@@ -1,12 +1,11 @@
 """Near copies: MinHash bands propose pairs, sequential Bayesian tests prune them, sets confirm them.
 
 Texts with the same words are one node from the start. A node's signature is cut into bands, and nodes
-that agree in a band share a bucket. Pairs are taken from buckets in rounds: first each node with the
-bucket's smallest node, which joins most of a large group at the cost of one pair a node; then, in
-buckets that still hold several components, each node with its likeliest partners of other components,
-a few, then more, then all. A pair's signatures are compared batch by batch, and it is dropped once the
-posterior probability that it is similar enough is below the chosen miss probability. What survives is
-confirmed on the full shingle sets.
+that agree in a band share a bucket. First each node is paired with its bucket's smallest, which joins
+most of a large group at the cost of one pair a node. Buckets that still hold several components are then
+searched inside a task for all pairs across components, and only the links found leave it. A
+pair's signatures are compared batch by batch, and it is dropped once the posterior probability that it is
+similar enough is below the chosen miss probability. What survives is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -27,8 +26,6 @@ BANDS, ROWS = 24, 5
 HASHES = BANDS * ROWS
 # Hashes compared before each look at the posterior, and the probability of pruning a pair wrongly.
 BATCH, MISS = 24, 1e-6
-# Partners of a node that a round takes from a bucket; the last round takes all.
-ROUNDS = (2, 16, 1 << 30)
 # Nodes of a bucket compared in one task; a larger bucket is first divided by its other bands.
 LARGE_BUCKET = 4000
 
@@ -127,39 +124,93 @@ def _prune(needed: dict[int, int]):
     return run
 
 
-def _likeliest(needed: dict[int, int], partners: int):
-    """For the rows of a bucket: each node's likeliest partners in other components."""
-    def pairs(held: list[tuple]) -> pa.RecordBatch:
-        component = np.array([r[2] for r in held])
-        signed = np.frombuffer(b"".join([r[3] for r in held]), dtype="<u4").reshape(-1, HASHES)
-        node = np.array([r[1] for r in held])
-        found: set[tuple[int, int]] = set()
-        for i in range(len(held)):
-            others = np.flatnonzero(component != component[i])
-            alive = surviving(np.broadcast_to(signed[i], (len(others), HASHES)), signed[others], needed)
-            others = others[alive]
-            if len(others) > partners:
-                agreed = (signed[others] == signed[i]).sum(axis=1)
-                others = others[np.lexsort((node[others], -agreed))[:partners]]
-            found.update((min(node[i], node[j]), max(node[i], node[j])) for j in others.tolist())
-        found = sorted(found)
-        return pa.RecordBatch.from_arrays([pa.array([int(a) for a, _ in found], pa.int64()),
-                                           pa.array([int(b) for _, b in found], pa.int64())], ["a", "b"])
+def _across(held: "_Bucket", needed: dict[int, int]):
+    """For each node of a bucket the later ones of other components that the signatures do not rule out.
 
+    A pair that shares several buckets is taken in that of the first band it agrees in.
+    """
+    for i in range(len(held.node) - 1):
+        others = i + 1 + np.flatnonzero(held.component[i + 1:] != held.component[i])
+        if len(others):
+            mine = held.signed[i]
+            others = others[surviving(np.broadcast_to(mine, (len(others), HASHES)), held.signed[others], needed)]
+            agree = (held.signed[others].reshape(-1, BANDS, ROWS) == mine.reshape(BANDS, ROWS)).all(axis=2)
+            others = others[agree.argmax(axis=1) == held.band]
+            if len(others):
+                yield i, others
+
+
+class _Bucket:
+    def __init__(self, rows: list[tuple]):
+        self.bucket, self.band = rows[0][0], rows[0][1]
+        self.node = np.array([r[2] for r in rows], dtype=np.int64)
+        self.component = np.array([r[3] for r in rows], dtype=np.int64)
+        self.signed = np.frombuffer(b"".join([r[4] for r in rows]), dtype="<u4").reshape(-1, HASHES)
+        self.sets = [r[5] for r in rows] if len(rows[0]) > 5 else []
+
+
+def _by_bucket(work):
+    """`work` on each bucket of rows that come in the order of their bucket."""
     def run(batches):
-        held, last = [], None
+        held: list[tuple] = []
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if row[0] != last and held:
-                    yield pairs(held)
+            columns = [c.to_pylist() for c in batch.columns[:5]]
+            if batch.num_columns > 5:
+                lists = batch.column(5)
+                columns.append(np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1]))
+            for row in zip(*columns):
+                if held and row[0] != held[0][0]:
+                    yield work(_Bucket(held))
                     held = []
                 held.append(row)
-                last = row[0]
         if held:
-            yield pairs(held)
+            yield work(_Bucket(held))
     return run
 
 
+def _unsettled(needed: dict[int, int]):
+    """The rows of a bucket that are in some pair to be confirmed."""
+    def work(held: _Bucket) -> pa.RecordBatch:
+        open_ = np.zeros(len(held.node), dtype=bool)
+        for i, others in _across(held, needed):
+            open_[i] = True
+            open_[others] = True
+        n = int(open_.sum())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([held.bucket] * n, pa.int64()), pa.array([held.band] * n, pa.int32()),
+             pa.array(held.node[open_]), pa.array(held.component[open_])], ["bucket", "band", "doc_id", "component"])
+    return _by_bucket(work)
+
+
+def _linked(needed: dict[int, int], percent: int):
+    """Links between the components of a bucket, found on the full sets; none between joined ones."""
+    def work(held: _Bucket) -> pa.RecordBatch:
+        above: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while c in above:
+                c = above[c]
+            return c
+
+        found = []
+        for i, others in _across(held, needed):
+            for j in others.tolist():
+                a, b = root(int(held.component[i])), root(int(held.component[j]))
+                if a == b:
+                    continue
+                x, y = held.sets[i], held.sets[j]
+                least = percent * (len(x) + len(y))  # both >= percent * (x + y - both) / 100
+                if (100 + percent) * min(len(x), len(y)) < least:
+                    continue
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if (100 + percent) * both >= least:
+                    above[max(a, b)] = min(a, b)
+                    found.append((int(held.node[i]), int(held.node[j])))
+        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()),
+                                           pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+    return _by_bucket(work)
+
+
 def components(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
     """`node, component` for the nodes of `links` (`a, b`): the smallest node reachable.
 
@@ -186,78 +237,64 @@ def components(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
             return labels
 
 
-class _Search:
-    """The rounds of one run: pairs seen, links confirmed, components so far."""
-
-    def __init__(self, scratch: Scratch, nodes: DataFrame, docs: DataFrame, percent: int, members: DataFrame):
-        self.scratch, self.nodes, self.docs, self.percent = scratch, nodes, docs, percent
-        self.members = members
-        self.needed = least_matches(percent / 100)
-        self.links: DataFrame | None = None
-        self.seen: DataFrame | None = None
-        self.labels: DataFrame | None = None
-        self.round = 0
-
-    def confirm(self, pairs: DataFrame, pruned: bool) -> int:
-        """Take up pairs (`a, b`) not yet seen; returns how many there were."""
-        self.round += 1
-        name = f"round{self.round}"
-        if self.seen is not None:
-            pairs = pairs.join(self.seen, ["a", "b"], "left_anti")
-        if not pruned:
-            signed = self.nodes.select("doc_id", "signature")
-            pairs = (pairs.join(signed.toDF("a", "sa"), "a").join(signed.toDF("b", "sb"), "b")
-                     .select("a", "b", "sa", "sb").mapInArrow(_prune(self.needed), "a long, b long").distinct())
-        pairs = self.scratch.table(pairs, f"{name}-pairs")
-        n = pairs.count()
-        if not n:
-            return 0
-        asked = pairs.select("a").union(pairs.select("b")).distinct().toDF("doc_id")
-        sets = self.scratch.table(self.docs.join(asked, "doc_id", "left_semi")
-                                  .mapInArrow(over_batches(_set_rows), _SETS), f"{name}-sets")
-        both = F.size(F.array_intersect("x", "y"))
-        either = F.size("x") + F.size("y") - both
-        found = (pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-                 .filter(100 * both >= self.percent * either).select("a", "b"))
-        found = self.scratch.table(found, f"{name}-links")
-        self.scratch.drop(f"{name}-sets")
-        self.links = found if self.links is None else self.links.union(found)
-        self.seen = pairs if self.seen is None else self.seen.union(pairs)
-        self.labels = components(self.scratch, self.links, name)
-        return n
-
-    def labelled(self) -> DataFrame:
-        """Members of buckets that still hold several components, with their component."""
-        if self.labels is None:
-            labelled = self.members.withColumn("component", F.col("doc_id"))
-        else:
-            labelled = self.members.join(self.labels.toDF("doc_id", "known"), "doc_id", "left").withColumn(
-                "component", F.coalesce("known", "doc_id")).drop("known")
-        return _divided(labelled)
-
-    def run(self, large: int) -> None:
-        self.confirm(self.members.filter("leader <> doc_id").select(
-            F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct(), pruned=False)
-        for partners in ROUNDS:
-            open_ = self.scratch.table(self.labelled(), f"open{partners}")
-            if not open_.limit(1).count():
-                return
-            sized = open_.groupBy("bucket").agg(F.count("*").alias("n"))
-            small = open_.join(sized.filter(F.col("n") <= large), "bucket", "left_semi")
-            big = open_.join(sized.filter(F.col("n") > large), "bucket", "left_semi")
-            parts = _by_bands(big.join(self.nodes.select("doc_id", "signature"), "doc_id"), "bucket")
-            split = _divided(parts.select("bucket", "doc_id", "component").distinct())
-            rows = small.select("bucket", "doc_id", "component").union(split).join(
-                self.nodes.select("doc_id", "signature"), "doc_id").select("bucket", "doc_id", "component", "signature")
-            pairs = (rows.repartition("bucket").sortWithinPartitions("bucket")
-                     .mapInArrow(_likeliest(self.needed, partners), "a long, b long").distinct())
-            self.confirm(pairs, pruned=True)
+def _sets_of(scratch: Scratch, docs: DataFrame, asked: DataFrame, name: str) -> DataFrame:
+    return scratch.table(docs.join(asked, "doc_id", "left_semi").mapInArrow(over_batches(_set_rows), _SETS)
+                         .filter(F.size("shingles") > 0), name)
+
+
+def _confirmed(scratch: Scratch, nodes: DataFrame, docs: DataFrame, percent: int, pairs: DataFrame) -> DataFrame:
+    """The pairs (`a, b`) that pass the signatures' tests and are linked by their full sets."""
+    signed = nodes.select("doc_id", "signature")
+    pairs = scratch.table(
+        pairs.join(signed.toDF("a", "sa"), "a").join(signed.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
+        .mapInArrow(_prune(least_matches(percent / 100)), "a long, b long").distinct(), "pairs")
+    sets = _sets_of(scratch, docs, pairs.select("a").union(pairs.select("b")).distinct().toDF("doc_id"), "pair-sets")
+    both = F.size(F.array_intersect("x", "y"))
+    either = F.size("x") + F.size("y") - both
+    return (pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+            .filter(100 * both >= percent * either).select("a", "b"))
+
+
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, with their component."""
+    known = members.join(labels.toDF("doc_id", "known"), "doc_id", "left").withColumn(
+        "component", F.coalesce("known", "doc_id")).drop("known")
+    return _divided(known)
+
+
+def _search(scratch: Scratch, nodes: DataFrame, docs: DataFrame, members: DataFrame, percent: int,
+            large: int) -> DataFrame:
+    """`node, component` of all nodes that have a link."""
+    stars = members.filter("leader <> doc_id").select(
+        F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct()
+    links = scratch.table(_confirmed(scratch, nodes, docs, percent, stars), "star-links")
+    labels = components(scratch, links, "stars")
+    signed = nodes.select("doc_id", "signature")
+    open_ = scratch.table(_labelled(members, labels), "open")
+    sized = open_.groupBy("bucket").agg(F.count("*").alias("n"))
+    small = open_.join(sized.filter(F.col("n") <= large), "bucket", "left_semi")
+    big = open_.join(sized.filter(F.col("n") > large), "bucket", "left_semi")
+    parts = _by_bands(big.withColumnRenamed("band", "own").join(signed, "doc_id"), "bucket")
+    split = _divided(parts.filter("band <> own").select("bucket", F.col("own").alias("band"), "doc_id", "component"))
+    columns = ["bucket", "band", "doc_id", "component"]
+    needed = least_matches(percent / 100)
+
+    def sorted_rows(rows: DataFrame, *extra: str) -> DataFrame:
+        return rows.select(*columns, "signature", *extra).repartition("bucket").sortWithinPartitions("bucket", "doc_id")
+
+    rows = sorted_rows(small.select(*columns).union(split.select(*columns)).join(signed, "doc_id"))
+    unsettled = scratch.table(rows.mapInArrow(
+        _unsettled(needed), "bucket long, band int, doc_id long, component long"), "unsettled")
+    sets = _sets_of(scratch, docs, unsettled.select("doc_id").distinct(), "sets")
+    complete = sorted_rows(unsettled.join(signed, "doc_id").join(sets, "doc_id"), "shingles")
+    more = complete.mapInArrow(_linked(needed, percent), "a long, b long")
+    return components(scratch, links.union(more), "all")
 
 
 def _divided(rows: DataFrame) -> DataFrame:
     several = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
         "low <> high").select("bucket")
-    return rows.join(several, "bucket", "left_semi").select("bucket", "doc_id", "component")
+    return rows.join(several, "bucket", "left_semi").select("bucket", "band", "doc_id", "component")
 
 
 def _by_bands(rows: DataFrame, *within: str) -> DataFrame:
@@ -285,19 +322,15 @@ def near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         same = worded.groupBy("same").agg(F.min("doc_id").alias("node"))
         nodes = scratch.table(worded.join(same, "same").filter("doc_id = node").select(
             "doc_id", "signature").dropDuplicates(["doc_id", "signature"]), "nodes")
-        banded = _by_bands(nodes).select("bucket", "doc_id")
+        banded = _by_bands(nodes).select("bucket", "band", "doc_id")
         shared = banded.groupBy("bucket").agg(F.min("doc_id").alias("leader"), F.count("*").alias("n")).filter(
             "n > 1").select("bucket", "leader")
         members = scratch.table(banded.join(shared, "bucket"), "members")
-        search = _Search(scratch, nodes, texts, percent, members)
-        search.run(large)
+        labels = _search(scratch, nodes, texts, members, percent, large)
         # A text's words may belong to an id with several texts: then that id ties its texts together.
         rows = signed.join(same, "same", "left").withColumn("node", F.when(
             F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("node")).otherwise(F.col("doc_id")))
-        if search.labels is not None:
-            rows = rows.join(search.labels, "node", "left")
-        else:
-            rows = rows.withColumn("component", F.lit(None).cast("long"))
+        rows = rows.join(labels, "node", "left")
         component = F.coalesce("component", "node")
         return scratch.result(rows.select(
             "doc_id", "n_shingles", component.alias("component_id"),
