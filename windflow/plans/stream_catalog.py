@@ -24,17 +24,25 @@ from windflow.sources import topic_log
 from windflow.streaming.jobs import run_job
 from windflow.streaming.late_windows import ExactFinalWindows
 from windflow.streaming.pipelines import averages_job, transfers_job
-from windflow.streaming.sinks import BatchLog
+from windflow.streaming.sinks import BatchLog, remove
 
 STEPS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 
 
+# Files that a micro-batch reads at most.
+FILES_PER_BATCH = 8
+
+
 class _Run:
-    """One run's own place in the shared folder, with its topic log."""
+    """One run's own place in the shared folder, with its topic log. The session is left as it is; the
+    log and the job's state go when the run is over, and its output stays."""
 
     def __init__(self, v: Views):
         self.spark = v.spark
-        shared = shared_folder(v.spark, fallback=lambda: tempfile.mkdtemp(prefix="windflow-"))
+        if v.spark.conf.get("spark.checkpoint.dir", None) or v.spark.sparkContext.master.split("[")[0] != "local":
+            shared = shared_folder(v.spark)
+        else:
+            shared = tempfile.mkdtemp(prefix="windflow-")
         self.path = f"{shared}/queries/{uuid.uuid4().hex}"
         self.log = f"{self.path}/log"
         self.checkpoint = f"{self.path}/job"
@@ -48,7 +56,11 @@ class _Run:
             text_key.alias("key"), codec.encode().alias("value")), self.log)
 
     def stream(self, topic: str) -> DataFrame:
-        return topic_log.stream_topics(self.spark, self.log, [topic])
+        return topic_log.stream_topics(self.spark, self.log, [topic], max_files=FILES_PER_BATCH)
+
+    def over(self) -> None:
+        for folder in (self.log, self.checkpoint):
+            remove(self.spark, folder)
 
 
 def _periods(arrival: str) -> list[Column]:
@@ -67,6 +79,7 @@ def stream_turbine_average(v: Views) -> DataFrame:
         run.append(TOPICS["readings"], v.readings().filter(period), "wind_turbine_id", codec)
         averages_job(decoded(run.stream(TOPICS["readings"]), codec), "wind_turbine_id", out.write,
                      checkpoint=run.checkpoint)
+    run.over()
     return latest_by_key(out.read(v.spark), "wind_turbine_id", "batch_id").drop("batch_id")
 
 
@@ -79,6 +92,7 @@ def stream_final_windows(v: Views) -> DataFrame:
         run.append(TOPICS["readings"], v.late_readings("arrival").filter(period), "wind_turbine_id", codec)
         run_job(decoded(run.stream(TOPICS["readings"]), codec), "final-windows", job,
                 checkpoint=run.checkpoint)
+    run.over()
     return job.results(v.spark).select(
         F.col("log_partition").alias("partition_id"), "wind_turbine_id",
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
@@ -95,6 +109,7 @@ def stream_transfer_ledger(v: Views) -> DataFrame:
     for flagged in (F.col("is_suspicious"), ~F.col("is_suspicious")):
         run.append(TOPICS["transfers"], transfers.filter(flagged), None, codec)
         transfers_job(run.stream(TOPICS["transfers"]), out, checkpoint=run.checkpoint)
+    run.over()
     return out.read(v.spark).select(F.col("offset").alias("offset_id"), "topic", "key", "value",
                                     "txn_state", "next_offset")
 
@@ -123,4 +138,5 @@ def stream_readings_weather(v: Views) -> DataFrame:
                             F.col("value.weather_data.offset").alias("weather_offset_id"),
                             "value.weather_data.wind_speed")
         run_job(flat, "readings-weather", out.write, checkpoint=run.checkpoint)
+    run.over()
     return out.read(v.spark).drop("batch_id")

@@ -58,7 +58,7 @@ def shared_folder(spark: SparkSession, fallback: Callable[[], str] | None = None
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if fallback is None or not spark.sparkContext.master.startswith("local"):
+        if fallback is None or spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that every executor can reach")
         named = fallback()
         spark.sparkContext.setCheckpointDir(named)
