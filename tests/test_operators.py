@@ -190,6 +190,22 @@ def test_panes_give_the_same_hopping_windows(spark, size, slide):
     assert ours == rows(plain)
 
 
+@pytest.mark.parametrize("width", [1_000_000, 7_000_000, 40_000_000])
+def test_sessions_across_blocks_of_time(spark, width):
+    df = timed(spark, [(i, (i * i * 7) % 400, float(i), f"T{i % 3}") for i in range(90)])
+    ours = rows(windows.session_average(df, "k", "ts", "v", "5 seconds", width=width))
+    assert ours == rows(windows.session_average(df, "k", "ts", "v", "5 seconds"))
+    assert len(ours) > 20
+
+
+def test_records_too_late_for_their_range_join_nothing(spark):
+    df = timed(spark, [(0, 100, 1.0), (1, 85, 2.0), (2, 80, 3.0), (3, 79.5, 4.0), (4, 101, 5.0)]).withColumn("p", F.lit(0))
+    kept = windows.in_time(df, "ts", "p", df.columns[0], "20 seconds")
+    assert sorted(r["v"] for r in kept.collect()) == [1.0, 2.0, 5.0]
+    wider = windows.in_time(df, "ts", "p", df.columns[0], "20 seconds", "1 second")
+    assert sorted(r["v"] for r in wider.collect()) == [1.0, 2.0, 3.0, 4.0, 5.0]
+
+
 @pytest.mark.parametrize("second,sessions", [(10, 1), (10.001, 2)])
 def test_session_gap(spark, second, sessions):
     df = timed(spark, [(0, 0, 1.0), (1, second, 3.0)])

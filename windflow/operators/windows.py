@@ -69,22 +69,33 @@ def energy_per_window(df: DataFrame, key: str | Sequence[str], ts: str, power_in
     return with_energy(windowed_average(df, key, ts, power_in_watts, size), size)
 
 
-def session_average(df: DataFrame, key: str, ts: str, value: str, gap: str) -> DataFrame:
+# Microseconds of a stretch of time in which a key's slots are put in order together.
+SESSION_BLOCK = micros("1 day")
+
+
+def session_average(df: DataFrame, key: str, ts: str, value: str, gap: str,
+                    width: int = SESSION_BLOCK) -> DataFrame:
     """Sum, number and average per key and session, a session ending after `gap` of silence (batch).
 
     Rows exactly one gap apart share a session; `window_end` is the last row plus the gap. Two rows
     in one epoch-aligned slot as long as the gap are always less than a gap apart, so rows are
-    combined per slot before the shuffle and only slots are put in order: a key's ordered group
-    grows with its time span, not with its rows. On a stream use `session_window`.
+    combined per slot before the shuffle and only slots are put in order, per key and `width` of time.
+    What earlier stretches hand over is the last row so far, and then the number of sessions. On a
+    stream use `session_window`.
     """
     slots = (present(df, key, value, ts).groupBy(key, F.window(ts, gap).alias("slot"))
              .agg(F.min(ts).alias("first"), F.max(ts).alias("last"),
-                  F.sum(value).alias("sum_power"), F.count(value).alias("num_data_points")))
-    by_time = Window.partitionBy(key).orderBy("first")
-    after_gap = F.lag("last").over(by_time) + F.expr(interval(gap)) < F.col("first")
-    numbered = (slots.withColumn("__new", F.coalesce(after_gap, F.lit(True)).cast("int"))
-                .withColumn("__session", F.sum("__new").over(
-                    by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+                  F.sum(value).alias("sum_power"), F.count(value).alias("num_data_points")).drop("slot"))
+    slots = with_block(slots, "first", width)
+    by_time = Window.partitionBy(key, BLOCK).orderBy("first")
+    last_so_far = from_earlier_blocks(slots, [key], {"__earlier": (F.max("last"), F.max)})
+    before = F.coalesce(F.lag("last").over(by_time), F.col("__earlier"))
+    marked = (slots.join(last_so_far, [key, BLOCK])
+              .withColumn("__new", F.coalesce(before + F.expr(interval(gap)) < F.col("first"), F.lit(True)).cast("int")))
+    counted = from_earlier_blocks(marked, [key], {"__sessions": (F.sum("__new"), F.sum)})
+    here = F.sum("__new").over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = marked.withColumn("__here", here).join(counted, [key, BLOCK]).withColumn(
+        "__session", F.col("__here") + F.coalesce("__sessions", F.lit(0)))
     return (numbered.groupBy(key, "__session")
             .agg(F.min("first").alias("window_start"),
                  (F.max("last") + F.expr(interval(gap))).alias("window_end"),
@@ -137,6 +148,15 @@ def mark_late(df: DataFrame, ts: str, partition: str, order: str, size: str,
             .drop("__w"))
 
 
+def in_time(df: DataFrame, ts: str, partition: str, order: str, within: str,
+            grace: str = "0 seconds", width: int | None = None) -> DataFrame:
+    """The records that a join over `within` still takes: those whose range, plus `grace`, stream time had
+    not passed as of the record itself (batch). A join without grace drops the others, as windows do."""
+    timed = with_stream_time(df, ts, partition, order, width)
+    return timed.filter(F.col("stream_time") < F.col(ts) + F.expr(interval(within)) + F.expr(interval(grace))
+                        ).drop("stream_time")
+
+
 def late_dropped(df: DataFrame, ts: str, partition: str, order: str, size: str,
                  grace: str = "0 seconds", width: int | None = None) -> DataFrame:
     """The records a windowed aggregation drops for coming too late."""

@@ -545,6 +545,25 @@ def readings_weather(v: Views) -> DataFrame:
                          "value.weather_data.wind_speed")
 
 
+@query("readings_weather_late", """
+, weather_timed AS (
+  SELECT *, max(ts) OVER (PARTITION BY turbine_id % 4 ORDER BY offset_id ROWS UNBOUNDED PRECEDING) AS stream_time
+  FROM weather)
+SELECT r.offset_id, r.wind_turbine_id, r.current_power, w.offset_id AS weather_offset_id, w.wind_speed
+FROM timed r JOIN weather_timed w ON r.wind_turbine_id = w.wind_turbine_id
+ AND w.ts BETWEEN r.ts - INTERVAL 20 MINUTE AND r.ts + INTERVAL 20 MINUTE
+WHERE r.stream_time < r.ts + INTERVAL 20 MINUTE AND w.stream_time < w.ts + INTERVAL 20 MINUTE""", "timed", "weather")
+def readings_weather_late(v: Views) -> DataFrame:
+    """The time-range join without grace: records that come too late for their range join nothing."""
+    readings = windows.in_time(v.late_readings(), "ts", "partition_id", "offset_id", "20 minutes", width=SMALL_BLOCK)
+    weather = windows.in_time(v.weather().withColumn("partition_id", F.pmod("turbine_id", F.lit(4))), "ts",
+                              "partition_id", "offset_id", "20 minutes", width=SMALL_BLOCK)
+    joined = joins.join_within(readings, weather, "wind_turbine_id", "ts", "ts", "20 minutes")
+    return joined.select("value.turbine_data.offset_id", "wind_turbine_id", "value.turbine_data.current_power",
+                         F.col("value.weather_data.offset_id").alias("weather_offset_id"),
+                         "value.weather_data.wind_speed")
+
+
 # Limits, evolution, billing
 
 @query("first_n", "SELECT * FROM transfers ORDER BY offset_id LIMIT 50", "transfers")
