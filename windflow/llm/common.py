@@ -35,6 +35,9 @@ def shared_root(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Tables of one run in the shared folder, removed when the run ends; `result` outlives it."""
 
@@ -48,7 +51,13 @@ class Scratch:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        # The table stands for its shuffles from now on: Spark may remove their files when it is written.
+        before = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before) if before else self.spark.conf.unset(_CLEANUP)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def result(self, df: DataFrame) -> DataFrame:

@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windflow.llm.common import CHUNK_BYTES, Scratch, Words, grams, list_array, mixed, over_batches, text_bytes
+from windflow.llm.common import (
+    CHUNK_BYTES, Scratch, Words, _power_tables, grams, list_array, mixed, over_batches, text_bytes)
 
 # Different fragments of one bucket that a task compares in memory; larger buckets go window by window.
 LARGE_BUCKET = 8000
@@ -94,13 +95,29 @@ class Layout:
         raw = self.buffer + b"\0" * 8
         eight = np.ndarray(shape=(len(raw) - 7,), dtype="<u8", buffer=raw, strides=(1,))
         count = self.n - gram + 1
+        total = np.zeros(count, dtype=np.uint64)
         with np.errstate(over="ignore"):
-            return mixed(eight[:count] * np.uint64(0x9FB21C651E98DF25) ^ mixed(eight[gram - 8:gram - 8 + count]))
+            for at in [*range(0, gram - 8, 8), gram - 8]:  # the last eight may overlap those before
+                total = total * np.uint64(0x9FB21C651E98DF25) ^ mixed(eight[at:at + count])
+        return mixed(total)
 
-    def packed(self, start: int, count: int) -> bytes:
+    def digests(self, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits of each run of symbols, read off prefix sums of hashed words or of hashed stretches of
+        eight bytes."""
         if self._hashes is not None:
-            return self.buffer[self.starts[start]:self.ends[start + count - 1]]
-        return self.buffer[start:start + count]
+            values, stops = self._hashes(), starts + sizes
+        else:
+            raw = self.buffer + b"\0" * 8
+            values = mixed(np.ndarray(shape=(len(raw) - 7,), dtype="<u8", buffer=raw, strides=(1,)))
+            stops = starts + sizes - 7
+        up, down = _power_tables(len(values))
+        out = []
+        with np.errstate(over="ignore"):
+            for salt in (0, 0xC2B2AE3D27D4EB4F):
+                sums = np.zeros(len(values) + 1, dtype=np.uint64)
+                np.cumsum(mixed(values ^ np.uint64(salt)) * up[:len(values)], out=sums[1:])
+                out.append(((sums[stops] - sums[starts]) * down[starts] + sizes.astype(np.uint64)).view(np.int64))
+        return out[0], out[1]
 
 
 def fragments(layout: Layout, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -129,7 +146,8 @@ def fragments(layout: Layout, window: int, gram: int) -> tuple[np.ndarray, np.nd
 
 
 _ANCHORED = "d long, h long, n long, sha string, anchors array<long>"
-_FRAGMENTS = "anchor long, digest binary, d long, h long, at long, size long, packed binary"
+_OCCURRENCES = "anchor long, digest1 long, digest2 long, d long, h long, at long, size long"
+_PACKED = "anchor long, c long, d long, h long, at long, size long, packed binary"
 _SPANS = "d long, h long, s long, e long"
 
 
@@ -155,39 +173,53 @@ def _anchored(kind: Kind):
     return over_batches(run)
 
 
-def _cut_out(kind: Kind):
-    """The fragments whose ordinals in their text are wanted; a repeated one of a text is packed once
-    where the order of occurrences makes the first of them unique."""
-    once = "at" in kind.order
-
+def _occurrences(kind: Kind):
+    """Where the fragments whose ordinals in their text are wanted stand, with their digests."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [kind.plain(t) for t in text_bytes(batch.column(2))]
-        ids, keys, wanted = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist()
-        rows, seen_fragments = [], [0] * len(texts)
-        seen: list[set[bytes]] = [set() for _ in texts]
-        chosen = [set(w) for w in wanted]
-        for texts_here, bases, layout in kind.laid_out(texts):
+        lists = batch.column(3)
+        wanted = np.split(lists.flatten().to_numpy().astype(np.int64), np.cumsum(lists.value_lengths().to_numpy())[:-1])
+        passed = [0] * len(texts)
+        found: list[tuple[np.ndarray, ...]] = []
+        for rows, bases, layout in kind.laid_out(texts):
             starts, sizes, anchors = fragments(layout, kind.window, kind.gram)
-            owner = layout.text_of[starts] if len(starts) else starts
-            anchors = anchors.view(np.int64).tolist()
-            for i, (k, start, size) in enumerate(zip(owner.tolist(), starts.tolist(), sizes.tolist())):
-                row = texts_here[k]
-                ordinal = seen_fragments[row]
-                seen_fragments[row] += 1
-                if ordinal not in chosen[row]:
-                    continue
-                packed = layout.packed(start, size)
-                digest = hashlib.blake2b(packed, digest_size=16).digest()
-                if once:
-                    if digest in seen[row]:
-                        packed = b""
-                    seen[row].add(digest)
-                rows.append((anchors[i], digest, ids[row], keys[row],
-                             bases[k] + start - int(layout.first[k]), size, packed))
-        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            counts = np.bincount(layout.text_of[starts], minlength=len(rows)) if len(starts) else [0] * len(rows)
+            first, picked, holders = 0, [], []
+            for k, row in enumerate(rows):
+                here = wanted[row] - passed[row]
+                here = here[(here >= 0) & (here < counts[k])]
+                picked.append(first + here)
+                holders.append(np.full(len(here), k))
+                first += int(counts[k])
+                passed[row] += int(counts[k])
+            take, holder = np.concatenate(picked), np.concatenate(holders)
+            if len(take):
+                row_of, base_of = np.array(rows)[holder], np.array(bases)[holder]
+                found.append((anchors[take].view(np.int64), *layout.digests(starts[take], sizes[take]), row_of,
+                              base_of + starts[take] - layout.first[holder], sizes[take]))
+        columns = [np.concatenate([f[c] for f in found]) if found else np.zeros(0, np.int64) for c in range(6)]
+        ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        anchors, one, two, row_of, at, size = columns
+        return pa.RecordBatch.from_arrays(
+            [pa.array(anchors), pa.array(one), pa.array(two), pa.array(ids[row_of]), pa.array(keys[row_of]),
+             pa.array(at), pa.array(size)], ["anchor", "digest1", "digest2", "d", "h", "at", "size"])
+    return over_batches(run)
+
+
+def _packed(kind: Kind):
+    """The fragments listed for each text, as packed strings."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for d, h, text, listed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                      text_bytes(batch.column(2)), batch.column(3).to_pylist()):
+            body = text.split() if kind.words else text
+            for f in listed:
+                part = body[f["at"]:f["at"] + f["size"]]
+                rows.append((f["anchor"], f["c"], d, h, f["at"], f["size"], b" ".join(part) if kind.words else part))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         return pa.RecordBatch.from_arrays(
             [pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)],
-            ["anchor", "digest", "d", "h", "at", "size", "packed"])
+            ["anchor", "c", "d", "h", "at", "size", "packed"])
     return over_batches(run)
 
 
@@ -225,7 +257,7 @@ def _windows(kind: Kind):
     def run(batches):
         for batch in batches:
             rows = []
-            for anchor, _, d, h, at, size, packed in zip(*[c.to_pylist() for c in batch.columns]):
+            for _, _, d, h, at, size, packed in zip(*[c.to_pylist() for c in batch.columns]):
                 parts = packed.split(b" ") if kind.words else None
                 for k in range(size - kind.window + 1):
                     window = b" ".join(parts[k:k + kind.window]) if kind.words else packed[k:k + kind.window]
@@ -253,27 +285,32 @@ def repeated_spans(scratch: Scratch, rows: DataFrame, kind: Kind, finder: Finder
     own = texts_marked.filter("not copied and n >= {}".format(kind.window)).select(
         "d", "h", F.posexplode("anchors").alias("ordinal", "anchor"))
     shared = own.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
-    wanted = own.join(shared, "anchor", "left_semi").groupBy("d", "h").agg(F.collect_list("ordinal").alias("wanted"))
-    cut = scratch.table(rows.join(wanted, ["d", "h"]).select("d", "h", "text", "wanted")
-                        .mapInArrow(_cut_out(kind), _FRAGMENTS), "fragments")
+    wanted = scratch.table(own.join(shared, "anchor", "left_semi").groupBy("d", "h").agg(
+        F.sort_array(F.collect_list("ordinal")).alias("wanted")), "wanted")
+    seen = scratch.table(rows.join(wanted, ["d", "h"]).select("d", "h", "text", "wanted")
+                         .mapInArrow(_occurrences(kind), _OCCURRENCES), "occurrences")
 
-    order = F.struct(*kind.order)
-    firsts = scratch.table(cut.groupBy("anchor", "digest").agg(F.min(order).alias("first")), "firsts")
+    order, same = F.struct(*kind.order), ["anchor", "digest1", "digest2"]
+    firsts = scratch.table(seen.groupBy(*same).agg(F.min(order).alias("first")), "firsts")
     mixed_buckets = firsts.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1")
-    later = cut.join(firsts, ["anchor", "digest"]).filter(order > F.col("first")).select(
-        "d", "h", F.col("at").alias("s"), (F.col("at") + F.col("size")).alias("e"))
-    leaders = firsts.join(mixed_buckets, "anchor")
-    columns = ["anchor", "digest", "d", "h", "at", "size", "packed"]
-    compared = cut.join(leaders, ["anchor", "digest"]).filter(order == F.col("first"))
-    within = (compared.filter(F.col("c") <= large).select(*columns)
-              .repartition("anchor").sortWithinPartitions("anchor")
-              .mapInArrow(_by_bucket(kind, finder), _SPANS))
-    single = compared.filter(F.col("c") > large).select(*columns).mapInArrow(
+    later = scratch.table(seen.join(firsts, same).filter(order > F.col("first")).select(
+        "d", "h", F.col("at").alias("s"), (F.col("at") + F.col("size")).alias("e")), "later")
+    leaders = seen.join(firsts.join(mixed_buckets, "anchor"), same).filter(order == F.col("first"))
+    listed = scratch.table(leaders.groupBy("d", "h").agg(
+        F.collect_list(F.struct("anchor", "c", "at", "size")).alias("listed")), "listed")
+    packed = rows.join(listed, ["d", "h"]).select("d", "h", "text", "listed").mapInArrow(_packed(kind), _PACKED)
+    within = scratch.table(packed.filter(F.col("c") <= large)
+                           .repartition("anchor").sortWithinPartitions("anchor")
+                           .mapInArrow(_by_bucket(kind, finder), _SPANS), "within")
+    single = packed.filter(F.col("c") > large).mapInArrow(
         _windows(kind), "digest binary, d long, h long, at long")
-    earliest = single.groupBy("digest").agg(F.min(order).alias("first"))
-    beyond = single.join(earliest, "digest").filter(order > F.col("first")).select(
-        "d", "h", F.col("at").alias("s"), (F.col("at") + kind.window).alias("e"))
-    return texts_marked.drop("anchors"), later.unionByName(within).unionByName(beyond)
+    if listed.filter(F.exists("listed", lambda x: x["c"] > large)).limit(1).count():
+        single = scratch.table(single, "windows")
+        earliest = single.groupBy("digest").agg(F.min(order).alias("first"))
+        beyond = single.join(earliest, "digest").filter(order > F.col("first")).select(
+            "d", "h", F.col("at").alias("s"), (F.col("at") + kind.window).alias("e"))
+        within = within.unionByName(beyond)
+    return texts_marked.drop("anchors"), later.unionByName(within)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

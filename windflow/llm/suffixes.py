@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 
 from windflow.llm.minimisers import LARGE_BUCKET, Kind, without_repeats
 
-WINDOW, GRAM = 100, 16
+# Shorter grams recur by chance in unrelated texts, and their buckets travel for nothing.
+WINDOW, GRAM = 100, 28
 
 
 class SuffixArray:
