@@ -123,7 +123,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     size = 1 << max(16, int(n).bit_length())
     if size not in _powers:
         _powers.clear()
@@ -144,6 +144,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def run_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each stretch of bytes: equal stretches have equal ones."""
+    up, down = power_tables(len(raw))
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=sums[1:])
+        value = (sums[ends] - sums[starts]) * down[starts]
+        return mixed(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
@@ -172,13 +182,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64-bit hashes: equal words have equal ones."""
-        raw = self._raw
-        up, down = _power_tables(len(raw))
-        with np.errstate(over="ignore"):
-            sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-            np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=sums[1:])
-            value = (sums[self.ends] - sums[self.starts]) * down[self.starts]
-            return mixed(value + (self.ends - self.starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        return run_hashes(self._raw, self.starts, self.ends)
 
 
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windflow.llm.common import (
-    CHUNK_BYTES, Scratch, Words, _power_tables, grams, list_array, mixed, over_batches, text_bytes)
+    CHUNK_BYTES, Scratch, Words, power_tables, grams, list_array, mixed, over_batches, text_bytes)
 
 # Different fragments of one bucket that a task compares in memory; larger buckets go window by window.
 LARGE_BUCKET = 8000
@@ -110,7 +110,7 @@ class Layout:
             raw = self.buffer + b"\0" * 8
             values = mixed(np.ndarray(shape=(len(raw) - 7,), dtype="<u8", buffer=raw, strides=(1,)))
             stops = starts + sizes - 7
-        up, down = _power_tables(len(values))
+        up, down = power_tables(len(values))
         out = []
         with np.errstate(over="ignore"):
             for salt in (0, 0xC2B2AE3D27D4EB4F):

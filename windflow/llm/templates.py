@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windflow.llm.common import _power_tables, grams, mixed, over_batches, text_bytes, texts_of
+from windflow.llm.common import grams, over_batches, run_hashes, text_bytes, texts_of
 
 WINDOW = 8
 # Words a window must keep as they are, and the shortest question that is looked for.
@@ -25,7 +25,7 @@ SHARE, ENOUGH = 0.5, 25
 # Benchmark windows that every task holds at once; a larger benchmark is searched in several passes.
 HELD_WINDOWS = 1_000_000
 
-# Words that are units behind a number.
+# Words that are units behind a number.
 UNITS = ("m km cm mm mile miles foot feet inch inches yard yards g kg mg lb lbs ounce ounces ton tons l ml litre "
          "litres liter liters gallon gallons s sec second seconds min minute minutes h hour hours day days week weeks "
          "month months year years dollar dollars cent cents euro euros pound pounds percent degrees mph kph kmh w kw "
@@ -72,7 +72,7 @@ class Template:
 
     def _mark(self, raw: np.ndarray, kind: np.ndarray, accented: np.ndarray) -> None:
         starts, ends = self.starts, self.ends
-        self.codes = _hashed(self._lower, starts, ends)
+        self.codes = run_hashes(self._lower, starts, ends)
         self.kinds = np.zeros(len(starts), dtype=np.int64)
         if not len(starts):
             return
@@ -112,15 +112,6 @@ class Template:
         return hashes, fit
 
 
-def _hashed(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up, down = _power_tables(len(lower))
-    with np.errstate(over="ignore"):
-        sums = np.zeros(len(lower) + 1, dtype=np.uint64)
-        np.cumsum((lower.astype(np.uint64) + np.uint64(1)) * up[:len(lower)], out=sums[1:])
-        return mixed((sums[ends] - sums[starts]) * down[starts]
-                     + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-
-
 _units: list[np.ndarray] = []
 
 
@@ -129,7 +120,7 @@ def _unit_codes() -> np.ndarray:
         text = np.frombuffer(" ".join(UNITS).encode(), dtype=np.uint8)
         sizes = np.array([len(u) for u in UNITS])
         starts = np.cumsum(sizes + 1) - sizes - 1
-        _units.append(np.sort(_hashed(text, starts, starts + sizes)))
+        _units.append(np.sort(run_hashes(text, starts, starts + sizes)))
     return _units[0]
 
 
@@ -207,8 +198,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
                  for size, h in by_size.items()}
         if known:
             found.append(texts.mapInArrow(_document_windows(known), _WINDOWS))
-    empty = texts.limit(0).mapInArrow(over_batches(_question_windows), _WINDOWS)
-    seen = reduce(DataFrame.unionByName, found, empty) if not found else reduce(DataFrame.unionByName, found)
+    if not found:  # an empty benchmark
+        found = [texts.limit(0).mapInArrow(over_batches(_question_windows), _WINDOWS)]
+    seen = reduce(DataFrame.unionByName, found)
     pairs = seen.drop("n_windows").withColumnsRenamed({"id": "doc_id", "at": "doc_at", "slots": "doc_slots"}).join(
         asked.withColumnsRenamed({"id": "item_id", "slots": "item_slots"}), ["size", "hash", "template"])
     values = F.arrays_zip("item_slots", "doc_slots")
