@@ -106,8 +106,9 @@ def judged(pages: DataFrame, labels: DataFrame, rules: list[Rule], *, id_col: st
         of_template = _counted(pages, "host", "template")
         of_host = of_template.groupBy("host").agg(F.sum("labelled").alias("host_labelled"), F.sum("n_good").alias("host_good"))
         of_all = of_host.agg(F.sum("host_labelled").alias("all_labelled"), F.sum("host_good").alias("all_good"))
-        overall = F.when(F.col("all_labelled") > 0, F.col("all_good") / F.col("all_labelled")).otherwise(1.0)
-        purity = (of_template.join(of_host, "host").join(F.broadcast(of_all))  # one row
+        overall = of_all.select(
+            F.when(F.col("all_labelled") > 0, F.col("all_good") / F.col("all_labelled")).otherwise(1.0)).scalar()
+        purity = (of_template.join(of_host, "host")
                   .withColumn("host_purity", (F.col("host_good") + WEIGHT * overall) / (F.col("host_labelled") + WEIGHT))
                   .select("host", "template", ((F.col("n_good") + WEIGHT * F.col("host_purity"))
                                                / (F.col("labelled") + WEIGHT)).alias("purity")))
