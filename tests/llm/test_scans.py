@@ -31,6 +31,19 @@ def test_question_with_other_values_is_found(spark):
     assert got[0, 0]["n_changed"] == 0 and got[1, 0]["n_changed"] >= 3
 
 
+def test_two_values_may_become_one(spark):
+    merged = QUESTION.replace("12", "5").replace("60 kg", "5 kg")
+    assert set(found(documents(spark, merged), asked(spark, QUESTION))) == {(0, 0)}
+
+
+def test_windows_that_agree_count_beside_a_contradiction(spark):
+    mixed = QUESTION.replace("12 apples", "48 apples")
+    got = found(documents(spark, mixed), asked(spark, QUESTION), all_slots=False)
+    assert set(got) == {(0, 0)} and got[0, 0]["n_changed"] == 1
+    assert templates.agreeing([(0, {("a", "b")}), (1, {("a", "c")}), (2, {("a", "b")}), (3, {("a", "a")})], False) == (3, 1)
+    assert templates.agreeing([(0, {("a", "b")}), (1, {("a", "c")})], True) == (0, 0)
+
+
 def test_passes_over_a_large_benchmark_agree(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")

@@ -58,7 +58,8 @@ def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return templates.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return templates.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"),
+                                  all_slots=False)
 
 
 @query()

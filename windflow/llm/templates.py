@@ -2,12 +2,15 @@
 
 A text becomes a template: numbers, units behind numbers, and names (capitalised inside a sentence) turn
 into typed placeholders. Windows of template tokens are hashed and joined with those of the benchmark.
-Along an alignment of document and question the placeholders' values must match up one to one: a
+Along an alignment of document and question a value of the question must always become the same value: a
 question that was only re-parameterised passes, a chance likeness of form does not.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
+from bisect import bisect_left, bisect_right
 from functools import reduce
 
 import numpy as np
@@ -24,6 +27,8 @@ LITERALS, SHORTEST = 4, 5
 SHARE, ENOUGH = 0.5, 25
 # Benchmark windows that every task holds at once; a larger benchmark is searched in several passes.
 HELD_WINDOWS = 1_000_000
+# Choices of values that are tried for a contradictory alignment; beyond, each value takes its most frequent one.
+CHOICES = 256
 
 # Words that are units behind a number.
 UNITS = ("m km cm mm mile miles foot feet inch inches yard yards g kg mg lb lbs ounce ounces ton tons l ml litre "
@@ -43,6 +48,7 @@ _STOP = np.isin(_byte, [ord(c) for c in ".!?\n"])
 _POINT = np.isin(_byte, [ord(c) for c in ".,"])
 
 _WINDOWS = "id long, at long, size int, hash long, template string, slots array<string>, n_windows long"
+_FOUND = "doc_id long, item_id long, n_found long, n_windows long, n_changed long"
 
 
 class Template:
@@ -171,13 +177,79 @@ def _marked(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.sort(hashes), marks
 
 
+def agreeing(windows: list[tuple[int, set]], all_slots: bool) -> tuple[int, int]:
+    """How many places of the question count, and how many of its values differ in them.
+
+    `windows` are (place in the question, {(value there, value in the document)}). Windows without a
+    change count as they are; the others if each value of the question becomes one value in all of
+    them. With `all_slots` one contradiction between any two windows leaves none.
+    """
+    if all_slots:
+        values = set().union(*[v for _, v in windows])
+        if len({a for a, _ in values}) < len(values):
+            return 0, 0
+        return len({at for at, _ in windows}), sum(a != b for a, b in values)
+    same = {at for at, v in windows if all(a == b for a, b in v)}
+    changed = [(at, v) for at, v in windows if at not in same]
+    votes: dict[str, dict[str, set[int]]] = {}
+    for at, v in changed:
+        for a, b in v:
+            votes.setdefault(a, {}).setdefault(b, set()).add(at)
+    ranked = {a: sorted(c, key=lambda b: (-len(c[b]), b)) for a, c in votes.items()}
+    if math.prod(len(c) for c in ranked.values()) > CHOICES:
+        ranked = {a: c[:1] for a, c in ranked.items()}
+    best = (0, 0)
+    for chosen in itertools.product(*ranked.values()):
+        becomes = dict(zip(ranked, chosen))
+        counted = [(at, v) for at, v in changed if all(becomes[a] == b for a, b in v)]
+        differ = {x for _, v in counted for x in v if x[0] != x[1]}
+        best = max(best, (len({at for at, _ in counted}), -len(differ)))
+    return len(same) + best[0], -best[1]
+
+
+def _stretches(shifts: list[int]) -> list[tuple[int, int]]:
+    """First and last shift of what is counted as one alignment."""
+    return [(s, s) for s in shifts]
+
+
+def _best_alignments(all_slots: bool):
+    def best(n_windows: int, windows: list[dict]) -> tuple[int, int]:
+        by_shift: dict[int, list[tuple[int, set]]] = {}
+        for w in windows:
+            values = set(zip(w["item_slots"], w["doc_slots"]))
+            by_shift.setdefault(w["doc_at"] - w["at"], []).append((w["at"], values))
+        shifts, top = sorted(by_shift), (0, 0)
+        for low, high in _stretches(shifts):
+            mine = [w for s in shifts[bisect_left(shifts, low):bisect_right(shifts, high)] for w in by_shift[s]]
+            places = len({at for at, _ in mine})
+            if places > top[0] or places == top[0] and top[1]:
+                n, changed = agreeing(mine, all_slots)
+                if n >= SHARE * n_windows or n >= ENOUGH:
+                    top = max(top, (n, -changed))
+        return top
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for doc, item, n_windows, windows in zip(*[c.to_pylist() for c in batch.columns]):
+                n, changed = best(n_windows, windows)
+                if n:
+                    rows.append((doc, item, n, n_windows, -changed))
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(5)],
+                                             ["doc_id", "item_id", "n_found", "n_windows", "n_changed"])
+    return run
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text_col: str = "text", held: int = HELD_WINDOWS) -> DataFrame:
+                 item_col: str = "item_id", item_text_col: str = "text", held: int = HELD_WINDOWS,
+                 all_slots: bool = True) -> DataFrame:
     """Documents that hold a benchmark question, with the question's values or others.
 
     A row for each document and question found: `doc_id`, `item_id`, `n_found` and `n_windows` of the
-    question, `share`, and `n_changed`, how many values differ. The best alignment counts: one whose
-    values match up one to one, with `SHARE` of the question's windows or `ENOUGH` of them. Questions of
+    question, `share`, and `n_changed`, how many values differ. The best alignment counts: one with
+    `SHARE` of the question's windows, or `ENOUGH` of them, in which a value of the question always
+    becomes the same value; two values may become one. With `all_slots` a single contradiction spoils an
+    alignment, without it the windows that agree with one another count, and unchanged ones always. Questions of
     fewer than `SHORTEST` tokens are not looked for, windows need `LITERALS` words outside placeholders.
     Null and empty texts hold nothing, nor do rows without an id; rows that repeat an id are read as
     documents of that id, side by side. Either table may be empty: then there is no row.
@@ -203,20 +275,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     seen = reduce(DataFrame.unionByName, found)
     pairs = seen.drop("n_windows").withColumnsRenamed({"id": "doc_id", "at": "doc_at", "slots": "doc_slots"}).join(
         asked.withColumnsRenamed({"id": "item_id", "slots": "item_slots"}), ["size", "hash", "template"])
-    values = F.arrays_zip("item_slots", "doc_slots")
-    aligned = (pairs.withColumn("shift", F.col("doc_at") - F.col("at"))
-               .withColumn("values", values)
-               .groupBy("doc_id", "item_id", "shift")
-               .agg(F.countDistinct("at").alias("n_found"), F.max("n_windows").alias("n_windows"),
-                    F.array_distinct(F.flatten(F.collect_set("values"))).alias("values")))
-    one_to_one = ((F.size("values") == F.size(F.array_distinct(F.expr("transform(values, v -> v.item_slots)"))))
-                  & (F.size("values") == F.size(F.array_distinct(F.expr("transform(values, v -> v.doc_slots)")))))
-    enough = (F.col("n_found") >= F.lit(SHARE) * F.col("n_windows")) | (F.col("n_found") >= ENOUGH)
-    changed = F.expr("size(filter(values, v -> v.item_slots <> v.doc_slots))").cast("long")
-    return (aligned.withColumn("one_to_one", one_to_one).withColumn("n_changed", changed)
-            .filter(enough & F.col("one_to_one"))
-            .groupBy("doc_id", "item_id")
-            .agg(F.max(F.struct("n_found", (-F.col("n_changed")).alias("same"), "n_windows")).alias("best"))
-            .select("doc_id", "item_id", "best.n_found", "best.n_windows",
-                    (F.col("best.n_found") / F.col("best.n_windows")).alias("share"),
-                    (-F.col("best.same")).alias("n_changed")))
+    seen_at = F.struct("at", "doc_at", "item_slots", "doc_slots")
+    return (pairs.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"),
+                                                   F.collect_set(seen_at).alias("windows"))
+            .mapInArrow(_best_alignments(all_slots), _FOUND)
+            .withColumn("share", F.col("n_found") / F.col("n_windows"))
+            .select("doc_id", "item_id", "n_found", "n_windows", "share", "n_changed"))
