@@ -44,6 +44,18 @@ def test_windows_that_agree_count_beside_a_contradiction(spark):
     assert templates.agreeing([(0, {("a", "b")}), (1, {("a", "c")})], True) == (0, 0)
 
 
+def test_names_that_begin_a_sentence_or_have_two_words(spark):
+    short = "Bob has 5 apples. Bob buys 3 more apples. Bob eats 2 apples. Bob gives 1 apple away."
+    long = ("The baker Alice sells 4 loaves at noon, and then Alice walks home with Alice's dog while Alice sings. "
+            "In the evening the mayor calls Alice and the two talk about Alice.")
+    docs = documents(spark, "So. " + short.replace("Bob", "Eve"), short.replace("Bob", "Mary Ann").replace("5", "9"),
+                     long.replace("Alice", "Mary Ann"), long.replace("Alice", "Anne-Marie Lou"), short)
+    for all_slots in (True, False):
+        got = found(docs, asked(spark, short, long), all_slots=all_slots)
+        assert set(got) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 0)}
+        assert got[2, 1]["share"] == got[0, 0]["share"] == got[4, 0]["share"] == 1 and got[4, 0]["n_changed"] == 0
+
+
 def test_passes_over_a_large_benchmark_agree(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")

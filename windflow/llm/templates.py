@@ -1,7 +1,8 @@
 """Benchmark questions in documents, also with other numbers, names and units in them.
 
-A text becomes a template: numbers, units behind numbers, and names (capitalised inside a sentence) turn
-into typed placeholders. Windows of template tokens are hashed and joined with those of the benchmark.
+A text becomes a template: numbers, units behind numbers, and names (capitalised words) turn into
+typed placeholders. A capitalised word that begins a sentence may be a name or not: its windows are taken
+both ways. Windows of template tokens are hashed and joined with those of the benchmark.
 Along an alignment of document and question a value of the question must always become the same value: a
 question that was only re-parameterised passes, a chance likeness of form does not.
 """
@@ -27,6 +28,8 @@ LITERALS, SHORTEST = 4, 5
 SHARE, ENOUGH = 0.5, 25
 # Benchmark windows that every task holds at once; a larger benchmark is searched in several passes.
 HELD_WINDOWS = 1_000_000
+# Tokens that a name or a value may be longer in the document, all told: so many, or a quarter of the question's.
+LEAST_DRIFT = 3
 # Choices of values that are tried for a contradictory alignment; beyond, each value takes its most frequent one.
 CHOICES = 256
 
@@ -45,6 +48,7 @@ _DIGIT = (_byte >= 0x30) & (_byte <= 0x39)
 _UPPER = (_byte >= 0x41) & (_byte <= 0x5A)
 _LETTER = _UPPER | ((_byte >= 0x61) & (_byte <= 0x7A)) | (_byte >= 0x80)
 _STOP = np.isin(_byte, [ord(c) for c in ".!?\n"])
+_JOINT = np.isin(_byte, [ord(c) for c in " -'"])
 _POINT = np.isin(_byte, [ord(c) for c in ".,"])
 
 _WINDOWS = "id long, at long, size int, hash long, template string, slots array<string>, n_windows long"
@@ -52,9 +56,13 @@ _FOUND = "doc_id long, item_id long, n_found long, n_windows long, n_changed lon
 
 
 class Template:
-    """The template tokens of several texts end to end: codes, kinds, and where each text begins."""
+    """The template tokens of several texts end to end: codes, kinds, and where each text begins.
 
-    def __init__(self, texts: list[bytes]):
+    A capitalised word that begins a sentence is a name only with `opening`. Names side by side are
+    one token. `place` is a token's number before that, by which both readings can be compared.
+    """
+
+    def __init__(self, texts: list[bytes], opening: bool = False):
         self.buffer = b"\n".join(texts) + b"\n"
         raw = np.frombuffer(self.buffer, dtype=np.uint8)
         digit = _DIGIT[raw]
@@ -74,12 +82,14 @@ class Template:
         accented[1:] = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97)
         lower[accented] += 32
         self._lower = lower
-        self._mark(raw, kind, accented)
+        self.place = np.arange(len(self.starts)) - np.repeat(self.first[:-1], np.diff(self.first))
+        self._mark(raw, kind, accented, opening)
 
-    def _mark(self, raw: np.ndarray, kind: np.ndarray, accented: np.ndarray) -> None:
+    def _mark(self, raw: np.ndarray, kind: np.ndarray, accented: np.ndarray, opening: bool) -> None:
         starts, ends = self.starts, self.ends
         self.codes = run_hashes(self._lower, starts, ends)
         self.kinds = np.zeros(len(starts), dtype=np.int64)
+        self.openers = np.zeros(len(starts), dtype=bool)
         if not len(starts):
             return
         number = kind[starts] == 2
@@ -89,13 +99,31 @@ class Template:
         opens[self.first[:-1][self.first[:-1] < len(starts)]] = True
         capital = _UPPER[raw] | np.append(accented[1:], False)
         capitals = np.concatenate([[0], np.cumsum(capital)])
-        name = ~number & ~opens & capital[starts] & (capitals[ends] - capitals[starts] == 1)
+        name = ~number & capital[starts] & (capitals[ends] - capitals[starts] == 1)
+        self.openers = name & opens
+        if not opening:
+            name &= ~opens
         unit = np.zeros(len(starts), dtype=bool)
         unit[1:] = number[:-1] & ~number[1:] & np.isin(self.codes[1:], _unit_codes())
         unit[self.first[:-1][self.first[:-1] < len(starts)]] = False
         for flag, value in ((name, _NAME), (unit, _UNIT), (number, _NUMBER)):
             self.kinds[flag] = value
         self.codes = np.where(self.kinds > 0, _CODE[self.kinds], self.codes)
+        self._fold(raw, opens)
+
+    def _fold(self, raw: np.ndarray, opens: np.ndarray) -> None:
+        """Names with one space, hyphen or apostrophe between them become one token."""
+        follows = np.zeros(len(self.starts), dtype=bool)
+        follows[1:] = ((self.kinds[1:] == _NAME) & (self.kinds[:-1] == _NAME) & ~opens[1:]
+                       & (self.starts[1:] - self.ends[:-1] == 1) & _JOINT[raw[self.ends[:-1]]])
+        if not follows.any():
+            return
+        stay = ~follows
+        last = np.append(np.flatnonzero(stay)[1:], len(stay)) - 1
+        self.first = np.concatenate([[0], np.cumsum(stay)])[self.first]
+        self.ends = self.ends[last]
+        self.starts, self.codes, self.kinds, self.openers, self.place = [
+            x[stay] for x in (self.starts, self.codes, self.kinds, self.openers, self.place)]
 
     def token(self, i: int) -> str:
         return self._lower[self.starts[i]:self.ends[i]].tobytes().decode(errors="replace")
@@ -117,6 +145,13 @@ class Template:
         fit = (text_of[:n] == text_of[size - 1:]) & (literal[size:] - literal[:n] >= LITERALS)
         return hashes, fit
 
+    def opened(self, size: int) -> np.ndarray:
+        """Which runs of `size` tokens hold a word that `opening` decides on, or names beside one."""
+        near = self.openers.copy()
+        near[1:] |= self.openers[:-1]
+        held = np.concatenate([[0], np.cumsum(near)])
+        return held[size:] > held[:len(held) - size]
+
 
 _units: list[np.ndarray] = []
 
@@ -137,35 +172,46 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _question_windows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Every window of every question; a question shorter than a window is one window."""
-    ids, made, rows = batch.column(0).to_pylist(), Template(text_bytes(batch.column(1))), []
-    for k, (a, b) in enumerate(zip(made.first[:-1].tolist(), made.first[1:].tolist())):
-        size = min(WINDOW, b - a)
-        if size < SHORTEST:
-            continue
-        hashes, fit = made.windows(size)
-        places = [i for i in range(a, b - size + 1) if fit[i]]
-        for i in places:
-            template, slots = made.window(i, size)
-            rows.append((ids[k], i - a, size, int(hashes[i].view(np.int64)), template, slots, len(places)))
-    return _batch(rows)
+    """Every window of every question in both readings; a question shorter than a window is one window.
+
+    `n_windows` is the number of places where a window of either reading begins.
+    """
+    ids, texts = batch.column(0).to_pylist(), text_bytes(batch.column(1))
+    found: list[list[tuple]] = [[] for _ in ids]
+    for opening in (False, True):
+        made = Template(texts, opening)
+        for k, (a, b) in enumerate(zip(made.first[:-1].tolist(), made.first[1:].tolist())):
+            size = min(WINDOW, b - a)
+            if size < SHORTEST:
+                continue
+            hashes, fit = made.windows(size)
+            if opening:
+                fit &= made.opened(size)
+            for i in range(a, b - size + 1):
+                if fit[i]:
+                    found[k].append((int(made.place[i]), size, int(hashes[i].view(np.int64)), *made.window(i, size)))
+    return _batch([(ids[k], *w, len({w[0] for w in mine})) for k, mine in enumerate(found) for w in mine])
 
 
 def _document_windows(known: dict[int, object]):
     """The windows of documents whose hash is among `known`: by size, sorted and broadcast."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, made, rows = batch.column(0).to_pylist(), Template(text_bytes(batch.column(1))), []
-        text_of = np.repeat(np.arange(len(ids)), np.diff(made.first))
-        for size, held in known.items():
-            sought, marks = held.value
-            hashes, fit = made.windows(size)
-            likely = np.flatnonzero(fit & marks[(hashes >> np.uint64(44)).astype(np.int64)])
-            at = np.searchsorted(sought, hashes[likely])
-            likely = likely[sought[np.minimum(at, len(sought) - 1)] == hashes[likely]]
-            for i in likely.tolist():
-                template, slots = made.window(i, size)
-                k = int(text_of[i])
-                rows.append((ids[k], i - int(made.first[k]), size, int(hashes[i].view(np.int64)), template, slots, 0))
+        ids, texts, rows = batch.column(0).to_pylist(), text_bytes(batch.column(1)), []
+        for opening in (False, True):
+            made = Template(texts, opening)
+            text_of = np.repeat(np.arange(len(ids)), np.diff(made.first))
+            for size, held in known.items():
+                sought, marks = held.value
+                hashes, fit = made.windows(size)
+                if opening and len(hashes):
+                    fit &= made.opened(size)
+                likely = np.flatnonzero(fit & marks[(hashes >> np.uint64(44)).astype(np.int64)])
+                at = np.searchsorted(sought, hashes[likely])
+                likely = likely[sought[np.minimum(at, len(sought) - 1)] == hashes[likely]]
+                for i in likely.tolist():
+                    template, slots = made.window(i, size)
+                    rows.append((ids[text_of[i]], int(made.place[i]), size, int(hashes[i].view(np.int64)), template,
+                                 slots, 0))
         return _batch(rows)
     return over_batches(run)
 
@@ -207,9 +253,15 @@ def agreeing(windows: list[tuple[int, set]], all_slots: bool) -> tuple[int, int]
     return len(same) + best[0], -best[1]
 
 
-def _stretches(shifts: list[int]) -> list[tuple[int, int]]:
-    """First and last shift of what is counted as one alignment."""
-    return [(s, s) for s in shifts]
+def _stretches(shifts: list[int], drift: int) -> list[tuple[int, int]]:
+    """First and last shift of what is counted as one alignment: each alone, and all within `drift`."""
+    out, last = [(s, s) for s in shifts], None
+    for s in shifts:
+        high = shifts[bisect_right(shifts, s + drift) - 1]
+        if high > s and high != last:
+            out.append((s, high))
+        last = high
+    return out
 
 
 def _best_alignments(all_slots: bool):
@@ -219,7 +271,8 @@ def _best_alignments(all_slots: bool):
             values = set(zip(w["item_slots"], w["doc_slots"]))
             by_shift.setdefault(w["doc_at"] - w["at"], []).append((w["at"], values))
         shifts, top = sorted(by_shift), (0, 0)
-        for low, high in _stretches(shifts):
+        drift = max(LEAST_DRIFT, max(w["at"] for w in windows) // 4)
+        for low, high in _stretches(shifts, drift):
             mine = [w for s in shifts[bisect_left(shifts, low):bisect_right(shifts, high)] for w in by_shift[s]]
             places = len({at for at, _ in mine})
             if places > top[0] or places == top[0] and top[1]:
