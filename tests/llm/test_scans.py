@@ -56,6 +56,16 @@ def test_names_that_begin_a_sentence_or_have_two_words(spark):
         assert got[2, 1]["share"] == got[0, 0]["share"] == got[4, 0]["share"] == 1 and got[4, 0]["n_changed"] == 0
 
 
+def test_questions_without_a_usable_window(spark):
+    sums, chinese, both = "Compute 12 + 7 * 3 - 4 / 2 + 9", "小明有五个苹果，他又买了三个。", "What is 2 ^ 10?"
+    items = asked(spark, sums, chinese, both, "", None)
+    docs = documents(spark, f"Warm-up. {sums.replace(' 9', '  9')}, then rest.", f"请看{chinese}答案", both,
+                     "Compute 12 - 7 * 3 - 4 / 2 + 9", "小明有五个苹果，他又买了四个。", "What is 2", "^ 10 what is 2", "")
+    for options in ({}, {"held": 1}):
+        got = found(docs, items, **options)
+        assert set(got) == {(0, 0), (1, 1), (2, 2)} and {r["share"] for r in got.values()} == {1.0}
+
+
 def test_passes_over_a_large_benchmark_agree(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windflow.llm.common import grams, over_batches, run_hashes, text_bytes, texts_of
+from windflow.llm.common import grams, mixed, over_batches, power_tables, run_hashes, text_bytes, texts_of
 
 WINDOW = 8
 # Words a window must keep as they are, and the shortest question that is looked for.
@@ -49,6 +49,7 @@ _UPPER = (_byte >= 0x41) & (_byte <= 0x5A)
 _LETTER = _UPPER | ((_byte >= 0x61) & (_byte <= 0x7A)) | (_byte >= 0x80)
 _STOP = np.isin(_byte, [ord(c) for c in ".!?\n"])
 _JOINT = np.isin(_byte, [ord(c) for c in " -'"])
+_SIGN = np.isin(_byte, [ord(c) for c in "+-*/=<>^%"])
 _POINT = np.isin(_byte, [ord(c) for c in ".,"])
 
 _WINDOWS = "id long, at long, size int, hash long, template string, slots array<string>, n_windows long"
@@ -153,6 +154,118 @@ class Template:
         return held[size:] > held[:len(held) - size]
 
 
+class Verbatim:
+    """The tokens of several texts as they are: runs of letters, runs of digits, signs of arithmetic, and each
+    character of a script without spaces by itself."""
+
+    def __init__(self, texts: list[bytes]):
+        raw = np.frombuffer(b"\n".join(texts) + b"\n" * 4, dtype=np.uint8)
+        second, third = np.append(raw[1:], 0), np.append(raw[2:], [0, 0])
+        kind = np.where(_LETTER[raw], 1, np.where(_DIGIT[raw], 2, np.where(_SIGN[raw], 3, 0)))
+        mark = (raw == 0xE3) & (second == 0x80) | (raw == 0xEF) & (second == 0xBC) & (
+            (third <= 0x8F) | (third >= 0x9A) & (third <= 0xA0))  # punctuation of full width
+        three = ((raw >= 0xE3) & (raw <= 0xE9) | (raw == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+                 | (raw == 0xE1) & np.isin(second, [0x80, 0x81, 0x82, 0x9E, 0x9F]) | (raw == 0xE2) & (second >= 0xBA)
+                 | (raw == 0xEF) & (second >= 0xA4) & (second <= 0xAB)) & ~mark
+        four = (raw == 0xF0) & (second >= 0xA0) & (second <= 0xBF)
+        self.single = three | four
+        for lead, size, value in ((three, 3, 4), (four, 4, 4), (mark, 3, 0)):
+            at = np.flatnonzero(lead)
+            for k in range(size):
+                kind[at + k] = value
+        turns = (kind != np.append(0, kind[:-1])) | (kind == 3) | self.single
+        self.starts = np.flatnonzero(turns & (kind > 0))
+        edges = np.flatnonzero(turns)
+        self.ends = edges[np.searchsorted(edges, self.starts) + 1]
+        sizes = np.cumsum([len(t) + 1 for t in texts])
+        self.first = np.searchsorted(self.starts, np.concatenate([[0], sizes])).astype(np.int64)
+        lower = raw.copy()
+        lower[_UPPER[raw]] += 32
+        accented = np.append(False, (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97))
+        lower[accented] += 32
+        self.singles = np.concatenate([[0], np.cumsum(self.single[self.starts])])
+        up, self.down = power_tables(len(self.starts) + 1)
+        self.sums = np.zeros(len(self.starts) + 1, dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum(run_hashes(lower, self.starts, self.ends) * up[:len(self.starts)], out=self.sums[1:])
+
+    def hashes(self, at: np.ndarray, size: int) -> np.ndarray:
+        """The hash of the run of `size` tokens from each of the places `at`."""
+        with np.errstate(over="ignore"):
+            return mixed((self.sums[at + size] - self.sums[at]) * self.down[at] + np.uint64(size))
+
+
+def _probe(size: int) -> int:
+    """How many of a run's first tokens are looked up: few different numbers, so few passes over a text."""
+    return 1 << (size.bit_length() - 1)
+
+
+def _verbatim_questions(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The whole token sequence of questions that templates do not cover, and of the first tokens of it."""
+    texts, covered = text_bytes(batch.column(1)), {r.as_py() for r in _question_windows(batch.set_column(
+        0, "doc_id", pa.array(range(batch.num_rows), pa.int64()))).column(0)}
+    made, rows = Verbatim(texts), []
+    for k, (a, b) in enumerate(zip(made.first[:-1].tolist(), made.first[1:].tolist())):
+        if b > a and (k not in covered or made.singles[b] > made.singles[a]):
+            size, at = b - a, np.array([a])
+            rows.append((batch.column(0)[k].as_py(), size, *[
+                int(made.hashes(at, n).view(np.int64)[0]) for n in (_probe(size), size)]))
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)],
+                                      ["item_id", "size", "probe", "hash"])
+
+
+def _verbatim_found(known):
+    """The whole sequences that documents hold: `known` is a broadcast {probe size: (probes, sizes, hashes)}."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, made, rows = batch.column(0).to_pylist(), Verbatim(text_bytes(batch.column(1))), set()
+        text_of = np.repeat(np.arange(len(ids)), np.diff(made.first))
+        for few, (probes, sizes, wholes) in known.value.items():
+            places = np.arange(max(0, len(text_of) - few + 1))
+            hashes = made.hashes(places, few)
+            low, high = np.searchsorted(probes, hashes, "left"), np.searchsorted(probes, hashes, "right")
+            for size in np.unique(sizes).tolist():
+                if not (high > low).any():
+                    break
+                at = places[(high > low)[:len(places)]]
+                at = at[(at + size <= len(text_of))]
+                at = at[text_of[at] == text_of[at + size - 1]]
+                mine = np.sort(wholes[sizes == size])
+                found = made.hashes(at, size)
+                hit = mine[np.minimum(np.searchsorted(mine, found), len(mine) - 1)] == found
+                rows.update((ids[t], size, h) for t, h in zip(text_of[at[hit]].tolist(),
+                                                              found[hit].view(np.int64).tolist()))
+        found = sorted(rows)
+        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in found], pa.int64()) for c in range(3)],
+                                          ["doc_id", "size", "hash"])
+    return over_batches(run)
+
+
+def _verbatim(texts: DataFrame, benchmark: DataFrame, held: int) -> DataFrame | None:
+    """`_FOUND` rows of the documents that hold a question without usable windows as it is."""
+    spark = texts.sparkSession
+    asked = benchmark.mapInArrow(over_batches(_verbatim_questions), "item_id long, size long, probe long, hash long")
+    distinct = asked.select("size", "probe", "hash").distinct()
+    passes = -(-distinct.count() // held)
+    seen = []
+    for k in range(passes):
+        groups: dict[int, list[tuple]] = {}
+        for r in distinct.filter(F.pmod("hash", F.lit(passes)) == k).collect():
+            groups.setdefault(_probe(r["size"]), []).append((r["probe"], r["size"], r["hash"]))
+        known = {}
+        for few, rows in groups.items():
+            probes, sizes, wholes = np.array(rows, dtype=np.int64).T
+            known[few] = np.sort(probes.view(np.uint64)), sizes, wholes.view(np.uint64)
+        if known:
+            seen.append(texts.mapInArrow(_verbatim_found(spark.sparkContext.broadcast(known)),
+                                         "doc_id long, size long, hash long"))
+    if not seen:
+        return None
+    return reduce(DataFrame.unionByName, seen).distinct().join(asked, ["size", "hash"]).select(
+        "doc_id", "item_id", F.lit(1).cast("long").alias("n_found"), F.lit(1).cast("long").alias("n_windows"),
+        F.lit(0).cast("long").alias("n_changed")).distinct()
+
+
 _units: list[np.ndarray] = []
 
 
@@ -302,14 +415,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     question, `share`, and `n_changed`, how many values differ. The best alignment counts: one with
     `SHARE` of the question's windows, or `ENOUGH` of them, in which a value of the question always
     becomes the same value; two values may become one. With `all_slots` a single contradiction spoils an
-    alignment, without it the windows that agree with one another count, and unchanged ones always. Questions of
-    fewer than `SHORTEST` tokens are not looked for, windows need `LITERALS` words outside placeholders.
+    alignment, without it the windows that agree with one another count, and unchanged ones always. Windows
+    need `LITERALS` words outside placeholders, in a question of `SHORTEST` tokens or more. A question without
+    such a window, or in a script without spaces, is looked for as it is: all its words, numbers and signs
+    of arithmetic in turn, or its single characters, count as one window.
     Null and empty texts hold nothing, nor do rows without an id; rows that repeat an id are read as
     documents of that id, side by side. Either table may be empty: then there is no row.
     """
     spark = docs.sparkSession
-    asked = texts_of(benchmark, item_col, item_text_col).filter("doc_id is not null").mapInArrow(
-        over_batches(_question_windows), _WINDOWS)
+    questions = texts_of(benchmark, item_col, item_text_col).filter("doc_id is not null")
+    asked = questions.mapInArrow(over_batches(_question_windows), _WINDOWS)
     texts = texts_of(docs, id_col, text_col).filter("doc_id is not null and text is not null")
     distinct = asked.select("size", "hash").distinct()
     passes = max(1, -(-distinct.count() // held))
@@ -329,8 +444,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     pairs = seen.drop("n_windows").withColumnsRenamed({"id": "doc_id", "at": "doc_at", "slots": "doc_slots"}).join(
         asked.withColumnsRenamed({"id": "item_id", "slots": "item_slots"}), ["size", "hash", "template"])
     seen_at = F.struct("at", "doc_at", "item_slots", "doc_slots")
-    return (pairs.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"),
+    best = (pairs.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"),
                                                    F.collect_set(seen_at).alias("windows"))
-            .mapInArrow(_best_alignments(all_slots), _FOUND)
-            .withColumn("share", F.col("n_found") / F.col("n_windows"))
-            .select("doc_id", "item_id", "n_found", "n_windows", "share", "n_changed"))
+            .mapInArrow(_best_alignments(all_slots), _FOUND))
+    whole = _verbatim(texts, questions, held)
+    if whole is not None:
+        rank = F.struct(F.col("n_found") / F.col("n_windows"), "n_found", -F.col("n_changed"))
+        best = best.unionByName(whole).groupBy("doc_id", "item_id").agg(*[
+            F.max_by(c, rank).alias(c) for c in ("n_found", "n_windows", "n_changed")])
+    return best.withColumn("share", F.col("n_found") / F.col("n_windows")).select(
+        "doc_id", "item_id", "n_found", "n_windows", "share", "n_changed")
