@@ -1,3 +1,5 @@
+from collections import Counter
+
 import brute
 import numpy as np
 from edges import ROWS, corpus, edge_docs
@@ -20,6 +22,31 @@ def test_large_buckets_are_divided(spark, sf):
     assert found(docs, percent=60, large=1) == brute.near_groups(rows, 60)
 
 
+def test_blocks_bring_each_pair_together_once(spark):
+    component = {d: 0 if d < 150 else d // 2 for d in range(300)}
+    rows = [(7, 3, d, c) for d, c in component.items()] + [(8, 3, d, d) for d in range(30)]
+    parts = {}
+    for r in near.blocks(spark.createDataFrame(rows, "bucket long, band int, doc_id long, component long"), 40).collect():
+        parts.setdefault(r["bucket"], []).append((r["doc_id"], r["half"]))
+    assert max(map(len, parts.values())) <= 80  # blocks are drawn by a hash
+    met = Counter((min(a, b), max(a, b)) for part in parts.values() for k, (a, p) in enumerate(part)
+                  for b, q in part[:k] if (p < 0 or p != q) and component[a] != component[b])
+    assert met == Counter((a, b) for b in component for a in range(b) if component[a] != component[b])
+
+
+def test_large_buckets_lose_no_pair(spark):
+    draw = np.random.default_rng(5)
+    rows = []
+    for family in range(80):  # two that are linked, and one with a smaller id that is nearly so
+        base = [f"f{family}w{i}" for i in range(200)]
+        for k, changed in enumerate((7, 4, 4)):
+            words = list(base)
+            for at in draw.choice(200, changed, replace=False).tolist():
+                words[at] = f"x{family}y{k}z{at}"
+            rows.append((3 * family + k, " ".join(words)))
+    assert found(edge_docs(spark, rows), percent=60, large=1) == found(edge_docs(spark, rows), percent=60)
+
+
 def test_edges(spark):
     named = {d: t for d, t in ROWS if d is not None}
     got = near.near_copies(edge_docs(spark))

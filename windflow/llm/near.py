@@ -26,8 +26,10 @@ BANDS, ROWS = 24, 5
 HASHES = BANDS * ROWS
 # Hashes compared before each look at the posterior, and the probability of pruning a pair wrongly.
 BATCH, MISS = 24, 1e-6
-# Nodes of a bucket compared in one task; a larger bucket is first divided by its other bands.
+# Nodes compared at once in a task; a larger bucket is cut into blocks, and pairs of blocks are compared.
 LARGE_BUCKET = 4000
+# Components in large buckets must fall by this share for another leader to be tried in them.
+FALL = 0.1
 
 _rng = np.random.default_rng(7)
 _MULTIPLIERS = _rng.integers(1, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -130,7 +132,8 @@ def _across(held: "_Bucket", needed: dict[int, int]):
     A pair that shares several buckets is taken in that of the first band it agrees in.
     """
     for i in range(len(held.node) - 1):
-        others = i + 1 + np.flatnonzero(held.component[i + 1:] != held.component[i])
+        others = i + 1 + np.flatnonzero((held.component[i + 1:] != held.component[i])
+                                        & ((held.half[i] < 0) | (held.half[i + 1:] != held.half[i])))
         if len(others):
             mine = held.signed[i]
             others = others[surviving(np.broadcast_to(mine, (len(others), HASHES)), held.signed[others], needed)]
@@ -145,8 +148,9 @@ class _Bucket:
         self.bucket, self.band = rows[0][0], rows[0][1]
         self.node = np.array([r[2] for r in rows], dtype=np.int64)
         self.component = np.array([r[3] for r in rows], dtype=np.int64)
-        self.signed = np.frombuffer(b"".join([r[4] for r in rows]), dtype="<u4").reshape(-1, HASHES)
-        self.sets = [r[5] for r in rows] if len(rows[0]) > 5 else []
+        self.half = np.array([r[4] for r in rows], dtype=np.int64)  # -1: in one block
+        self.signed = np.frombuffer(b"".join([r[5] for r in rows]), dtype="<u4").reshape(-1, HASHES)
+        self.sets = [r[6] for r in rows] if len(rows[0]) > 6 else []
 
 
 def _by_bucket(work):
@@ -154,9 +158,9 @@ def _by_bucket(work):
     def run(batches):
         held: list[tuple] = []
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns[:5]]
-            if batch.num_columns > 5:
-                lists = batch.column(5)
+            columns = [c.to_pylist() for c in batch.columns[:6]]
+            if batch.num_columns > 6:
+                lists = batch.column(6)
                 columns.append(np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1]))
             for row in zip(*columns):
                 if held and row[0] != held[0][0]:
@@ -178,7 +182,8 @@ def _unsettled(needed: dict[int, int]):
         n = int(open_.sum())
         return pa.RecordBatch.from_arrays(
             [pa.array([held.bucket] * n, pa.int64()), pa.array([held.band] * n, pa.int32()),
-             pa.array(held.node[open_]), pa.array(held.component[open_])], ["bucket", "band", "doc_id", "component"])
+             pa.array(held.node[open_]), pa.array(held.component[open_]), pa.array(held.half[open_].astype(np.int32))],
+            ["bucket", "band", "doc_id", "component", "half"])
     return _by_bucket(work)
 
 
@@ -271,26 +276,87 @@ def _search(scratch: Scratch, nodes: DataFrame, docs: DataFrame, members: DataFr
     labels = components(scratch, links, "stars")
     signed = nodes.select("doc_id", "signature")
     open_ = scratch.table(_labelled(members, labels), "open")
-    sized = open_.groupBy("bucket").agg(F.count("*").alias("n"))
-    small = open_.join(sized.filter(F.col("n") <= large), "bucket", "left_semi")
-    big = open_.join(sized.filter(F.col("n") > large), "bucket", "left_semi")
-    parts = _by_bands(big.withColumnRenamed("band", "own").join(signed, "doc_id"), "bucket")
-    split = _divided(parts.filter("band <> own").select("bucket", F.col("own").alias("band"), "doc_id", "component"))
-    columns = ["bucket", "band", "doc_id", "component"]
+    left, turn = _crowd(open_, large), 0
+    while left:
+        turn += 1
+        more = _confirmed(scratch, nodes, docs, percent, _led(open_, large, turn))
+        links = scratch.table(links.union(more), f"star-links-{turn}")
+        labels = components(scratch, links, f"stars-{turn}")
+        open_ = scratch.table(_labelled(members, labels), f"open-{turn}")
+        before, left = left, _crowd(open_, large)
+        if left > (1 - FALL) * before:
+            break
+    columns = ["bucket", "band", "doc_id", "component", "half"]
     needed = least_matches(percent / 100)
 
     def sorted_rows(rows: DataFrame, *extra: str) -> DataFrame:
         return rows.select(*columns, "signature", *extra).repartition("bucket").sortWithinPartitions("bucket", "doc_id")
 
-    rows = sorted_rows(small.select(*columns).union(split.select(*columns)).join(signed, "doc_id"))
+    in_parts = open_.withColumn("half", F.lit(-1))
+    if left:
+        sized = _sized(open_)
+        in_parts = in_parts.join(sized.filter(F.col("n") <= large), "bucket", "left_semi").select(*columns).union(
+            blocks(open_, large).select(*columns))
+    rows = sorted_rows(in_parts.join(signed, "doc_id"))
     unsettled = scratch.table(rows.mapInArrow(
-        _unsettled(needed), "bucket long, band int, doc_id long, component long"), "unsettled")
+        _unsettled(needed), "bucket long, band int, doc_id long, component long, half int"), "unsettled")
     sets = _sets_of(scratch, docs, unsettled.select("doc_id").distinct(), "sets")
     complete = sorted_rows(unsettled.join(signed, "doc_id").join(sets, "doc_id"), "shingles")
     more = complete.mapInArrow(_linked(needed, percent), "a long, b long")
     return components(scratch, links.union(more), "all")
 
 
+def _sized(open_: DataFrame) -> DataFrame:
+    """`bucket, n, main, most`: the nodes of each bucket, and its component with the most of them."""
+    return open_.groupBy("bucket", "component").agg(F.count("*").alias("c")).groupBy("bucket").agg(
+        F.sum("c").alias("n"), F.count("*").alias("parts"), F.max(F.struct("c", "component")).alias("top")).select(
+        "bucket", "n", "parts", F.col("top.component").alias("main"), F.col("top.c").alias("most"))
+
+
+def _crowd(open_: DataFrame, large: int) -> int:
+    """The components in buckets that are larger than `large`."""
+    return _sized(open_).filter(F.col("n") > large).agg(F.sum("parts")).first()[0] or 0
+
+
+def _led(open_: DataFrame, large: int, turn: int) -> DataFrame:
+    """In each large bucket, pairs (`a, b`) of one node outside the main component with those of other components."""
+    big = open_.join(_sized(open_).filter(F.col("n") > large), "bucket")
+    drawn = F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id", "component")
+    lead = big.filter("component <> main").groupBy("bucket").agg(F.min(drawn).alias("lead"))
+    return big.join(lead, "bucket").filter(F.col("component") != F.col("lead.component")).select(
+        F.least("doc_id", "lead.doc_id").alias("a"), F.greatest("doc_id", "lead.doc_id").alias("b")).distinct()
+
+
+def blocks(open_: DataFrame, large: int) -> DataFrame:
+    """The members of buckets larger than `large`, once for each pair of blocks they are compared in.
+
+    The main component (side 1) is not compared with itself. The rows of a pair of blocks share `bucket`, about
+    `large` in number at most; `half` tells the blocks apart, -1 stands for a block with itself. Each pair of
+    nodes from two components comes together exactly once.
+    """
+    half = max(1, large // 2)
+    side = F.when(F.col("component") == F.col("main"), 1).otherwise(0)
+
+    def cut(n):
+        return F.greatest(F.lit(1), F.ceil(n / F.lit(half))).cast("int")
+    big = open_.join(_sized(open_).filter(F.col("n") > large), "bucket").withColumn("side", side).withColumn(
+        "few", cut(F.col("n") - F.col("most"))).withColumn("many", cut(F.col("most")))
+    own = F.pmod(F.xxhash64("doc_id", F.lit("block")), F.when(F.col("side") == 1, F.col("many")).otherwise(F.col("few")))
+    big = big.withColumn("own", own.cast("int"))
+    met = F.explode(F.sequence(F.lit(0), F.col("last") - 1)).alias("other")
+    keep = ["bucket", "band", "doc_id", "component", "side", "own"]
+    among = big.filter("side = 0").withColumn("last", F.col("few")).select(*keep, met).select(
+        *keep, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.lit(0).alias("with"),
+        F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("half"))
+    to_main = big.withColumn("last", F.when(F.col("side") == 1, F.col("few")).otherwise(F.col("many"))).select(
+        *keep, met).select(
+        *keep, F.when(F.col("side") == 1, F.col("other")).otherwise(F.col("own")).alias("i"),
+        F.when(F.col("side") == 1, F.col("own")).otherwise(F.col("other")).alias("j"), F.lit(1).alias("with"),
+        F.col("side").alias("half"))
+    return among.union(to_main).withColumn("bucket", F.xxhash64("bucket", "i", "j", "with")).select(
+        "bucket", "band", "doc_id", "component", F.col("half").cast("int").alias("half"))
+
+
 def _divided(rows: DataFrame) -> DataFrame:
     several = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
         "low <> high").select("bucket")
