@@ -6,6 +6,7 @@ import pytest
 from edges import ROWS, corpus, edge_docs
 
 from windflow.llm import minimisers
+from windflow.llm.common import Scratch
 from windflow.llm.minimisers import Kind, fragments
 from windflow.llm.substrings import same_windows, without_repeated_passages
 from windflow.llm.suffixes import SuffixArray, intervals, repeat_groups, without_repeated_bytes
@@ -40,6 +41,24 @@ def test_edges(spark, operator, plain):
     assert operator(edge_docs(spark, [])).collect() == []
 
 
+@pytest.mark.parametrize("operator, plain", CASES)
+def test_repeated_rows_count_once(spark, monkeypatch, operator, plain):
+    passage = " ".join(f"pass{i}" for i in range(70))
+    texts = [(None, f"one {passage} two")] * 40 + [(5, f"three {passage} four")] * 40 + [(6, f"five {passage} six")]
+    sizes, table = {}, Scratch.table
+
+    def counted(scratch, df, name):
+        made = table(scratch, df, name)
+        sizes[name] = made.count()
+        return made
+    monkeypatch.setattr(Scratch, "table", counted)
+    assert found(operator(edge_docs(spark, texts))) == expected(texts, plain)
+    once = sizes.copy()
+    assert found(operator(edge_docs(spark, texts[39:41] + texts[-1:]))) == expected(texts[39:41] + texts[-1:], plain)
+    assert {k: n for k, n in once.items() if k not in ("anchored", "repeated")} == {
+        k: n for k, n in sizes.items() if k not in ("anchored", "repeated")}
+
+
 @pytest.mark.parametrize("words", [True, False])
 def test_stretches_hold_every_window_once(monkeypatch, words):
     kind = Kind(50, 5, True, ("d",)) if words else Kind(100, 16, False, ("d", "at"))

@@ -275,6 +275,12 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(F.xxhash64(text), F.lit(0)).alias("h"), text.alias("text"))
 
 
+def _once(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """One row for each (`d`, `h`), of which `repeated` lists those with several."""
+    return rows.join(repeated, ["d", "h"], "left_anti").unionByName(
+        rows.join(repeated, ["d", "h"], "left_semi").dropDuplicates(["d", "h"]))
+
+
 def repeated_spans(scratch: Scratch, rows: DataFrame, kind: Kind, finder: Finder,
                    large: int = LARGE_BUCKET) -> tuple[DataFrame, DataFrame]:
     """(texts, spans): `d, h, n, sha, copied` of each text and the spans `d, h, s, e` in symbols that later
@@ -282,7 +288,14 @@ def repeated_spans(scratch: Scratch, rows: DataFrame, kind: Kind, finder: Finder
     texts = scratch.table(rows.mapInArrow(_anchored(kind), _ANCHORED), "anchored")
     first_id = texts.groupBy("sha").agg(F.min("d").alias("first_d"))
     texts_marked = texts.join(first_id, "sha").withColumn("copied", F.col("d") > F.col("first_d"))
-    own = texts_marked.filter("not copied and n >= {}".format(kind.window)).select(
+    # Rows that repeat id and text count once from here on; few of them are moved.
+    repeated = scratch.table(texts.groupBy("d", "h").agg(F.count("*").alias("c")).filter("c > 1").select("d", "h"),
+                             "repeated")
+    if repeated.limit(1).count():
+        rows, distinct = _once(rows, repeated), _once(texts_marked, repeated)
+    else:
+        distinct = texts_marked
+    own = distinct.filter("not copied and n >= {}".format(kind.window)).select(
         "d", "h", F.posexplode("anchors").alias("ordinal", "anchor"))
     shared = own.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
     wanted = scratch.table(own.join(shared, "anchor", "left_semi").groupBy("d", "h").agg(
