@@ -60,6 +60,13 @@ class Scratch:
             self.spark.conf.set(_CLEANUP, before) if before else self.spark.conf.unset(_CLEANUP)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def partitioned(self, df: DataFrame, name: str, column: str) -> None:
+        """A table in a folder for each value of `column`, for `read`."""
+        df.write.partitionBy(column).option("compression", "zstd").parquet(f"{self.folder}/{name}")
+
+    def read(self, name: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
+
     def result(self, df: DataFrame) -> DataFrame:
         """`df`, computed now and kept as a checkpoint."""
         return df.checkpoint(eager=True)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windflow.llm import exact, language, licenses, near, packing, substrings, suffixes, templates, token_counts, urls
+from windflow.llm import (exact, filter_audit, language, licenses, near, packing, substrings, suffixes,
+                          templates, token_counts, urls)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -93,3 +94,8 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
+
+
+@query(filter_audit.ORACLE)
+def op12_filter_interaction_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.document_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
