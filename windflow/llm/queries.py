@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windflow.llm import (exact, filter_audit, language, licenses, near, packing, substrings, suffixes,
+from windflow.llm import (exact, filter_audit, language, licenses, near, packing, phrases, substrings, suffixes,
                           templates, token_counts, urls)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +96,11 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
 
 
+@query(phrases.ORACLE)
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.phrase_collocations(table(spark, folder, "documents"))
+
+
 @query(filter_audit.ORACLE)
 def op12_filter_interaction_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.document_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
