@@ -71,9 +71,9 @@ def shingles(text, n=5):
     return {tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)}
 
 
-def near_groups(docs, percent=85):
+def near_groups(docs, percent=85, n=5):
     """{doc_id: (n_shingles, component_id, kept)} for documents with different ids."""
-    sets = {doc_id: shingles(text) for doc_id, text in docs}
+    sets = {doc_id: shingles(text, n) for doc_id, text in docs}
     parent = {d: d for d in sets}
 
     def root(d):

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windflow.llm import (exact, filter_audit, language, licenses, near, packing, phrases, substrings, suffixes,
-                          templates, token_counts, urls)
+from windflow.llm import (exact, filter_audit, language, licenses, near, overlap, packing, phrases, substrings,
+                          suffixes, templates, token_counts, urls)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -104,3 +104,8 @@ def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
 @query(filter_audit.ORACLE)
 def op12_filter_interaction_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.document_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op13_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return overlap.ngram_links(table(spark, folder, "documents"))
