@@ -97,3 +97,11 @@ def near_groups(docs, percent=85, n=5):
                 a, b = root(d), root(e)
                 parent[max(a, b)] = min(a, b)
     return {d: (len(s), root(d), root(d) == d) for d, s in sets.items()}
+
+
+def thue_morse(n, first=b"a", other=b"b"):
+    """A word of 2**n letters whose complement has the same value under any polynomial modulo 2**64."""
+    word, complement = first, other
+    for _ in range(n):
+        word, complement = word + complement, complement + word
+    return word.decode(), complement.decode()

@@ -89,3 +89,9 @@ def test_pruning_keeps_similar_pairs():
     assert len(near.surviving(left, right, needed)) >= 19_990
     unlike = (np.random.default_rng(2).random((2000, near.HASHES)) >= 0.4).astype(np.uint32)
     assert len(near.surviving(left[:2000], unlike, needed)) == 0
+
+
+def test_long_words_that_differ_are_not_one(spark):
+    one, other = brute.thue_morse(11)
+    rows = [(1, " ".join([*"abcde", one, *"fghi", *"abcde", other, *"fghi"]))]
+    assert found(edge_docs(spark, rows)) == brute.near_groups(rows)

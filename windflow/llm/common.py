@@ -124,7 +124,7 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(kind).to_pylist()]
 
 
-# Hashing of words: a polynomial over bytes, read off prefix sums so that a whole chunk is one pass.
+# Prefix sums of a polynomial over hashed items: stretches of any length are read off in one pass.
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -151,15 +151,28 @@ def mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def run_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each stretch of bytes: equal stretches have equal ones."""
-    up, down = power_tables(len(raw))
+def run_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each stretch of bytes: equal stretches have equal ones.
+
+    Blocks of eight bytes are mixed with keys that depend on their place and on the seed, and added up.
+    """
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64)
+    sizes = (ends - starts).astype(np.int64)
+    blocks = np.maximum(1, (sizes + 7) >> 3)
+    first = np.cumsum(blocks) - blocks
+    place = np.arange(int(blocks.sum())) - np.repeat(first, blocks)
+    rest = np.repeat(sizes, blocks) - 8 * place
+    eight = np.ndarray(shape=(len(raw) + 1,), dtype="<u8", buffer=raw.tobytes() + b"\0" * 8, strides=(1,))
+    value = eight[np.minimum(np.repeat(starts, blocks) + 8 * place, len(raw))]
+    value &= _LOW_BYTES[np.minimum(rest, 8)]
+    key = mixed(np.arange(2 * int(blocks.max()), dtype=np.uint64) + mixed(np.array([seed + 1], dtype=np.uint64)))
     with np.errstate(over="ignore"):
-        sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=sums[1:])
-        value = (sums[ends] - sums[starts]) * down[starts]
-        return mixed(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        value = mixed((value ^ key[2 * place]) * (key[2 * place + 1] | np.uint64(1)))
+        return mixed(np.add.reduceat(value, first) + sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
 
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -187,9 +200,9 @@ class Words:
         self.text_of = np.repeat(np.arange(len(texts)), np.diff(self.first))
         self._raw = raw
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self, seed: int = 0) -> np.ndarray:
         """64-bit hashes: equal words have equal ones."""
-        return run_hashes(self._raw, self.starts, self.ends)
+        return run_hashes(self._raw, self.starts, self.ends, seed)
 
 
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:

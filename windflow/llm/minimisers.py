@@ -104,16 +104,16 @@ class Layout:
     def digests(self, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """128 bits of each run of symbols, read off prefix sums of hashed words or of hashed stretches of
         eight bytes."""
-        if self._hashes is not None:
-            values, stops = self._hashes(), starts + sizes
-        else:
-            raw = self.buffer + b"\0" * 8
-            values = mixed(np.ndarray(shape=(len(raw) - 7,), dtype="<u8", buffer=raw, strides=(1,)))
-            stops = starts + sizes - 7
-        up, down = power_tables(len(values))
         out = []
         with np.errstate(over="ignore"):
-            for salt in (0, 0xC2B2AE3D27D4EB4F):
+            for turn, salt in enumerate((0, 0xC2B2AE3D27D4EB4F)):
+                if self._hashes is not None:  # hashes of words that do not depend on one another
+                    values, stops = self._hashes(turn), starts + sizes
+                else:
+                    raw = self.buffer + b"\0" * 8
+                    values = mixed(np.ndarray(shape=(len(raw) - 7,), dtype="<u8", buffer=raw, strides=(1,)))
+                    stops = starts + sizes - 7
+                up, down = power_tables(len(values))
                 sums = np.zeros(len(values) + 1, dtype=np.uint64)
                 np.cumsum(mixed(values ^ np.uint64(salt)) * up[:len(values)], out=sums[1:])
                 out.append(((sums[stops] - sums[starts]) * down[starts] + sizes.astype(np.uint64)).view(np.int64))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from windflow.llm.common import Scratch, mixed, text_bytes
+from windflow.llm.common import Scratch, mixed, run_hashes, text_bytes
 
 # Words of a phrase at most, and the occurrences it needs.
 LONGEST, LEAST = 4, 30
@@ -70,9 +70,12 @@ def _longer(hashes: np.ndarray, word_hashes: np.ndarray) -> np.ndarray:
         return mixed(hashes * np.uint64(0x9FB21C651E98DF25) + word_hashes)
 
 
-def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
-    seed = xxhash.xxh3_64_intdigest(lang.encode())
-    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), dtype=np.uint64, count=len(words))
+def _word_hashes(lang: str, words: pa.Array) -> np.ndarray:
+    """Hashes of words, other ones for each language."""
+    _, offsets, data = words.buffers()
+    edges = np.frombuffer(offsets, dtype=np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    raw = np.frombuffer(data, dtype=np.uint8) if data else np.zeros(0, dtype=np.uint8)
+    return run_hashes(raw[:edges[-1]], edges[:-1], edges[1:], xxhash.xxh3_64_intdigest(lang.encode()) >> 1)
 
 
 def counted(lang: str, chunk: bytes, marks: np.ndarray, step: int, shards: int, longest: int):
@@ -81,25 +84,24 @@ def counted(lang: str, chunk: bytes, marks: np.ndarray, step: int, shards: int,
     The empty phrase stands for all word occurrences. Phrases are told apart by the words themselves: a word has its
     number in the chunk, a longer phrase that of its first part and of its last word.
     """
-    tokens = [w for w in chunk.replace(_BREAK, b" \n ").split(b" ") if w]
-    if not tokens:
-        return
-    coded = pa.array(tokens, pa.binary()).dictionary_encode()
+    coded = pc.split_pattern(pa.array([chunk.replace(_BREAK, b" \n ").decode()]), " ").flatten().dictionary_encode()
     vocabulary, ids = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
-    plain = vocabulary.to_pylist()
-    broken = plain.index(_BREAK) if _BREAK in plain else -1
+    ids = ids[ids != pc.index(vocabulary, "").as_py()]
+    if not len(ids):
+        return
+    broken = pc.index(vocabulary, "\n").as_py()
     inside = ids != broken
-    word_hash = _word_hashes(lang, plain)
+    word_hash = _word_hashes(lang, vocabulary)
     one, other = _slots(word_hash, 1, len(marks))
     reached_word = np.maximum(marks[one], marks[other])
     if broken >= 0:
         reached_word[broken] = UNMARKED
     if step < shards:
-        n = np.bincount(ids, minlength=len(plain))
+        n = np.bincount(ids, minlength=len(vocabulary))
         if broken >= 0:
             n[broken] = 0
         some = np.flatnonzero(n)
-        yield pa.array([b""], pa.binary()), 0, np.zeros(1, np.int64), np.array([inside.sum()])
+        yield pa.array([""]), 0, np.zeros(1, np.int64), np.array([inside.sum()])
         yield vocabulary.take(pa.array(some)), 1, np.zeros(len(some), np.int64), n[some]
     # Of the phrases of one length that begin at each position: their number, hash and the step they are marked from.
     number, reached = ids, reached_word[ids]
@@ -112,7 +114,7 @@ def counted(lang: str, chunk: bytes, marks: np.ndarray, step: int, shards: int,
         if not len(at):
             return
         last = ids[at + words - 1]
-        _, first, own = np.unique(number[at] * len(plain) + last, return_index=True, return_inverse=True)
+        _, first, own = np.unique(number[at] * len(vocabulary) + last, return_index=True, return_inverse=True)
         begun = at[first]
         new_hashes = _longer(hashes[begun], word_hash[ids[begun + words - 1]])
         starts = start[begun]
@@ -120,7 +122,7 @@ def counted(lang: str, chunk: bytes, marks: np.ndarray, step: int, shards: int,
         if len(due):
             n = np.bincount(own, minlength=len(first))[due]
             parts = [vocabulary.take(pa.array(ids[begun[due] + k])) for k in range(words)]
-            yield pc.binary_join_element_wise(*parts, b" "), words, starts[due], n
+            yield pc.binary_join_element_wise(*parts, " "), words, starts[due], n
         if words == longest:
             return
         one, other = _slots(new_hashes, words, len(marks))
@@ -141,7 +143,7 @@ def _scan(marks, step: int, shards: int, longest: int):
                 for chunk in chunks(texts[langs == lang].tolist()):
                     for phrases, words, starts, n in counted(lang, chunk, table, step, shards, longest):
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(n), pa.string()), phrases.cast(pa.string()),
+                            [pa.array([lang] * len(n), pa.string()), phrases,
                              pa.array(np.full(len(n), words, np.int32)), pa.array(starts.astype(np.int32)),
                              pa.array(n.astype(np.int64))], ["lang", "phrase", "words", "start", "n"])
     return run
@@ -151,12 +153,12 @@ def _slots_of(slots: int):
     """Both slots of each phrase (`lang, phrase, words`)."""
     def run(batches):
         for batch in batches:
-            groups: dict[tuple[str, int], list[bytes]] = {}
+            groups: dict[tuple[str, int], list[str]] = {}
             for lang, phrase, words in zip(*(c.to_pylist() for c in batch.columns)):
-                groups.setdefault((lang, words), []).extend(phrase.encode().split(b" "))
+                groups.setdefault((lang, words), []).extend(phrase.split(" "))
             found = [np.zeros(0, np.int64)]
             for (lang, words), parts in groups.items():
-                hashes = _word_hashes(lang, parts).reshape(-1, words)
+                hashes = _word_hashes(lang, pa.array(parts, pa.string())).reshape(-1, words)
                 value = hashes[:, 0]
                 for k in range(1, words):
                     value = _longer(value, hashes[:, k])

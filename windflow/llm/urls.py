@@ -92,14 +92,15 @@ def judged(pages: DataFrame, labels: DataFrame, rules: list[Rule], *, id_col: st
     path follows, up to `?`, `#` or the end. Both are empty for a url that is null or has no `://`. A rule
     fits its host and all subdomains where the path starts with the rule's; of several the longest
     counts and its verdict stands. Other pages are blocked if their template's purity is below
-    `LIMIT`, and allowed otherwise. `labels` has `page_id` and `good` (1 or 0), a row a page at most; pages
-    without labels take part in the counts. With no labels at all purity is 1. Repeated ids are pages of
+    `LIMIT`, and allowed otherwise. `labels` has `page_id` and `good` (1 or 0); where it
+    repeats a page, one 1 is enough. Pages without labels take part in the counts. With no labels at all purity is 1. Repeated ids are pages of
     their own and share their label; a missing id has none. An empty table gives no row.
     """
     with Scratch(pages.sparkSession) as scratch:
         chosen = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"))
         chosen = chosen.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-        known = labels.select(F.col("page_id").cast("long").alias("page_id"), F.col("good").cast("int").alias("good"))
+        known = labels.filter("page_id is not null").groupBy(F.col("page_id").cast("long").alias("page_id")).agg(
+            F.max(F.col("good").cast("int")).alias("good"))
         chosen = chosen.join(known, "page_id", "left").withColumn(
             "segments", F.filter(F.split("path", "/"), lambda s: s != ""))
         pages = scratch.table(templated(scratch, chosen), "templates")
@@ -176,8 +177,9 @@ WITH lines AS (
     SELECT trim(substring(split_part(text, chr(10), 1), 1, 60)) AS line,
            sum((quality = 1 AND toxic = 0)::INT) AS g, count(*) AS c
     FROM documents JOIN labels USING (doc_id) WHERE (quality = 1 AND toxic = 0) IS NOT NULL GROUP BY 1),
-known AS (SELECT page_id, (2 * g >= c)::INT AS good
-          FROM (SELECT page_id, trim({title}) AS line FROM pages) JOIN lines USING (line) WHERE line <> ''),
+known AS (SELECT page_id, max((2 * g >= c)::INT) AS good
+          FROM (SELECT page_id, trim({title}) AS line FROM pages) JOIN lines USING (line)
+          WHERE line <> '' AND page_id IS NOT NULL GROUP BY page_id),
 cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substring(url, strpos(url, '://') + 3) END AS rest FROM pages),
 split AS (SELECT page_id,
     coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}'), '') AS host,
