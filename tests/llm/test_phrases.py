@@ -1,14 +1,12 @@
 import re
 from collections import Counter
 
-import duckdb
 import pytest
 from edges import ROWS, edge_docs
 from pyspark.sql import functions as F
 
 from windflow.llm import phrases
 from windflow.llm.common import Scratch
-from windflow.llm.queries import ORACLE, QUERIES
 
 
 def plain_counts(docs):
@@ -61,15 +59,6 @@ def test_corpus(spark, sf, shards, slots):
     assert any(len(r[2].split(" ")) > 2 for r in got)
 
 
-def test_sql(spark, sf):
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
-    theirs = con.sql(ORACLE["op11_phrase_collocations"])
-    assert set(theirs.columns) == set("lang rank phrase a l r n score".split())
-    rows = sorted(tuple(r) for r in theirs.select("lang, rank, phrase, a, l, r, n, score").fetchall())
-    assert rows == found(QUERIES["op11_phrase_collocations"](spark, sf))
-
-
 def test_counts_are_exact_where_marks_collide(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     expected = {(lang, " ".join(p)): a for lang, (_, f) in plain_counts(rows_of(docs)).items()

@@ -106,5 +106,5 @@ def test_long_words_that_differ_are_not_one(spark):
     one, other = brute.thue_morse(11)
     same = " ".join(f"p{i}" for i in range(60))
     rows = [(1, f"{same} {one}"), (2, f"{same} {other}")]
-    got = {r["doc_id"]: r["n_removed"] for r in substrings.without_repeated_passages(edge_docs(spark, rows)).collect()}
+    got = {r["doc_id"]: r["n_removed"] for r in without_repeated_passages(edge_docs(spark, rows)).collect()}
     assert got == {1: 0, 2: 60}

@@ -183,6 +183,6 @@ def test_repeated_pages_stay_as_many(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet").limit(50)
     thrice = pages.union(pages).union(pages).union(pages.limit(2).withColumn("page_id", F.lit(None).cast("long")))
     docs, labels = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
-    got = urls.judged(thrice, urls.labels_by_title(thrice, docs, labels), RULES).collect()
+    got = urls.judged(thrice, urls.labels_by_title(thrice, docs, labels), queries.RULES).collect()
     assert len(got) == 152
     assert len({(r["page_id"], r["verdict"]) for r in got if r["page_id"] is not None}) == 50

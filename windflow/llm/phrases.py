@@ -126,7 +126,8 @@ def counted(lang: str, chunk: bytes, marks: np.ndarray, step: int, shards: int,
         if words == longest:
             return
         one, other = _slots(new_hashes, words, len(marks))
-        marked = np.maximum(marks[one], marks[other])
+        # A slot may be marked before the phrase itself begins, by another one.
+        marked = np.maximum(np.maximum(marks[one], marks[other]), starts.astype(np.uint8))
         number = np.full(len(start), -1, dtype=np.int64)
         reached = np.full(len(start), UNMARKED, dtype=np.uint8)
         hashes = np.zeros(len(start), dtype=np.uint64)
