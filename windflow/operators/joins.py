@@ -6,7 +6,7 @@ None forces a broadcast: Spark broadcasts a side only when it is small enough by
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,23 +55,26 @@ def join_stream_table(stream: DataFrame, table: DataFrame, key: str,
 
 def enrich_as_of(stream: DataFrame, table: DataFrame, key: str, order: str,
                  joiner: Joiner = WITH_MASTER_DATA, tombstone: Column | None = None,
-                 width: int | None = None) -> DataFrame:
+                 width: int | None = None, ties: Sequence[str] = ()) -> DataFrame:
     """Each record with the table row of its key as it was when the record came (batch).
 
     Both sides share the arrival `order`: offsets, or times where they come from logs of their own. A
-    table row counts from its own position on. `tombstone` says which table rows delete their key.
-    Rows without a match drop.
+    table row counts from its own position on. `ties` are columns of the table that put rows of one key and
+    position in order, such as log partition and offset: the last one counts. What they leave even is
+    decided by the rows themselves, so the result never depends on the layout. `tombstone` says which
+    table rows delete their key. Records without a match drop.
     """
     dead = F.coalesce(tombstone, F.lit(False)) if tombstone is not None else F.lit(False)
     fields = [c for c in table.columns if c not in (key, order)]
     versions = present(table, key).select(
         key, order, F.lit(0).alias("__side"),
-        F.struct(dead.alias("dead"), F.struct(*fields).alias("row")).alias("__version"))
+        F.struct(*[F.col(t).alias(f"tie{k}") for k, t in enumerate(ties)], dead.alias("dead"),
+                 F.struct(*fields).alias("row")).alias("__version"))
     records = present(stream, key).select(
         key, order, F.lit(1).alias("__side"), F.struct(*stream.columns).alias("__record"))
     both = with_block(versions.unionByName(records, allowMissingColumns=True), order, width)
     before = _handed_over(both, versions, key, order, width)
-    here = F.last("__version", ignorenulls=True).over(so_far([key], order, ["__side"]))
+    here = F.last("__version", ignorenulls=True).over(so_far([key], order, ["__side", "__version"]))
     return (both.withColumn("__here", here)
             .filter(F.col("__side") == 1)
             .join(before, [key, BLOCK])
@@ -83,7 +86,7 @@ def enrich_as_of(stream: DataFrame, table: DataFrame, key: str, order: str,
 def _handed_over(both: DataFrame, versions: DataFrame, key: str, order: str, width: int | None) -> DataFrame:
     """Per key and block, the newest version of the earlier blocks. Only versions are carried."""
     newest = with_block(versions, order, width).groupBy(key, BLOCK).agg(
-        F.max_by("__version", order).alias("__newest"))
+        F.max(F.struct(order, "__version"))["__version"].alias("__newest"))
     blocks = both.select(key, BLOCK).distinct().join(newest, [key, BLOCK], "left")
     earlier = Window.partitionBy(key).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     return blocks.select(key, BLOCK, F.last("__newest", ignorenulls=True).over(earlier).alias("__before"))

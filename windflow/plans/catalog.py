@@ -519,6 +519,25 @@ def enrich_asof_time(v: Views) -> DataFrame:
                          "value.master_data.customer_name")
 
 
+@query("enrich_asof_ties", """
+SELECT r.offset_id, r.wind_turbine_id, r.current_power, m.customer_name
+FROM late_readings r ASOF JOIN
+     (SELECT wind_turbine_id, date_trunc('day', ts) AS day, arg_max(customer_name, offset_id) AS customer_name,
+             arg_max(is_deleted, offset_id) AS is_deleted
+      FROM master_changes GROUP BY 1, 2) m
+  ON r.wind_turbine_id = m.wind_turbine_id AND r.ts >= m.day
+WHERE NOT m.is_deleted""", "late_readings", "master_changes")
+def enrich_asof_ties(v: Views) -> DataFrame:
+    """Master data that changes several times at one time: the last change by offset counts."""
+    readings = v.late_readings().select("offset_id", "ts", "wind_turbine_id", "current_power")
+    daily = v.master_changes().select("wind_turbine_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("ts"),
+                                      F.col("offset_id").alias("change"), "customer_name", "is_deleted")
+    joined = joins.enrich_as_of(readings, daily, "wind_turbine_id", "ts", tombstone=F.col("is_deleted"),
+                                width=2 * 86_400_000_000, ties=["change"])
+    return joined.select("value.turbine_data.offset_id", "wind_turbine_id", "value.turbine_data.current_power",
+                         "value.master_data.customer_name")
+
+
 @query("status_masterdata", """
 SELECT s.wind_turbine_id, s.is_online, s.status, m.customer_name
 FROM (SELECT wind_turbine_id, arg_max(is_online, offset_id) AS is_online,

@@ -21,9 +21,11 @@ from windflow.plans.views import Views
 from windflow.schemas import LEDGER, READING, TOPICS, TRANSFER, struct_of
 from windflow.session import shared_folder
 from windflow.sources import topic_log
+from windflow.streaming.exact_joins import AsOfJoin, ExactRangeJoin
 from windflow.streaming.jobs import run_job
 from windflow.streaming.late_windows import ExactFinalWindows
 from windflow.streaming.pipelines import averages_job, transfers_job
+from windflow.streaming.running import RunningAverages
 from windflow.streaming.sinks import BatchLog, remove
 
 STEPS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
@@ -55,8 +57,8 @@ class _Run:
             F.col("offset_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
             text_key.alias("key"), codec.encode().alias("value")), self.log)
 
-    def stream(self, topic: str) -> DataFrame:
-        return topic_log.stream_topics(self.spark, self.log, [topic], max_files=FILES_PER_BATCH)
+    def stream(self, topic: str, **options) -> DataFrame:
+        return topic_log.stream_topics(self.spark, self.log, [topic], max_files=FILES_PER_BATCH, **options)
 
     def over(self) -> None:
         for folder in (self.log, self.checkpoint):
@@ -140,3 +142,58 @@ def stream_readings_weather(v: Views) -> DataFrame:
         run_job(flat, "readings-weather", out.write, checkpoint=run.checkpoint)
     run.over()
     return out.read(v.spark).drop("batch_id")
+
+
+@query("stream_readings_weather_late", ORACLE["readings_weather_late"])
+def stream_readings_weather_late(v: Views) -> DataFrame:
+    """The time-range join without grace; both logs are partitioned by turbine."""
+    run, readings = _Run(v), Codec(READING)
+    weather = Codec(struct_of("turbine_id INT, wind_speed DOUBLE"))
+    tables = [(TOPICS["readings"], v.late_readings("arrival"), readings),
+              (TOPICS["weather"], v.weather().withColumn("partition_id", F.pmod("turbine_id", F.lit(4)).cast("int"))
+               .withColumn("arrival", F.col("ts")), weather)]
+    for period in _periods("arrival"):
+        for topic, records, codec in tables:
+            run.append(topic, records.filter(period), "wind_turbine_id", codec)
+        left, right = (decoded(run.stream(topic), codec) for topic, _, codec in tables)
+        join = ExactRangeJoin(f"{run.path}/join", left, right, "key", "timestamp", "timestamp", "20 minutes")
+        run_job(join.records(), "readings-weather-late", join, checkpoint=run.checkpoint)
+    run.over()
+    return join.results(v.spark).select(
+        F.col("left.offset").alias("offset_id"), F.col("key").alias("wind_turbine_id"), "left.current_power",
+        F.col("right.offset").alias("weather_offset_id"), "right.wind_speed")
+
+
+@query("stream_enrich_asof", ORACLE["enrich_asof_ties"])
+def stream_enrich_asof(v: Views) -> DataFrame:
+    """Readings with their master data as it was then; several changes have one time."""
+    run, readings = _Run(v), Codec(READING)
+    master = Codec(struct_of("customer_name STRING, is_deleted BOOLEAN"))
+    changes = v.master_changes().withColumn("partition_id", F.pmod("id", F.lit(4)).cast("int")).withColumn(
+        "arrival", F.col("ts")).withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    tables = [(TOPICS["readings"], v.late_readings("arrival"), readings), (TOPICS["master_data"], changes, master)]
+    for period in _periods("arrival"):
+        for topic, records, codec in tables:
+            run.append(topic, records.filter(period), "wind_turbine_id", codec)
+        left, right = (decoded(run.stream(topic), codec) for topic, _, codec in tables)
+        join = AsOfJoin(f"{run.path}/join", left, right, "key", "timestamp", "timestamp", F.col("is_deleted"),
+                        lateness="1 day")
+        run_job(join.records(), "enrich-asof", join, checkpoint=run.checkpoint)
+    run.over()
+    # The last day's readings still wait for changes of that day.
+    return join.results(v.spark).unionByName(join.unanswered(v.spark)).select(
+        F.col("left.offset").alias("offset_id"), F.col("key").alias("wind_turbine_id"), "left.current_power",
+        "right.customer_name")
+
+
+@query("stream_running_avg_changelog", ORACLE["running_avg_changelog"])
+def stream_running_avg_changelog(v: Views) -> DataFrame:
+    run, codec = _Run(v), Codec(READING)
+    for period in _periods("ts"):
+        run.append(TOPICS["readings"], v.readings().filter(period), "wind_turbine_id", codec)
+        rows = decoded(run.stream(TOPICS["readings"]), codec).select(
+            F.col("offset").alias("offset_id"), "wind_turbine_id", "current_power")
+        job = RunningAverages(f"{run.path}/averages", rows, "wind_turbine_id", "current_power", "offset_id", width=512)
+        run_job(rows, "running-averages", job, checkpoint=run.checkpoint)
+    run.over()
+    return job.results(v.spark).drop("current_power")
