@@ -218,3 +218,13 @@ def test_avro_round_trip_or_a_clear_error(spark):
     else:
         assert tuple(avro.decode_avro(framed, schemas.READING, "WindTurbineData").first().record) == (
             "T1", "P1", 1.0)
+
+
+def test_text_behind_a_record_is_rejected(spark):
+    codec = Codec(schemas.struct_of("a INT, s STRING"))
+    texts = ['{"a":1}', ' {"a":1,"s":"x"} ', '{"a":1}]', '{"a":1}] xx', '{"a":1}} xx', '{"a":1},"end":"x"}', '{"a":1} xx',
+             '{"a":1},{"a":2}', '[{"a":1}]', "null", "5", "", " ", '{"a":"z"}', '{"a":1', '{"s":"]}","a":2}', "{}"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, value string")
+    states = {r["i"]: r["state"] for r in decode_json(df, codec).collect()}
+    assert [i for i, s in states.items() if s == "ok"] == [0, 1, 15, 16]
+    assert set(states.values()) == {"ok", "rejected"}

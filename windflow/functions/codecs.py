@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_CORRUPT = "_corrupt_record"
+_CORRUPT, _RECORD, _END = "_corrupt_record", "record", "end"
 _NUMBERS = (T.IntegerType, T.LongType, T.DoubleType, T.FloatType)
 
 
@@ -20,9 +20,8 @@ def _number(raw: Column, kind: T.DataType) -> Column:
     return F.coalesce(raw.try_cast(kind), F.when(exact == F.floor(exact), exact.try_cast("decimal(38,0)").try_cast(kind)))
 
 
-def one_value(text: Column) -> Column:
-    """Whether the text is one JSON value, with nothing but white space around it."""
-    return F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+def _mark(text: Column) -> Column:
+    return F.xxhash64(text, F.lit(_END)).cast("string")
 
 
 @dataclass(frozen=True)
@@ -43,14 +42,22 @@ class Codec:
         if self.java_defaults:
             fields = [T.StructField(f.name, T.StringType()) if isinstance(f.dataType, _NUMBERS)
                       else f for f in fields]
-        return T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
+        return T.StructType([T.StructField(_RECORD, T.StructType(fields)), T.StructField(_END, T.StringType()),
+                             T.StructField(_CORRUPT, T.StringType())])
 
     def parse(self, text: Column) -> Column:
-        """The parsed struct with `_corrupt_record`; pass it to `record` and `malformed`."""
-        return F.from_json(text, self._wire_schema(), {"columnNameOfCorruptRecord": _CORRUPT})
+        """The parsed text; pass it to `record` and `malformed`.
+
+        The text is parsed as a field of an object that goes on with a mark made of the text's own hash.
+        Text that ends the object by itself, or holds more than one value, loses the mark.
+        """
+        whole = F.concat(F.lit(f'{{"{_RECORD}":'), text, F.lit(f',"{_END}":"'), _mark(text), F.lit('"}'))
+        parsed = F.from_json(whole, self._wire_schema(), {"columnNameOfCorruptRecord": _CORRUPT})
+        return F.struct(parsed[_RECORD].alias(_RECORD),
+                        (parsed[_CORRUPT].isNull() & parsed[_END].eqNullSafe(_mark(text))).alias("whole"))
 
     def _field(self, parsed: Column, f: T.StructField) -> Column:
-        raw = parsed.getField(f.name)
+        raw = parsed.getField(_RECORD).getField(f.name)
         if not self.java_defaults:
             return raw
         if isinstance(f.dataType, _NUMBERS):
@@ -63,11 +70,11 @@ class Codec:
         return F.struct(*[self._field(parsed, f).alias(f.name) for f in self.schema.fields])
 
     def malformed(self, parsed: Column) -> Column:
-        bad = parsed.isNull() | parsed.getField(_CORRUPT).isNotNull()
+        bad = ~parsed.getField("whole") | parsed.getField(_RECORD).isNull()
         if self.java_defaults:
             for f in self.schema.fields:
                 if isinstance(f.dataType, _NUMBERS):
-                    raw = parsed.getField(f.name)
+                    raw = parsed.getField(_RECORD).getField(f.name)
                     bad = bad | (raw.isNotNull() & _number(raw, f.dataType).isNull())
         return F.coalesce(bad, F.lit(False))
 
@@ -98,7 +105,7 @@ def decode_json(df: DataFrame, codec: Codec, value: str = "value") -> DataFrame:
     parsed = parsed_once(df, F.struct(codec.parse(text).alias("__parsed")))
     p = F.col("__parsed")
     state = (F.when(text.isNull(), F.lit("tombstone"))
-             .when(codec.malformed(p) | ~one_value(text), F.lit("rejected"))
+             .when(codec.malformed(p), F.lit("rejected"))
              .otherwise(F.lit("ok")))
     return (parsed.withColumn("state", state)
             .withColumn("record", F.when(F.col("state") == "ok", codec.record(p)))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windflow.functions.codecs import Codec, decoded
+from windflow.functions.text import turbine_key
 from windflow.operators.aggregates import latest_by_key
 from windflow.operators.joins import join_within
 from windflow.plans.catalog import ORACLE, query
@@ -24,7 +25,7 @@ from windflow.sources import topic_log
 from windflow.streaming.exact_joins import AsOfJoin, ExactRangeJoin
 from windflow.streaming.jobs import run_job
 from windflow.streaming.late_windows import ExactFinalWindows
-from windflow.streaming.pipelines import averages_job, transfers_job
+from windflow.streaming.pipelines import averages_job, follow_job, status_job, transfers_job
 from windflow.streaming.running import RunningAverages
 from windflow.streaming.sinks import BatchLog, remove
 
@@ -197,3 +198,76 @@ def stream_running_avg_changelog(v: Views) -> DataFrame:
         run_job(rows, "running-averages", job, checkpoint=run.checkpoint)
     run.over()
     return job.results(v.spark).drop("current_power")
+
+
+@query("stream_status_masterdata", ORACLE["status_masterdata"])
+def stream_status_masterdata(v: Views) -> DataFrame:
+    """Two changelogs joined as tables; the table that the emitted rows leave is the result."""
+    run = _Run(v)
+    status = Codec(struct_of("id INT, is_online BOOLEAN, status STRING"))
+    master = Codec(struct_of("id INT, customer_name STRING, is_deleted BOOLEAN"))
+    number = F.pmod("id", F.lit(4)).cast("int")
+    tables = [(TOPICS["status"], v.turbine_status().withColumn("partition_id", number), status),
+              (TOPICS["master_data"], v.master_changes().withColumn("partition_id", number), master)]
+    out = BatchLog(f"{run.path}/out", struct_of(
+        "id INT, is_online BOOLEAN, status STRING, customer_name STRING, is_deleted BOOLEAN"), ())
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out.write(batch.select("id", "turbine_status.is_online", "turbine_status.status",
+                               "master_data.customer_name", "is_deleted"), batch_id)
+
+    for period in _periods("ts"):
+        for topic, records, codec in tables:
+            run.append(topic, records.filter(period), "wind_turbine_id", codec)
+        left, right = (decoded(run.stream(topic), codec) for topic, _, codec in tables)
+        status_job(left.select("id", "offset", "timestamp", "is_online", "status"),
+                   right.select("id", "offset", "timestamp", "customer_name", "is_deleted"), write, key="id",
+                   master_tombstone=F.col("is_deleted"), checkpoint=run.checkpoint)
+    run.over()
+    newest = latest_by_key(out.read(v.spark), "id", "batch_id", F.col("is_deleted"))
+    return newest.select(turbine_key(F.col("id")).alias("wind_turbine_id"), "is_online", "status", "customer_name")
+
+
+@query("stream_follow_ledger", ORACLE["transfer_ledger"])
+def stream_follow_ledger(v: Views) -> DataFrame:
+    """Followers of the ledger: one from the start, one that begins after a compaction; what both got, once."""
+    run, codec = _Run(v), Codec(TRANSFER)
+    ledger = BatchLog(f"{run.path}/ledger", LEDGER)
+    copies = [BatchLog(f"{run.path}/out{k}", LEDGER) for k in range(2)]
+    transfers = (v.transfers().withColumn("partition_id", F.pmod("offset_id", F.lit(4)).cast("int"))
+                 .withColumn("ts", F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'")))
+    for step in range(3):
+        run.append(TOPICS["transfers"], transfers.filter(F.col("offset_id") % 3 == step), None, codec)
+        transfers_job(run.stream(TOPICS["transfers"]), ledger, checkpoint=run.checkpoint)
+        for k, copy in enumerate(copies[:1 + (step > 0)]):
+            follow_job(v.spark, ledger, copy.write, checkpoint=f"{run.checkpoint}-{k}")
+        if step < 2:
+            ledger.compact(v.spark)
+    run.over()
+    both = [c.read(v.spark).select(F.col("offset").alias("offset_id"), "topic", "key", "value", "txn_state",
+                                   "next_offset") for c in copies]
+    return both[0].intersectAll(both[1])
+
+
+@query("stream_offset_range", """
+SELECT offset_id, partition_id, wind_turbine_id, current_power FROM readings
+WHERE ts >= TIMESTAMP '2024-01-11 00:00:00' AND (partition_id <> 2 OR ts >= TIMESTAMP '2024-01-21 00:00:00')""",
+       "readings")
+def stream_offset_range(v: Views) -> DataFrame:
+    """A job that starts at the latest records of a topic, one partition of it later still, and is resumed."""
+    run, codec, topic = _Run(v), Codec(READING), TOPICS["readings"]
+    out = BatchLog(f"{run.path}/out", struct_of(
+        "offset BIGINT, partition INT, wind_turbine_id STRING, current_power DOUBLE"), ())
+    first, second, third = _periods("ts")
+    run.append(topic, v.readings().filter(first), "wind_turbine_id", codec)
+    early = topic_log.fixed_positions(v.spark, run.log, [topic], {topic: topic_log.LATEST})
+    run.append(topic, v.readings().filter(second), "wind_turbine_id", codec)
+    late = topic_log.fixed_positions(v.spark, run.log, [topic], {2: topic_log.LATEST})
+    start = {topic: early[topic] | late[topic]}
+    for more in (None, third):
+        if more is not None:
+            run.append(topic, v.readings().filter(more), "wind_turbine_id", codec)
+        run_job(decoded(run.stream(topic, start=start), codec), "offset-range", out.write, checkpoint=run.checkpoint)
+    run.over()
+    return out.read(v.spark).select(F.col("offset").alias("offset_id"), F.col("partition").alias("partition_id"),
+                                    "wind_turbine_id", "current_power")

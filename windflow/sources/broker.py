@@ -14,19 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windflow.functions.text import utf8_text
-from windflow.sources.topic_log import EARLIEST, LATEST, Offsets
+from windflow.sources.topic_log import EARLIEST, LATEST, Offsets, per_topic
 
 # How the connector's JSON names the two words.
 _WORDS = {LATEST: -1, EARLIEST: -2}
 
 
-def _position(topics: Sequence[str], offsets: Offsets | Mapping[str, Mapping[int, int | str]]) -> str:
-    if isinstance(offsets, str):
-        return offsets
-    by_topic = (offsets if all(isinstance(v, Mapping) for v in offsets.values())
-                else {t: offsets for t in topics})
-    return json.dumps({t: {str(p): _WORDS.get(o, o) for p, o in parts.items()}
-                       for t, parts in by_topic.items()})
+def _position(topics: Sequence[str], offsets: Offsets) -> str:
+    """The connector's form: one word for all topics, or a position for each partition of each topic."""
+    found = per_topic(topics, offsets)
+    words = {p for p in found.values() if isinstance(p, str)}
+    if len(words) == 1 and all(isinstance(p, str) for p in found.values()):
+        return words.pop()
+    if words:
+        raise ValueError("the connector takes one word for all topics, or a position for each of their partitions")
+    return json.dumps({t: {str(p): _WORDS.get(o, o) for p, o in parts.items()} for t, parts in found.items()})
 
 
 def read_options(servers: str, topics: Sequence[str], start: Offsets = EARLIEST,

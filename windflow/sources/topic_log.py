@@ -19,20 +19,45 @@ Position = int | str
 Offsets = str | Mapping[int, Position] | Mapping[str, "str | Mapping[int, Position]"]
 
 
+def per_topic(topics: Sequence[str], positions: Offsets) -> dict[str, str | dict[int, Position]]:
+    """Positions in one form: for each topic a word, or its partitions' positions.
+
+    What is said for partitions of all topics holds beside what a topic says of its own; a topic's own word
+    stands for all its partitions that have no position otherwise.
+    """
+    if isinstance(positions, str):
+        return {t: _known(positions) for t in topics}
+    common = {int(p): _known(at) for p, at in positions.items() if not isinstance(p, str)}
+    out: dict[str, str | dict[int, Position]] = {}
+    for topic in topics:
+        own = positions.get(topic, {})
+        if isinstance(own, str):
+            if common and own != EARLIEST:
+                raise ValueError(f"{topic}: {own!r} beside positions of partitions")
+            out[topic] = common or _known(own)
+        else:
+            out[topic] = common | {int(p): _known(at) for p, at in own.items()} or EARLIEST
+    return out
+
+
+def _known(position: Position) -> Position:
+    if isinstance(position, str) and position not in (EARLIEST, LATEST):
+        raise ValueError(f"unknown position {position!r}")
+    return position
+
+
 def _bounded(positions: Offsets, free: str, closed: str, compare: Callable[[Column, int], Column],
              partition: str, offset: str, topic: str) -> Column:
     """Whether a record is on the right side of its position. `free` is no bound, `closed` lets
     nothing through; topics and partitions that are not named have no bound."""
     if isinstance(positions, str):
-        if positions not in (EARLIEST, LATEST):
-            raise ValueError(f"unknown position {positions!r}")
-        return F.lit(positions == free)
+        return F.lit(_known(positions) == free)
     keep = F.lit(True)
     for name, position in positions.items():
         if isinstance(name, str):
             inside = _bounded(position, free, closed, compare, partition, offset, topic)
             keep = keep & ((F.col(topic) != F.lit(name)) | inside)
-        elif position != free:
+        elif _known(position) != free:
             reached = F.lit(False) if position == closed else compare(F.col(offset), int(position))
             keep = keep & ((F.col(partition) != F.lit(int(name))) | reached)
     return keep
@@ -80,15 +105,30 @@ def end_offsets(log: DataFrame) -> dict[str, dict[int, int]]:
     return found
 
 
+def fixed_positions(spark: SparkSession, path: str, topics: Sequence[str], start: Offsets) -> dict[str, dict[int, int]]:
+    """`start` with the words replaced by what they mean now: a position that stays when a job restarts.
+
+    A partition without a position is read from its first record on, as are partitions that come into being later.
+    """
+    wanted, ends = per_topic(topics, start), end_offsets(read_topics(spark, path, topics))
+    out: dict[str, dict[int, int]] = {}
+    for topic, position in wanted.items():
+        end = ends.get(topic, {})
+        by_partition = dict.fromkeys(end, position) if isinstance(position, str) else position
+        out[topic] = {p: end.get(p, 0) if at == LATEST else int(at) for p, at in by_partition.items() if at != EARLIEST}
+    return out
+
+
 def stream_topics(spark: SparkSession, path: str, topics: Sequence[str],
                   start: Offsets = EARLIEST, max_files: int | None = None) -> DataFrame:
     """The same as a stream. `max_files` bounds what one micro-batch reads.
 
-    To start at the latest record, pass `end_offsets(read_topics(...))`: fixed once, it stays the
-    same when the job restarts, so nothing written in between is skipped.
+    `latest`, anywhere in `start`, is refused: the word would mean another place each time the job restarts.
+    Fix it once with `fixed_positions`, and nothing that is written in between is skipped.
     """
-    if start == LATEST:
-        raise ValueError("pass end_offsets(...) to start a file stream at the latest record")
+    found = per_topic(topics, start)
+    if any(p == LATEST or not isinstance(p, str) and LATEST in p.values() for p in found.values()):
+        raise ValueError("pass fixed_positions(...) to start a file stream at the latest record")
     reader = spark.readStream.schema(TOPIC_LOG)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -15,9 +15,10 @@ from windflow.operators.ledger import transfer_ledger
 from windflow.operators.outbox import maintenance_log, outbox_events, require_outbox_rows
 from windflow.operators.routing import route_wind
 from windflow.operators.windows import final_windows_native, with_energy
-from windflow.schemas import READING, TRANSFER
-from windflow.streaming.jobs import BatchFunction, run_job
+from windflow.schemas import READING, TRANSFER, struct_of
+from windflow.streaming.jobs import BatchFunction, checkpoint_of, run_job
 from windflow.streaming.sinks import BatchLog, ChangelogTable
+from windflow.streaming.slots import Slots
 from windflow.streaming.table_join import join_table_streams
 
 
@@ -77,7 +78,7 @@ def status_job(status: DataFrame, masters: DataFrame, sink: str | BatchFunction,
     return run_job(joined, name, sink, output_mode="update", **options)
 
 
-def transfers_job(log: DataFrame, out: BatchLog, name: str = "transactions-transformer",
+def transfers_job(log: DataFrame, out: BatchLog, name: str = "transfers-to-ledger",
                   **options) -> StreamingQuery:
     """Transfers to credit and debit lines, committed with the input position they came from, and with
     what is no transfer if `out` has a side output `rejects`."""
@@ -94,13 +95,25 @@ def follow_job(spark: SparkSession, log: BatchLog, write: BatchFunction, name: s
                **options) -> StreamingQuery:
     """Consume a `BatchLog` as a stream: each committed batch once, uncommitted ones never.
 
-    Only the small commit files are streamed; the rows are then read from the folders of the
-    batches they name.
+    Only the small commit files are streamed. A follower has one position, the last batch it has delivered, kept
+    beside its checkpoint; a commit that it sees makes it deliver all batches from there to the last committed
+    one, from segments or folders of their own, whichever they lie in by then.
     """
-    def deliver(commits: DataFrame, batch_id: int) -> None:
-        write(log.read(commits.sparkSession, commits), batch_id)
+    place = checkpoint_of(spark.range(0), name, options.pop("checkpoint", None))
+    slots, kept = Slots(f"{place}/position"), struct_of("batch_id BIGINT, upto BIGINT")
 
-    return run_job(log.stream_manifest(spark), name, deliver, **options)
+    def deliver(commits: DataFrame, batch_id: int) -> None:
+        session = commits.sparkSession
+        before = slots.left_by(session, "upto", batch_id - 1, kept).first()
+        after = slots.again(session, "upto", batch_id, kept)
+        if after is None:  # not a repeat of a delivery that failed
+            after = slots.write(session.createDataFrame([(batch_id, log.last(session))], kept), "upto", batch_id).first()
+        done = -1 if before is None else before["upto"]
+        if after["upto"] > done:
+            ours = (F.col("batch_id") > done) & (F.col("batch_id") <= after["upto"])
+            write(log.read(session).filter(ours), batch_id)
+
+    return run_job(log.stream_commits(spark), name, deliver, checkpoint=place, **options)
 
 
 def table_job(log: DataFrame, codec: Codec, table: ChangelogTable, name: str,

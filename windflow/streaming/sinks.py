@@ -37,6 +37,11 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+
+
 class BatchLog:
     """A table of committed micro-batches at `path`, of rows of `schema`.
 
@@ -113,9 +118,19 @@ class BatchLog:
             found = found.unionByName(read_if_there(spark, f"{self._segment(first, upto)}/manifest", self._MANIFEST))
         return found
 
-    def stream_manifest(self, spark: SparkSession) -> DataFrame:
-        """The commits as a stream: the batches that a follower has yet to take."""
-        return spark.readStream.schema(self._MANIFEST).parquet(f"{self.path}/manifest")
+    def stream_commits(self, spark: SparkSession) -> DataFrame:
+        """`batch_id` of each commit as a stream, and of the last batch of each new list of segments: whatever a
+        follower has to look at, also where it begins after a compaction."""
+        for name in ("manifest", "segments"):
+            make_folder(spark, f"{self.path}/{name}")
+        fresh = spark.readStream.schema(self._MANIFEST).parquet(f"{self.path}/manifest")
+        folded = spark.readStream.schema(self._SEGMENTS).parquet(f"{self.path}/segments")
+        return fresh.select("batch_id").union(folded.select("upto"))
+
+    def last(self, spark: SparkSession) -> int:
+        """The last committed batch, -1 if there is none."""
+        marks = read_if_there(spark, f"{self.path}/manifest", self._MANIFEST)
+        return max(marks.agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0], self._folded(spark))
 
     def positions(self, spark: SparkSession) -> DataFrame:
         """The committed input position per topic and partition."""
@@ -142,8 +157,8 @@ class BatchLog:
     def compact(self, spark: SparkSession, upto: int | None = None) -> None:
         """Fold the committed batches, up to `upto`, into a segment and remove their folders.
 
-        Call it between batches, and only for batches that followers of the log have taken. A reader that
-        began before reads again if its files are gone. If it stops half way nothing is lost: the
+        Call it between batches. Followers go on from segments as from batches. A reader that began before
+        reads again if its files are gone. If it stops half way nothing is lost: the
         folders go only after the new list of segments is complete.
         """
         segments = self._segments(spark)
@@ -163,8 +178,8 @@ class BatchLog:
         for side in [None, *self.sides]:
             part = self.read(spark, side=side).filter(taken)
             # Small batches become few files.
-            part.repartition(max(1, -(-n // 1_000_000))).write.mode("overwrite").parquet(
-                f"{folder}/{f'side-{side}' if side else 'data'}")
+            part.repartition(max(1, -(-n // 1_000_000))).write.mode("overwrite").partitionBy(
+                *(() if side else self.partition_by)).parquet(f"{folder}/{f'side-{side}' if side else 'data'}")
         (self.manifest(spark).filter(taken).groupBy("topic", "partition")
          .agg(F.max("next_offset").alias("next_offset"), F.max("batch_id").alias("batch_id"))
          .coalesce(1).write.mode("overwrite").parquet(f"{folder}/manifest"))

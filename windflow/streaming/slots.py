@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from windflow.streaming.sinks import read_if_there
+
 _SLOTS = 3
 
 
@@ -28,6 +30,11 @@ class Slots:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(self._at(name, batch_id))
 
+    def again(self, spark: SparkSession, name: str, batch_id: int, schema: T.StructType):
+        """The row (with a `batch_id`) that an earlier attempt of this batch has written, if there was one."""
+        found = read_if_there(spark, self._at(name, batch_id), schema).first()
+        return found if found is not None and found["batch_id"] == batch_id else None
+
     def write(self, df: DataFrame, name: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> DataFrame:
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(self._at(name, batch_id))
         return self.left_by(df.sparkSession, name, batch_id, df.schema)
