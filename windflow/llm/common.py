@@ -49,13 +49,13 @@ class Scratch:
     def __enter__(self) -> Scratch:
         return self
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, compression: str = "zstd", **options: str) -> DataFrame:
         path = f"{self.folder}/{name}"
         # The table stands for its shuffles from now on: Spark may remove their files when it is written.
         before = self.spark.conf.get(_CLEANUP, None)
         self.spark.conf.set(_CLEANUP, "true")
         try:
-            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+            df.write.mode("overwrite").option("compression", compression).options(**options).parquet(path)
         finally:
             self.spark.conf.set(_CLEANUP, before) if before else self.spark.conf.unset(_CLEANUP)
         return self.spark.read.schema(df.schema).parquet(path)

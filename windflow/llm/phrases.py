@@ -26,16 +26,16 @@ from windflow.llm.common import Scratch, mixed, run_hashes, text_bytes
 # Words of a phrase at most, and the occurrences it needs.
 LONGEST, LEAST = 4, 30
 # Shards in a cycle, and slots of the table of marks (a byte each).
-SHARDS, SLOTS = 3, 1 << 24
+SHARDS, SLOTS = 2, 1 << 24
 # Text tokenised at once; a longer text is cut between its pieces.
-CHUNK = 2 << 20
+CHUNK = 6 << 20
 # A longer phrase with this share of the occurrences, in hundredths, replaces its parts.
 COVERED = 80
 
 UNMARKED = 255
 _BREAK = b"\n"
 _PLAIN = bytes.maketrans(b"\t.,;:!?\x0b\x0c\r", b" \n\n\n\n\n\n\n\n\n")
-_COUNTS = "lang string, phrase string, words int, start int, n long"
+_COUNTS = "lang string, phrase string, start int, n long"
 _BITS = 1 << 15  # of one bitmap row
 
 
@@ -79,7 +79,7 @@ def _word_hashes(lang: str, words: pa.Array) -> np.ndarray:
 
 
 def counted(lang: str, chunk: bytes, marks: np.ndarray, step: int, shards: int, longest: int):
-    """(phrases, words in them, starts, counts) of what this scan counts in the chunk.
+    """(phrases, starts, counts) of what this scan counts in the chunk.
 
     The empty phrase stands for all word occurrences. Phrases are told apart by the words themselves: a word has its
     number in the chunk, a longer phrase that of its first part and of its last word.
@@ -101,8 +101,8 @@ def counted(lang: str, chunk: bytes, marks: np.ndarray, step: int, shards: int,
         if broken >= 0:
             n[broken] = 0
         some = np.flatnonzero(n)
-        yield pa.array([""]), 0, np.zeros(1, np.int64), np.array([inside.sum()])
-        yield vocabulary.take(pa.array(some)), 1, np.zeros(len(some), np.int64), n[some]
+        yield pa.array([""]), np.zeros(1, np.int64), np.array([inside.sum()])
+        yield vocabulary.take(pa.array(some)), np.zeros(len(some), np.int64), n[some]
     # Of the phrases of one length that begin at each position: their number, hash and the step they are marked from.
     number, reached = ids, reached_word[ids]
     hashes = word_hash[ids]
@@ -122,7 +122,7 @@ def counted(lang: str, chunk: bytes, marks: np.ndarray, step: int, shards: int,
         if len(due):
             n = np.bincount(own, minlength=len(first))[due]
             parts = [vocabulary.take(pa.array(ids[begun[due] + k])) for k in range(words)]
-            yield pc.binary_join_element_wise(*parts, " "), words, starts[due], n
+            yield pc.binary_join_element_wise(*parts, " "), starts[due], n
         if words == longest:
             return
         one, other = _slots(new_hashes, words, len(marks))
@@ -142,11 +142,11 @@ def _scan(marks, step: int, shards: int, longest: int):
             texts = np.array(text_bytes(batch.column(1)) + [None], dtype=object)[:-1]
             for lang in sorted(set(langs.tolist())):
                 for chunk in chunks(texts[langs == lang].tolist()):
-                    for phrases, words, starts, n in counted(lang, chunk, table, step, shards, longest):
+                    for phrases, starts, n in counted(lang, chunk, table, step, shards, longest):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([lang] * len(n), pa.string()), phrases,
-                             pa.array(np.full(len(n), words, np.int32)), pa.array(starts.astype(np.int32)),
-                             pa.array(n.astype(np.int64))], ["lang", "phrase", "words", "start", "n"])
+                             pa.array(starts.astype(np.int32)), pa.array(n.astype(np.int64))],
+                            ["lang", "phrase", "start", "n"])
     return run
 
 
@@ -168,6 +168,10 @@ def _slots_of(slots: int):
     return run
 
 
+def _n_words() -> Column:
+    return F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+
+
 def _mark(marks: np.ndarray, reached: DataFrame, step: int) -> bool:
     """Mark the slots of phrases that have reached the threshold from `step` on; whether any is new.
 
@@ -207,17 +211,21 @@ def frequent(scratch: Scratch, docs: DataFrame, *, text_col: str = "text", lang_
         # Where a full cycle is over, what has not reached the threshold is forgotten.
         over = F.col("start") + shards <= step
         both = scan if counts is None else counts.filter(
-            ~over | (F.col("n") >= least) | (F.col("words") == 0)).unionByName(scan)
-        counts = scratch.table(both.groupBy("lang", "phrase", "words").agg(
-            F.min("start").cast("int").alias("start"), F.sum("n").alias("n")), f"counts-{step}")
+            ~over | (F.col("n") >= least) | (F.col("phrase") == "")).unionByName(scan)
+        # Nearly all phrases are rare: a dictionary of them saves nothing, nor does thorough compression.
+        counts = scratch.table(both.groupBy("lang", "phrase").agg(
+            F.min("start").cast("int").alias("start"), F.sum("n").alias("n")), f"counts-{step}",
+            compression="snappy", **{"parquet.enable.dictionary#phrase": "false"})
         handed.destroy()
-        reached = counts.filter(~over & (F.col("n") >= least) & F.col("words").between(1, longest - 1))
+        reached = counts.filter(~over & (F.col("n") >= least)).withColumn("words", _n_words()).filter(
+            F.col("words").between(1, longest - 1))
         step += 1
         if _mark(marks, reached, step):
             until = step + shards
         if step > 1:
             scratch.drop(f"counts-{step - 2}")
-    return counts.filter((F.col("n") >= least) | (F.col("words") == 0)).select("lang", "phrase", "words", "n")
+    return counts.filter((F.col("n") >= least) | (F.col("phrase") == "")).select(
+        "lang", "phrase", _n_words().alias("words"), "n")
 
 
 def _exact(c: Column) -> Column:
