@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from windflow.llm.common import over_batches, text_bytes, texts_of
+from windflow.llm.common import Scratch, over_batches, text_bytes, texts_of
 from windflow.llm.tokens import coder, default_tokenizer
 
 # Lengths that one window sums up in order.
@@ -49,12 +49,16 @@ def token_counts(docs: DataFrame, *, text_col: str = "text", tokenizer: str | No
     (of documents not longer), `tokens_truncated` (of all, each cut at the limit), `tokens_lost`, `quantile` (share
     of documents not longer), `total_docs`, `total_tokens`. Between two listed limits every figure but
     `tokens_truncated` stays as it is, and that grows by `docs_beyond` a token: so the rows answer
-    every limit. Null and empty texts have length 0. An empty table gives no row.
+    every limit. Null and empty texts have length 0; repeated rows count as often as they occur. An
+    empty table gives no row. Texts are encoded once: the histogram is a table that all sums read.
     """
-    histogram = encoded_lengths(
-        docs.select(F.col(text_col).cast("string").alias("text")), tokenizer or default_tokenizer()
-    ).groupBy("length").agg(F.count("*").alias("n_docs"))
-    sums = suffix_sums(histogram)
+    with Scratch(docs.sparkSession) as scratch:
+        lengths = encoded_lengths(docs.select(F.col(text_col).cast("string").alias("text")), tokenizer or default_tokenizer())
+        histogram = scratch.table(lengths.groupBy("length").agg(F.count("*").alias("n_docs")), "histogram")
+        return scratch.result(_figures(suffix_sums(histogram)))
+
+
+def _figures(sums: DataFrame) -> DataFrame:
     beyond = F.col("docs_from") - F.col("n_docs")
     tokens_beyond = F.col("tokens_from") - F.col("length") * F.col("n_docs")
     within = F.col("total_tokens") - tokens_beyond
