@@ -111,26 +111,36 @@ class Fold:
     merge: Callable[[Column, Column], Column]
 
 
+# Accumulators of neighbouring blocks that one group merges.
+NEIGHBOURS = 1024
+
+
 def custom_fold(df: DataFrame, key: str, fold: Fold, inputs: Sequence[str], order: str = "offset",
-                ties: Sequence[str] = (), name: str = "result", width: int | None = None) -> DataFrame:
+                ties: Sequence[str] = (), name: str = "result", width: int | None = None,
+                neighbours: int = NEIGHBOURS, rounds: int = 1) -> DataFrame:
     """`fold` over each key in `order`: one row per key (batch).
 
-    Rows are folded per (key, block of `order`), then a key's accumulators, one for each block, are merged
-    in order. A task holds one block's rows of a key, or one key's accumulators. Rows with equal `order`
-    and `ties` are folded in the order of their inputs.
+    Rows are folded per (key, block of `order`). Then, in each of `rounds`, the accumulators of up to
+    `neighbours` blocks in a row are merged in order, and at last those of a key: a task holds one block's
+    rows of a key, or so many accumulators. Rows with equal `order` and `ties` are folded in the order of
+    their inputs.
     """
     rows = with_block(present(df, key, order).select(
         F.col(key), F.col(order), *[F.col(c) for c in dict.fromkeys([*ties, *inputs]) if c not in (key, order)]),
         order, width)
     position = F.struct(F.col(order).alias("__order"), *[F.col(c).alias(f"__tie{i}") for i, c in enumerate(ties)])
-    blocks = (rows.groupBy(key, BLOCK)
+    merged = (rows.groupBy(key, BLOCK)
               .agg(F.sort_array(F.collect_list(F.struct(position.alias("__at"), F.struct(*inputs).alias("__row"))))
                    .alias("__rows"))
-              .select(key, F.struct(BLOCK, F.aggregate(
-                  "__rows", fold.zero, lambda a, x: fold.step(a, x["__row"])).alias("__acc")).alias("__block")))
-    return (blocks.groupBy(key).agg(F.sort_array(F.collect_list("__block")).alias("__blocks"))
-            .select(key, F.aggregate("__blocks", fold.zero,
-                                     lambda a, x: fold.merge(a, x["__acc"])).alias(name)))
+              .select(key, BLOCK, F.aggregate(
+                  "__rows", fold.zero, lambda a, x: fold.step(a, x["__row"])).alias("__acc")))
+    for last in [False] * rounds + [True]:
+        home = F.lit(0) if last else F.floor(F.col(BLOCK) / F.lit(neighbours))
+        merged = (merged.groupBy(key, home.alias("__home"))
+                  .agg(F.sort_array(F.collect_list(F.struct(BLOCK, "__acc"))).alias("__accs"))
+                  .select(key, F.col("__home").alias(BLOCK), F.aggregate(
+                      "__accs", fold.zero, lambda a, x: fold.merge(a, x["__acc"])).alias("__acc")))
+    return merged.select(key, F.col("__acc").alias(name))
 
 
 def largest_rise_fold(value: str) -> Fold:

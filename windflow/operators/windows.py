@@ -73,36 +73,73 @@ def energy_per_window(df: DataFrame, key: str | Sequence[str], ts: str, power_in
 SESSION_BLOCK = micros("1 day")
 
 
-def session_average(df: DataFrame, key: str, ts: str, value: str, gap: str,
-                    width: int = SESSION_BLOCK) -> DataFrame:
-    """Sum, number and average per key and session, a session ending after `gap` of silence (batch).
+def session_slots(df: DataFrame, keys: Sequence[str], ts: str, value: str, gap: str) -> DataFrame:
+    """Rows combined per epoch-aligned slot as long as the gap, whose rows always share a session:
+    the keys with `first`, `last`, `sum_power` and `num_data_points`."""
+    return (present(df, *keys, value, ts).groupBy(*keys, F.window(ts, gap).alias("slot"))
+            .agg(F.min(ts).alias("first"), F.max(ts).alias("last"),
+                 F.sum(value).alias("sum_power"), F.count(value).alias("num_data_points")).drop("slot"))
+
 
-    Rows exactly one gap apart share a session; `window_end` is the last row plus the gap. Two rows
-    in one epoch-aligned slot as long as the gap are always less than a gap apart, so rows are
-    combined per slot before the shuffle and only slots are put in order, per key and `width` of time.
-    What earlier stretches hand over is the last row so far, and then the number of sessions. On a
-    stream use `session_window`.
+def joined_intervals(intervals: DataFrame, keys: Sequence[str], gap: str, width: int = SESSION_BLOCK) -> DataFrame:
+    """Intervals, as `session_slots` gives them, that overlap or are at most a gap apart become one.
+
+    They are put in order per keys and `width` of time. What earlier stretches hand over is the last row so
+    far, and then the number of sessions.
     """
-    slots = (present(df, key, value, ts).groupBy(key, F.window(ts, gap).alias("slot"))
-             .agg(F.min(ts).alias("first"), F.max(ts).alias("last"),
-                  F.sum(value).alias("sum_power"), F.count(value).alias("num_data_points")).drop("slot"))
-    slots = with_block(slots, "first", width)
-    by_time = Window.partitionBy(key, BLOCK).orderBy("first")
-    last_so_far = from_earlier_blocks(slots, [key], {"__earlier": (F.max("last"), F.max)})
-    before = F.coalesce(F.lag("last").over(by_time), F.col("__earlier"))
-    marked = (slots.join(last_so_far, [key, BLOCK])
+    blocked = with_block(intervals, "first", width)
+    by_time = Window.partitionBy(*keys, BLOCK).orderBy("first", "last")
+    last_so_far = from_earlier_blocks(blocked, keys, {"__earlier": (F.max("last"), F.max)})
+    # An interval may span those that begin after it, so its neighbour's end alone does not tell.
+    before = F.greatest(F.max("last").over(by_time.rowsBetween(Window.unboundedPreceding, -1)), F.col("__earlier"))
+    marked = (blocked.join(last_so_far, [*keys, BLOCK])
               .withColumn("__new", F.coalesce(before + F.expr(interval(gap)) < F.col("first"), F.lit(True)).cast("int")))
-    counted = from_earlier_blocks(marked, [key], {"__sessions": (F.sum("__new"), F.sum)})
+    counted = from_earlier_blocks(marked, keys, {"__sessions": (F.sum("__new"), F.sum)})
     here = F.sum("__new").over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    numbered = marked.withColumn("__here", here).join(counted, [key, BLOCK]).withColumn(
+    numbered = marked.withColumn("__here", here).join(counted, [*keys, BLOCK]).withColumn(
         "__session", F.col("__here") + F.coalesce("__sessions", F.lit(0)))
-    return (numbered.groupBy(key, "__session")
-            .agg(F.min("first").alias("window_start"),
-                 (F.max("last") + F.expr(interval(gap))).alias("window_end"),
-                 F.sum("sum_power").alias("sum_power"),
-                 F.sum("num_data_points").alias("num_data_points"))
-            .withColumn("average", F.col("sum_power") / F.col("num_data_points"))
-            .drop("__session"))
+    return (numbered.groupBy(*keys, "__session")
+            .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("sum_power").alias("sum_power"),
+                 F.sum("num_data_points").alias("num_data_points")).drop("__session"))
+
+
+def as_sessions(intervals: DataFrame, keys: Sequence[str], gap: str) -> DataFrame:
+    return intervals.select(
+        *keys, F.col("first").alias("window_start"), (F.col("last") + F.expr(interval(gap))).alias("window_end"),
+        "sum_power", "num_data_points", (F.col("sum_power") / F.col("num_data_points")).alias("average"))
+
+
+def session_average(df: DataFrame, key: str, ts: str, value: str, gap: str,
+                    width: int = SESSION_BLOCK) -> DataFrame:
+    """Sum, number and average per key and session, a session ending after `gap` of silence (batch).
+
+    Rows exactly one gap apart share a session; `window_end` is the last row plus the gap. Rows are combined
+    per slot before the shuffle. On a stream use `ExactSessions`, or `session_average_stream`.
+    """
+    return as_sessions(joined_intervals(session_slots(df, [key], ts, value, gap), [key], gap, width), [key], gap)
+
+
+def final_sessions(df: DataFrame, key: str, ts: str, value: str, partition: str, order: str, gap: str,
+                   grace: str = "0 seconds", width: int | None = None,
+                   session_width: int = SESSION_BLOCK) -> DataFrame:
+    """One row per session that no record can extend any more, late records left out: the exact rule (batch).
+
+    A record is late when a session of it alone, plus `grace`, had ended by its log partition's clock as of the
+    record itself. A session is final once the clock is past its end by a gap and `grace`: what comes then and
+    is not late lies more than a gap behind it. So the rule does not depend on other keys' sessions.
+    """
+    rows = present(df, key, ts, value).select(key, ts, value, partition, order)
+    clocks = rows.groupBy(partition).agg(F.max(ts).alias("__clock"))
+    kept = in_time(rows, ts, partition, order, gap, grace, width)
+    keys = [partition, key]
+    sessions = joined_intervals(session_slots(kept, keys, ts, value, gap), keys, gap, session_width)
+    return as_sessions(sessions.join(clocks, partition).filter(is_final(F.col("last"), F.col("__clock"), gap, grace)),
+                       keys, gap)
+
+
+def is_final(last: Column, clock: Column, gap: str, grace: str) -> Column:
+    """Whether no record that is in time can join a session whose last row is at `last`."""
+    return last + F.expr(interval(gap)) + F.expr(interval(gap)) + F.expr(interval(grace)) <= clock
 
 
 def session_average_stream(df: DataFrame, key: str, ts: str, value: str, gap: str) -> DataFrame:
@@ -187,3 +224,43 @@ def final_windows_native(df: DataFrame, key: str, ts: str, value: str, size: str
     record late by less than a batch is still counted.
     """
     return windowed_average(df.withWatermark(ts, grace), key, ts, value, size)
+
+
+def open_windows(timed: DataFrame, keys: Sequence[str], ts: str, value: str, size: str, slide: str,
+                 grace: str = "0 seconds") -> DataFrame:
+    """Sum and number per keys and hopping window, each record in those of its windows that were open as of
+    itself (`stream_time`, as `with_stream_time` gives it).
+
+    Records are first combined per pane and earliest open window, of which a pane has at most as many as
+    windows cover it, and only these sums are copied into windows.
+    """
+    length, step, allowed = micros(size), micros(slide), micros(grace)
+    pane = math.gcd(length, step)
+
+    def down(at: Column, by: int) -> Column:
+        return at - F.pmod(at, F.lit(by))
+
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    clock = F.unix_micros(F.col("stream_time").cast("timestamp"))
+    start = down(at, pane)
+    # Windows hold a pane if they begin after its start less their length, and are open if they end after the clock.
+    earliest = F.greatest(down(start - length, step), down(clock - length - allowed, step)) + step
+    panes = (timed.withColumn("__pane", start).withColumn("__from", earliest)
+             .groupBy(*keys, "__pane", "__from")
+             .agg(F.sum(value).alias("sum_power"), F.count(value).alias("num_data_points"))
+             .withColumn("__upto", down(F.col("__pane"), step)).filter("__from <= __upto"))
+    return (panes.withColumn("__start", F.explode(F.sequence("__from", "__upto", F.lit(step))))
+            .groupBy(*keys, F.timestamp_micros("__start").alias("window_start"),
+                     F.timestamp_micros(F.col("__start") + length).alias("window_end"))
+            .agg(F.sum("sum_power").alias("sum_power"), F.sum("num_data_points").alias("num_data_points")))
+
+
+def final_hopping_windows(df: DataFrame, key: str, ts: str, value: str, partition: str, order: str, size: str,
+                          slide: str, grace: str = "0 seconds", width: int | None = None) -> DataFrame:
+    """`final_windows` for windows that hop: a record counts in each of its windows that is still open (batch)."""
+    rows = present(df, key, ts, value).select(key, ts, value, partition, order)
+    clocks = rows.groupBy(partition).agg(F.max(ts).cast("timestamp").alias("__clock"))
+    windows = open_windows(with_stream_time(rows, ts, partition, order, width), [partition, key], ts, value, size,
+                           slide, grace)
+    return (windows.join(clocks, partition).filter(F.col("window_end") + F.expr(interval(grace)) <= F.col("__clock"))
+            .drop("__clock").withColumn("average", F.col("sum_power") / F.col("num_data_points")))

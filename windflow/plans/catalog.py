@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windflow.functions.codecs import Codec, decode_json, decoded, encode_records as to_records
+from windflow.functions.evolution import by_writer, framed_json
 from windflow.functions.hashing import default_partition
 from windflow.functions.power import convert_power as rescale
 from windflow.functions.power import clamp, power_curve as curve
@@ -19,8 +20,8 @@ from windflow.functions.text import turbine_key
 from windflow.operators import aggregates, joins, ledger, outbox, routing, windows
 from windflow.plans import billing
 from windflow.plans.views import Views, with_views
-from windflow.schemas import OUTBOX_EVENT, READING, TRANSFER, read_together
-from windflow.sources import changes, metrics, topic_log
+from windflow.schemas import OUTBOX_EVENT, READING, TRANSFER, read_together, struct_of
+from windflow.sources import avro, changes, metrics, topic_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -453,6 +454,43 @@ def final_windows(v: Views) -> DataFrame:
                                            "partition_id", "offset_id", "1 hour", width=SMALL_BLOCK)
 
 
+@query("final_hopping", """
+, clocks AS (SELECT partition_id, max(ts) AS clock FROM late_readings GROUP BY partition_id),
+hops AS (SELECT *, time_bucket(INTERVAL 30 MINUTE, ts) - k * INTERVAL 30 MINUTE AS start
+         FROM timed, (VALUES (0), (1)) AS steps(k))
+SELECT h.partition_id, wind_turbine_id, start AS window_start, start + INTERVAL 1 HOUR AS window_end,
+       sum(current_power) AS sum_power, count(*) AS num_data_points,
+       sum(current_power) / count(*) AS average
+FROM hops h JOIN clocks c ON h.partition_id = c.partition_id
+WHERE stream_time < start + INTERVAL 1 HOUR AND start + INTERVAL 1 HOUR <= clock
+GROUP BY h.partition_id, wind_turbine_id, start""", "timed")
+def final_hopping(v: Views) -> DataFrame:
+    final = windows.final_hopping_windows(v.late_readings(), "wind_turbine_id", "ts", "current_power", "partition_id",
+                                          "offset_id", "1 hour", "30 minutes", width=SMALL_BLOCK)
+    return final.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@query("final_sessions", """
+, clocks AS (SELECT partition_id, max(ts) AS clock FROM late_readings GROUP BY partition_id),
+marked AS (
+  SELECT *, coalesce(ts > lag(ts) OVER (PARTITION BY partition_id, wind_turbine_id ORDER BY ts) + INTERVAL 1 HOUR,
+                     true) AS starts
+  FROM timed WHERE stream_time < ts + INTERVAL 1 HOUR),
+numbered AS (
+  SELECT *, sum(starts::INT) OVER (PARTITION BY partition_id, wind_turbine_id ORDER BY ts
+                                   RANGE UNBOUNDED PRECEDING) AS session
+  FROM marked)
+SELECT n.partition_id, wind_turbine_id, min(ts) AS window_start, max(ts) + INTERVAL 1 HOUR AS window_end,
+       sum(current_power) AS sum_power, count(*) AS num_data_points,
+       sum(current_power) / count(*) AS average
+FROM numbered n JOIN clocks c ON n.partition_id = c.partition_id
+GROUP BY n.partition_id, wind_turbine_id, session, clock
+HAVING max(ts) + INTERVAL 2 HOUR <= clock""", "timed")
+def final_sessions(v: Views) -> DataFrame:
+    return windows.final_sessions(v.late_readings(), "wind_turbine_id", "ts", "current_power", "partition_id",
+                                  "offset_id", "1 hour", width=SMALL_BLOCK)
+
+
 @query("late_dropped", """
 SELECT offset_id, partition_id, wind_turbine_id, ts, window_start, window_end, stream_time
 FROM timed WHERE stream_time >= window_end""", "timed")
@@ -603,6 +641,26 @@ def evolve_union(v: Views) -> DataFrame:
     return read_together(old, new)
 
 
+@query("evolve_by_writer", """
+SELECT offset_id, wind_turbine_id, current_power,
+       CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 'Windpark?' ELSE wind_park_id END AS wind_park_id,
+       CASE WHEN ts >= TIMESTAMP '2024-01-21' THEN concat('Maker', offset_id % 5) END AS manufacturer
+FROM readings""", "readings")
+def evolve_by_writer(v: Views) -> DataFrame:
+    """Three versions in one topic, told apart by the schema id in front of each value."""
+    versions = {7: struct_of("wind_turbine_id STRING, current_power INT"),
+                8: struct_of("wind_turbine_id STRING, current_power BIGINT, wind_park_id STRING"),
+                12: struct_of("wind_turbine_id STRING, wind_park_id STRING, current_power DOUBLE, manufacturer STRING")}
+    rows = v.readings().withColumn("manufacturer", F.concat(F.lit("Maker"), (F.col("offset_id") % 5).cast("string")))
+    value = F.when(F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-11 00:00:00'"), framed_json(Codec(versions[7]), 7)).when(
+        F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-21 00:00:00'"), framed_json(Codec(versions[8]), 8)).otherwise(
+        framed_json(Codec(versions[12]), 12))
+    topic = rows.select("offset_id", value.alias("value"))
+    record = by_writer(avro.payload(F.col("value")).cast("string"), avro.schema_id(F.col("value")), versions,
+                       versions[12], {"wind_park_id": "Windpark?"})
+    return topic.select("offset_id", F.explode(F.array(record)).alias("r")).select("offset_id", "r.*")
+
+
 @query("customer_charge", """
 , energy AS (
   SELECT wind_turbine_id, time_bucket(INTERVAL 1 HOUR, ts) AS hour,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from windflow.functions.codecs import Codec, decoded
 from windflow.functions.text import turbine_key
-from windflow.operators.aggregates import latest_by_key
+from windflow.operators.aggregates import largest_rise_fold, latest_by_key
 from windflow.operators.joins import join_within
 from windflow.plans.catalog import ORACLE, query
 from windflow.plans.views import Views
@@ -23,11 +23,14 @@ from windflow.schemas import LEDGER, READING, TOPICS, TRANSFER, struct_of
 from windflow.session import shared_folder
 from windflow.sources import topic_log
 from windflow.streaming.exact_joins import AsOfJoin, ExactRangeJoin
+from windflow.streaming.exact_sessions import ExactSessions
+from windflow.streaming.fold import MergedFolds
 from windflow.streaming.jobs import run_job
 from windflow.streaming.late_windows import ExactFinalWindows
 from windflow.streaming.pipelines import averages_job, follow_job, status_job, transfers_job
 from windflow.streaming.running import RunningAverages
 from windflow.streaming.sinks import BatchLog, remove
+from windflow.streaming.state import state_table
 
 STEPS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 
@@ -271,3 +274,62 @@ def stream_offset_range(v: Views) -> DataFrame:
     run.over()
     return out.read(v.spark).select(F.col("offset").alias("offset_id"), F.col("partition").alias("partition_id"),
                                     "wind_turbine_id", "current_power")
+
+
+@query("stream_custom_fold", ORACLE["custom_fold"])
+def stream_custom_fold(v: Views) -> DataFrame:
+    run, codec = _Run(v), Codec(READING)
+    for period in _periods("ts"):
+        run.append(TOPICS["readings"], v.readings().filter(period), "wind_turbine_id", codec)
+        rows = decoded(run.stream(TOPICS["readings"]), codec)
+        job = MergedFolds(f"{run.path}/folds", rows, "wind_turbine_id", largest_rise_fold("current_power"),
+                          ["current_power"], width=512)
+        run_job(rows, "merged-folds", job, checkpoint=run.checkpoint)
+    run.over()
+    return job.results(v.spark).select("wind_turbine_id", "result.*")
+
+
+def _by_partition(results: DataFrame, log: str) -> DataFrame:
+    return results.select(
+        F.col(log).cast("int").alias("partition_id"), "wind_turbine_id",
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "sum_power", "num_data_points", "average")
+
+
+@query("stream_hopping_average", ORACLE["final_hopping"])
+def stream_hopping_average(v: Views) -> DataFrame:
+    run, codec = _Run(v), Codec(READING)
+    job = ExactFinalWindows(f"{run.path}/state", "wind_turbine_id", "timestamp", "current_power", "1 hour",
+                            slide="30 minutes")
+    for period in _periods("arrival"):
+        run.append(TOPICS["readings"], v.late_readings("arrival").filter(period), "wind_turbine_id", codec)
+        run_job(decoded(run.stream(TOPICS["readings"]), codec), "final-hopping", job, checkpoint=run.checkpoint)
+    run.over()
+    return _by_partition(job.results(v.spark), "log_partition")
+
+
+@query("stream_session_average", ORACLE["final_sessions"])
+def stream_session_average(v: Views) -> DataFrame:
+    run, codec = _Run(v), Codec(READING)
+    for period in _periods("arrival"):
+        run.append(TOPICS["readings"], v.late_readings("arrival").filter(period), "wind_turbine_id", codec)
+        rows = decoded(run.stream(TOPICS["readings"]), codec)
+        job = ExactSessions(f"{run.path}/sessions", rows, "wind_turbine_id", "timestamp", "current_power", "1 hour")
+        run_job(rows, "exact-sessions", job, checkpoint=run.checkpoint)
+    run.over()
+    return _by_partition(job.results(v.spark), "log")
+
+
+@query("stream_state_table", ORACLE["turbine_average"])
+def stream_state_table(v: Views) -> DataFrame:
+    """The averages that a job holds in its state, read from its checkpoint after two restarts."""
+    run, codec = _Run(v), Codec(READING)
+    for period in _periods("ts"):
+        run.append(TOPICS["readings"], v.readings().filter(period), "wind_turbine_id", codec)
+        averages_job(decoded(run.stream(TOPICS["readings"]), codec), "wind_turbine_id", "noop",
+                     checkpoint=run.checkpoint)
+    held = state_table(v.spark, run.checkpoint, names=("wind_turbine_id", "sum_power", "num_data_points"))
+    held.drop("state_partition").withColumn("average", F.col("sum_power") / F.col("num_data_points")).write.parquet(
+        f"{run.path}/held")
+    run.over()
+    return v.spark.read.parquet(f"{run.path}/held")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,12 +91,13 @@ def snake_case(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
-def check_compatible(old: T.StructType, new: T.StructType, level: str = "FULL") -> list[str]:
+def check_compatible(old: T.StructType, new: T.StructType, level: str = "FULL", promotions: bool = False) -> list[str]:
     """Why `new` may not replace `old`, as a list of messages; empty means it may.
 
     BACKWARD: readers of `new` understand data written with `old`, so an added field must be
     nullable. FORWARD: the reverse, so a removed field must have been nullable. FULL: both. A
-    field present on both sides keeps its type, at every level.
+    field present on both sides keeps its type, at every level; with `promotions` it may become one
+    that it `promotes` to, in the direction that is read.
     """
     levels = {"NONE": (False, False), "BACKWARD": (True, False),
               "FORWARD": (False, True), "FULL": (True, True)}
@@ -119,7 +121,9 @@ def check_compatible(old: T.StructType, new: T.StructType, level: str = "FULL")
             x, y = before[name], after[name]
             if isinstance(x.dataType, T.StructType) and isinstance(y.dataType, T.StructType):
                 found += walk(x.dataType, y.dataType, f"{path}{name}.")
-            elif x.dataType != y.dataType:
+            elif x.dataType != y.dataType and not (
+                    promotions and (not backward or promotes(x.dataType, y.dataType))
+                    and (not forward or promotes(y.dataType, x.dataType))):
                 found.append(f"field {path}{name} changed from {x.dataType.simpleString()} "
                              f"to {y.dataType.simpleString()}")
             if backward and x.nullable and not y.nullable:
@@ -131,6 +135,28 @@ def check_compatible(old: T.StructType, new: T.StructType, level: str = "FULL")
     return walk(old, new, "")
 
 
+# What each type may be read as besides itself.
+_PROMOTIONS = {T.IntegerType: (T.LongType, T.FloatType, T.DoubleType), T.LongType: (T.FloatType, T.DoubleType),
+               T.FloatType: (T.DoubleType,), T.StringType: (T.BinaryType,), T.BinaryType: (T.StringType,)}
+
+
+def promotes(written: T.DataType, read: T.DataType) -> bool:
+    """Whether values written as one type can be read as the other."""
+    return written == read or isinstance(read, _PROMOTIONS.get(type(written), ()))
+
+
+def check_history(versions: Sequence[T.StructType], new: T.StructType, level: str = "FULL_TRANSITIVE") -> list[str]:
+    """Why `new` may not follow `versions`, oldest first; empty means it may.
+
+    A level that ends in `_TRANSITIVE` compares with all versions, any other with the last. Wider numbers are
+    no change for readers (BACKWARD), narrower ones none for those who still read by an old version (FORWARD).
+    """
+    plain = level.removesuffix("_TRANSITIVE")
+    against = list(enumerate(versions, 1))[0 if plain != level else -1:]
+    return [f"version {number}: {message}" for number, old in against
+            for message in check_compatible(old, new, plain, promotions=True)]
+
+
 def read_together(*versions: DataFrame) -> DataFrame:
     """Frames written under several versions of a schema as one; missing fields become null."""
     first, *rest = versions

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from windflow.functions.durations import interval
 from windflow.operators.aggregates import present
 from windflow.operators.blocks import BLOCK_WIDTH
-from windflow.operators.windows import with_stream_time
+from windflow.operators.windows import open_windows, with_stream_time
 from windflow.schemas import struct_of
 from windflow.streaming.sinks import BatchLog
 
@@ -26,7 +26,10 @@ _SLOTS = 3
 
 
 class ExactFinalWindows:
-    """`foreachBatch` function: tumbling sums per key, emitted once, when the window closes.
+    """`foreachBatch` function: sums per key and window, emitted once, when the window closes.
+
+    Windows tumble, or hop by `slide`; then records are combined per pane first, and each counts in those of its
+    windows that are still open.
 
     Under `path`, `windows/slot=N` and `clocks/slot=N` hold the state after a batch, in turns, so
     the state does not pile up; closed windows go to the `BatchLog` `closed`. A batch reads only
@@ -36,9 +39,9 @@ class ExactFinalWindows:
 
     def __init__(self, path: str, key: str, ts: str, value: str, size: str,
                  grace: str = "0 seconds", partition: str = "partition", order: str = "offset",
-                 width: int = BLOCK_WIDTH, key_type: T.DataType = T.StringType()):
+                 width: int = BLOCK_WIDTH, key_type: T.DataType = T.StringType(), slide: str | None = None):
         self.path, self.key, self.ts, self.value = path.rstrip("/"), key, ts, value
-        self.size, self.grace = size, grace
+        self.size, self.grace, self.slide = size, grace, slide or size
         self.partition, self.order, self.width = partition, order, width
         row = T.StructType([
             T.StructField("log_partition", T.IntegerType()), T.StructField(key, key_type),
@@ -74,12 +77,7 @@ class ExactFinalWindows:
                  .join(clocks_before, "log_partition", "left")
                  .withColumn("stream_time", F.greatest("stream_time", "clock")))
         grace = F.expr(interval(self.grace))
-        kept = (timed.withColumn("__w", F.window(self.ts, self.size))
-                .filter(F.col("stream_time") < F.col("__w.end") + grace))
-        added = (kept.groupBy("log_partition", self.key, F.col("__w.start").alias("window_start"),
-                              F.col("__w.end").alias("window_end"))
-                 .agg(F.sum(self.value).alias("sum_power"),
-                      F.count(self.value).alias("num_data_points")))
+        added = open_windows(timed, ["log_partition", self.key], self.ts, self.value, self.size, self.slide, self.grace)
         merged = (open_before.unionByName(added)
                   .groupBy("log_partition", self.key, "window_start", "window_end")
                   .agg(F.sum("sum_power").alias("sum_power"),
