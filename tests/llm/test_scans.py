@@ -126,6 +126,41 @@ def test_licence_edges(spark):
         licenses.scan(edge_docs(spark), licenses.notice_table(spark, {"x": "too few words"}))
 
 
+def test_scattered_words_are_no_licence(spark):
+    text = licenses.NOTICES["MIT/text"]
+    halves = text[:500] + " more words " * 300 + text[500:]
+    gpl = "You may use it {}under the terms of the GNU General Public License as published by the Free Software " \
+          "Foundation, either version 3 of the License, or (at your option) any later version. More."
+    rows = [(1, "released under the sun and sky, under the mit roof, by the mit license plate"),
+            (2, "# " + text.replace(" Software", "\n#  Software") + " end"), (3, halves), (4, gpl.format("")),
+            (5, " ".join(["released under the", "words " * 40, "under the mit"] * 40) + " the mit license"),
+            (6, "Released under"), (6, "the MIT License."), (7, "go " * 50_000 + "Released under the MIT License. ")]
+    got = {(r["doc_id"], r["license"]): r for r in
+           licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {n for d, n in got if d in (1, 5, 6)} == set()
+    assert got[2, "MIT/text"]["containment"] == 1.0 and got[2, "MIT/text"]["spdx"] == "MIT"
+    assert {n for d, n in got if d == 3} == {"MIT/grant"} and {n for d, n in got if d == 7} == {"MIT"}
+    headers = {n: got[4, n]["closest"] for d, n in got if d == 4 and n.endswith("/header")}
+    assert headers["GPL-3.0-or-later/header"] and headers["GPL-2.0-or-later/header"] is False
+
+
+def test_licence_tags(spark):
+    rows = [(1, "// SPDX-License-Identifier: MIT"), (2, "spdx-license-identifier: (GPL-2.0-only WITH "
+            "Classpath-exception-2.0 OR BSD-3-Clause) AND MIT. AND more"), (3, "SPDX-License-Identifier:"), (4, None),
+            (1, "SPDX-License-Identifier: MIT"), (5, " AND MIT"), (None, "SPDX-License-Identifier: MIT"),
+            (6, "SPDX-License-Identifier: MIT and then\nSPDX-License-Identifier: ISC")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spdx", F.lit("clash"))
+    got = sorted((r["doc_id"], r["license"]) for r in licenses.scan(docs).collect())
+    assert got == [(1, "MIT/tag"), (2, "BSD-3-Clause/tag"), (2, "GPL-2.0-only/tag"), (2, "MIT/tag"),
+                   (6, "ISC/tag"), (6, "MIT/tag")]
+    assert licenses.scan(docs, licenses.notice_table(spark)).collect() == []
+
+
+def test_notices_have_a_bound(spark):
+    with pytest.raises(ValueError):
+        licenses.scan(documents(spark, "x"), licenses.notice_table(spark, {"x": "many words " * licenses.MOST_RUNS}))
+
+
 def test_licence_scan_is_native(spark, sf):
     plan = queries.op6_license_scan(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
