@@ -76,7 +76,8 @@ def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    predicted = language.predict(docs, language.learn(docs))
+    learned = language.learn(docs)
+    predicted = language.predict(docs, learned, least=language.margins(docs, learned))
     return predicted.select("doc_id", (~language.training_rows(predicted)).alias("held_out"),
                             "lang_pred", "score", "margin", "rejected")
 
