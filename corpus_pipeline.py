@@ -29,8 +29,9 @@ def _to_drop(judged: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; what has no letters or is a near tie goes."""
-    return language.accepted(docs, language.learn(docs))
+    """Documents whose language is told; what has no letters or is a near tie for its length goes."""
+    learned = language.learn(docs)
+    return language.accepted(docs, learned, least=language.margins(docs, learned))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
