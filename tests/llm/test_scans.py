@@ -1,3 +1,6 @@
+import random
+import re
+
 import duckdb
 import pytest
 from edges import ROWS, corpus, edge_docs
@@ -81,6 +84,51 @@ def test_whole_questions_in_the_corpus(spark, sf):
     assert holders and holders == {r["doc_id"] for r in queries.op4_benchmark_decontamination(spark, sf).collect()}
 
 
+def changed_values(text, draw):
+    """The question with other numbers and, inside sentences, other names, each the same way throughout."""
+    becomes = {}
+
+    def other(m):
+        word = m.group()
+        if word not in becomes:
+            becomes[word] = str(draw.randint(2, 999)) if word[0].isdigit() else draw.choice(["Zora", "Quill", "Benno"])
+        return becomes[word]
+    return re.sub(r"\b\d+\b|(?<=[a-z,] )[A-Z][a-z]+\b", other, text)
+
+
+def test_recall_of_questions_with_other_values(spark, sf):
+    draw = random.Random(3)
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    stories = [(10_000 + i, f"On day {draw.randint(1, 400)} {a} took {draw.randint(2, 90)} {b} from the old shed, and when "
+                            f"it rained {a} put {draw.randint(2, 90)} of them under the long table near the door.")
+               for i, (a, b) in enumerate([("Alice", "lamps"), ("Bob", "ropes"), ("Carla", "crates"), ("Dan", "bells")] * 10)]
+    asked_for = items + stories
+    rows = [(i, f"Some words first. {changed_values(t, draw)} And some after it.") for i, t in asked_for]
+    got = found(spark.createDataFrame(rows, "doc_id long, text string"),
+                spark.createDataFrame(asked_for, "item_id long, text string"), all_slots=False)
+    assert any(t != u for (_, t), (_, u) in zip(stories, rows[len(items):]))
+    assert sum((i, i) in got for i, _ in asked_for) >= 0.9 * len(asked_for)
+    docs, plain = corpus(spark, sf)
+    squeezed = {d: " ".join((t or "").split()) for d, t in plain}
+    clean = [d for d, t in squeezed.items() if not any(" ".join(q.split()) in t for _, q in items)]
+    named = {d for d, _ in found(docs, spark.createDataFrame(asked_for, "item_id long, text string"), all_slots=False)}
+    assert clean and not named & set(clean)
+
+
+def test_common_windows_bring_nothing_together(spark):
+    common = "please read all of the following lines with care"
+    items = [f"{common} before you answer how the {a} {b} {c} reached that small harbour town" for a in ("red", "old")
+             for b in ("ship", "boat") for c in ("really", "never")]
+    docs = documents(spark, *[f"{common} and nothing else is here at all in number {'x' * i}" for i in range(30)], items[0])
+    assert {d for d, _ in found(docs, asked(spark, *items))} == {30}
+    seen = spark.createDataFrame([(d, 8, 1, "t") for d in range(9)] + [(9, 8, h, "t") for h in (1, 2, 3)],
+                                 "doc_id long, size int, hash long, template string")
+    windows = spark.createDataFrame([(i, at, 8, h, "t", 4) for i in range(3) for at, h in enumerate((1, 2, 3, 4))],
+                                    "item_id long, at long, size int, hash long, template string, n_windows long")
+    likely = {tuple(r) for r in templates._likely(seen, windows).collect()}
+    assert likely == {(9, i) for i in range(3)}
+
+
 def test_decontamination_edges(spark):
     benchmark = spark.createDataFrame([(1, None), (2, ""), (3, "too short"), (None, QUESTION), (4, QUESTION), (5, QUESTION)],
                                       "item_id long, text string")

@@ -16,10 +16,10 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from windflow.llm.common import grams, mixed, over_batches, power_tables, run_hashes, text_bytes, texts_of
+from windflow.llm.common import Scratch, grams, mixed, over_batches, power_tables, run_hashes, text_bytes, texts_of
 
 WINDOW = 8
 # Words a window must keep as they are, and the shortest question that is looked for.
@@ -406,6 +406,28 @@ def _best_alignments(all_slots: bool):
     return run
 
 
+_KEY = ["size", "hash", "template"]
+
+
+def _likely(seen: DataFrame, asked: DataFrame) -> DataFrame:
+    """`doc_id, item_id`: the documents that may hold enough windows of a question.
+
+    Where so many of a question's places must be found, one at least of all but so many less one must be: the
+    places that are seldom seen. A window that many questions and many documents share brings none together
+    by itself.
+    """
+    often = seen.groupBy(*_KEY).agg(F.count("*").alias("often"))
+    item = Window.partitionBy("item_id")
+    places = asked.join(often, _KEY, "left").groupBy("item_id", "at").agg(
+        F.coalesce(F.sum("often"), F.lit(0)).alias("often"), F.min("n_windows").alias("n_windows"))
+    needed = F.least(F.ceil(SHARE * F.min("n_windows").over(item)), F.lit(ENOUGH))
+    seldom = (places.withColumns({"turn": F.row_number().over(item.orderBy("often", "at")), "needed": needed,
+                                  "places": F.count("*").over(item)})
+              .filter(F.col("turn") <= F.col("places") - F.col("needed") + 1).select("item_id", "at"))
+    sought = asked.join(seldom, ["item_id", "at"]).select("item_id", *_KEY).distinct()
+    return seen.select("doc_id", *_KEY).distinct().join(sought, _KEY).select("doc_id", "item_id").distinct()
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", held: int = HELD_WINDOWS,
                  all_slots: bool = True) -> DataFrame:
@@ -424,33 +446,35 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     """
     spark = docs.sparkSession
     questions = texts_of(benchmark, item_col, item_text_col).filter("doc_id is not null")
-    asked = questions.mapInArrow(over_batches(_question_windows), _WINDOWS)
     texts = texts_of(docs, id_col, text_col).filter("doc_id is not null and text is not null")
-    distinct = asked.select("size", "hash").distinct()
-    passes = max(1, -(-distinct.count() // held))
-    found = []
-    for k in range(passes):
-        mine = distinct.filter(F.pmod("hash", F.lit(passes)) == k) if passes > 1 else distinct
-        by_size: dict[int, list[int]] = {}
-        for row in mine.collect():
-            by_size.setdefault(row["size"], []).append(row["hash"])
-        known = {size: spark.sparkContext.broadcast(_marked(np.array(h, dtype=np.int64).view(np.uint64)))
-                 for size, h in by_size.items()}
-        if known:
-            found.append(texts.mapInArrow(_document_windows(known), _WINDOWS))
-    if not found:  # an empty benchmark
-        found = [texts.limit(0).mapInArrow(over_batches(_question_windows), _WINDOWS)]
-    seen = reduce(DataFrame.unionByName, found)
-    pairs = seen.drop("n_windows").withColumnsRenamed({"id": "doc_id", "at": "doc_at", "slots": "doc_slots"}).join(
-        asked.withColumnsRenamed({"id": "item_id", "slots": "item_slots"}), ["size", "hash", "template"])
-    seen_at = F.struct("at", "doc_at", "item_slots", "doc_slots")
-    best = (pairs.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"),
-                                                   F.collect_set(seen_at).alias("windows"))
-            .mapInArrow(_best_alignments(all_slots), _FOUND))
-    whole = _verbatim(texts, questions, held)
-    if whole is not None:
-        rank = F.struct(F.col("n_found") / F.col("n_windows"), "n_found", -F.col("n_changed"))
-        best = best.unionByName(whole).groupBy("doc_id", "item_id").agg(*[
-            F.max_by(c, rank).alias(c) for c in ("n_found", "n_windows", "n_changed")])
-    return best.withColumn("share", F.col("n_found") / F.col("n_windows")).select(
-        "doc_id", "item_id", "n_found", "n_windows", "share", "n_changed")
+    with Scratch(spark) as scratch:
+        asked = scratch.table(questions.mapInArrow(over_batches(_question_windows), _WINDOWS)
+                              .withColumnsRenamed({"id": "item_id", "slots": "item_slots"}), "asked")
+        distinct = asked.select("size", "hash").distinct()
+        passes = max(1, -(-distinct.count() // held))
+        found = []
+        for k in range(passes):
+            mine = distinct.filter(F.pmod("hash", F.lit(passes)) == k) if passes > 1 else distinct
+            by_size: dict[int, list[int]] = {}
+            for row in mine.collect():
+                by_size.setdefault(row["size"], []).append(row["hash"])
+            known = {size: spark.sparkContext.broadcast(_marked(np.array(h, dtype=np.int64).view(np.uint64)))
+                     for size, h in by_size.items()}
+            if known:
+                found.append(texts.mapInArrow(_document_windows(known), _WINDOWS))
+        if not found:  # an empty benchmark
+            found = [texts.limit(0).mapInArrow(over_batches(_question_windows), _WINDOWS)]
+        seen = scratch.table(reduce(DataFrame.unionByName, found).drop("n_windows").withColumnsRenamed(
+            {"id": "doc_id", "at": "doc_at", "slots": "doc_slots"}), "seen")
+        pairs = seen.join(_likely(seen, asked), "doc_id").join(asked, ["item_id", *_KEY])
+        seen_at = F.struct("at", "doc_at", "item_slots", "doc_slots")
+        best = (pairs.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"),
+                                                       F.collect_set(seen_at).alias("windows"))
+                .mapInArrow(_best_alignments(all_slots), _FOUND))
+        whole = _verbatim(texts, questions, held)
+        if whole is not None:
+            rank = F.struct(F.col("n_found") / F.col("n_windows"), "n_found", -F.col("n_changed"))
+            best = best.unionByName(whole).groupBy("doc_id", "item_id").agg(*[
+                F.max_by(c, rank).alias(c) for c in ("n_found", "n_windows", "n_changed")])
+        return scratch.result(best.withColumn("share", F.col("n_found") / F.col("n_windows")).select(
+            "doc_id", "item_id", "n_found", "n_windows", "share", "n_changed"))
