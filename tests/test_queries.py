@@ -48,3 +48,15 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert driver.entry(spark).columns == ["customer_name", "energy_mwh", "charge"]
+
+
+def test_state_processors_run_in_a_session_of_defaults(spark, database, sf):
+    name, provider = "stream_status_masterdata", "spark.sql.streaming.stateStore.providerClass"
+    plain_session = spark.newSession()
+    plain_session.conf.set("spark.sql.session.timeZone", "UTC")
+    plain_session.conf.set("spark.sql.shuffle.partitions", "4")
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    plain_session.conf.set(provider, default)
+    ours = plain(driver.queries()[name](plain_session, sf).toPandas())
+    assert ours == plain(database.sql(driver.oracle_sql()[name]).df())
+    assert plain_session.conf.get(provider) == default

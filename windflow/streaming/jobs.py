@@ -21,20 +21,30 @@ def checkpoint_of(df: DataFrame, name: str, checkpoint: str | None) -> str:
 
 def start_job(df: DataFrame, name: str, sink: str | BatchFunction, checkpoint: str | None = None,
               output_mode: str = "append", every: str | None = None,
-              options: Mapping[str, str] | None = None) -> StreamingQuery:
+              options: Mapping[str, str] | None = None,
+              settings: Mapping[str, str] | None = None) -> StreamingQuery:
     """Start the job `name`, which resumes at its checkpoint where it stopped.
 
     `sink` is a format (`console`, `memory`, `parquet`, `kafka`) or a function of one micro-batch
     and its id. The position advances only after a micro-batch is done: a function that fails is
     run again with the same rows and the same id. `every` is a processing-time trigger, the
-    counterpart of a periodic commit; without it the job reads what there is and ends.
+    counterpart of a periodic commit; without it the job reads what there is and ends. `settings` hold for
+    this job only: it takes a copy of the session's when it starts, and the session gets its own back.
     """
     writer = (df.writeStream.queryName(name).outputMode(output_mode)
               .option("checkpointLocation", checkpoint_of(df, name, checkpoint))
               .options(**(options or {})))
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     writer = writer.foreachBatch(sink) if callable(sink) else writer.format(sink)
-    return writer.start()
+    conf = df.sparkSession.conf
+    before = {n: conf.get(n, None) for n in settings or {}}
+    try:
+        for n, value in (settings or {}).items():
+            conf.set(n, value)
+        return writer.start()
+    finally:
+        for n, value in before.items():
+            conf.unset(n) if value is None else conf.set(n, value)
 
 
 def run_job(df: DataFrame, name: str, sink: str | BatchFunction, timeout: int | None = None,

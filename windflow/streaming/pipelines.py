@@ -16,6 +16,7 @@ from windflow.operators.outbox import maintenance_log, outbox_events, require_ou
 from windflow.operators.routing import route_wind
 from windflow.operators.windows import final_windows_native, with_energy
 from windflow.schemas import READING, TRANSFER, struct_of
+from windflow.session import STATE_STORE
 from windflow.streaming.jobs import BatchFunction, checkpoint_of, run_job
 from windflow.streaming.sinks import BatchLog, ChangelogTable
 from windflow.streaming.slots import Slots
@@ -75,7 +76,7 @@ def status_job(status: DataFrame, masters: DataFrame, sink: str | BatchFunction,
     """The status table with master data: each key's row anew whenever either side changes."""
     joined = join_table_streams(status, masters, key, left_tombstone=status_tombstone,
                                 right_tombstone=master_tombstone)
-    return run_job(joined, name, sink, output_mode="update", **options)
+    return run_job(joined, name, sink, output_mode="update", settings=STATE_STORE, **options)
 
 
 def transfers_job(log: DataFrame, out: BatchLog, name: str = "transfers-to-ledger",

@@ -75,7 +75,8 @@ def join_table_streams(left: DataFrame, right: DataFrame, key: str = "key", orde
     A row is emitted for each key that changes while both sides have a row; `is_deleted` marks a
     key that lost one of its sides. Key and rows keep their types, in the state as well. A key
     that neither side has any more leaves the state: `order` must grow within a key, as offsets do, for an
-    older row would then count as new. Needs the RocksDB state store.
+    older row would then count as new. Needs the RocksDB state
+    store, which `status_job` sets for its job.
     """
     types = {side: T.StructType([f for f in df.schema.fields if f.name not in (key, order)])
              for side, df in zip(_SIDES, (left, right))}
