@@ -86,3 +86,33 @@ def test_margins_leave_test_rows_and_learned_rows_alone(spark, sf, learned):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     changed = docs.withColumn("text", F.when(language.training_rows(docs), F.col("text")).otherwise("zzz"))
     assert language.margins(docs, learned) == language.margins(changed, learned)
+
+
+def test_every_labelled_text_counts(spark, monkeypatch):
+    """Words and margins come from all labelled rows, whole, however many there are."""
+    rows = [(i, f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} " + "again " * 400 + "z" * 5000 + " atlast")
+            for i in range(2000)]
+    docs = edge_docs(spark, rows).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "aa").otherwise("bb"))
+    split = language._labelled(docs, "doc_id", "text", "lang")
+    for lang, words in language.learn(docs).items():
+        learned = split.filter(~F.col("is_left") & (F.col("lang") == lang)).collect()
+        held = words.decode().split()
+        assert {r["text"].split()[0] for r in learned} <= set(held)
+        assert held[-2:] == ["z" * 2000, "again"] and set(held[-4:-2]) == {"z" * 1000, "atlast"}
+        assert len(held) == len(set(held)) == len(learned) + 4
+    seen = []
+    monkeypatch.setattr(language, "_reached", lambda judged: seen.append(judged.count()) or {})
+    monkeypatch.setattr(language, "LEFT", 0.9)
+    language.margins(docs, {"aa": b"again "})
+    assert seen[0] == language._labelled(docs, "doc_id", "text", "lang").filter("is_left and lang = 'aa'").count() > 600
+
+
+def test_margin_reached_is_the_exact_percentile(spark):
+    draw = random.Random(7)
+    rows = [(b, draw.choice([0.0, 1.0, round(draw.random(), 2), draw.random() ** 3])) for b in (3, 4, 9) for _ in range(
+        {3: 49, 4: 50, 9: 1234}[b])]
+    frame = spark.createDataFrame(rows, "bits int, margin double").repartition(5)
+    exact = {r["bits"]: r["low"] for r in frame.filter("bits <> 3").groupBy("bits").agg(
+        F.percentile("margin", language.LOW).alias("low")).collect()}
+    assert language._reached(frame) == pytest.approx(exact)
+    assert language._reached(frame.limit(0)) == {}

@@ -1,25 +1,30 @@
 """Language by compression: the language whose text helps most to compress a text.
 
-For each language a raw-content dictionary of the compressor is filled with labelled text. A text is
-compressed block by block with each dictionary, and the language with the smallest total wins. Where
-the runner-up comes close, the text is rejected: closer than labelled texts of its length come that the
-dictionaries were not filled with.
+For each language a raw-content dictionary of the compressor is filled with the words that are most frequent in
+its labelled texts. A text is compressed block by block with each dictionary, and the language with the smallest total wins. Where
+the runner-up comes close, the text is rejected: closer than labelled texts of its length come that were not
+learned from. Every labelled text is used, whole: three in four for the words, the others for these margins.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windflow.llm.common import over_batches, slices
+from windflow.operators.blocks import BLOCK as BLOCK_OF
+from windflow.operators.blocks import from_earlier_blocks, so_far
 
-# What is learned from: at most so many bytes of text for a language. More languages are an error.
+# A dictionary holds so many bytes: a language's most frequent words. More languages are an error.
 DICTIONARY_BYTES, MOST_LANGUAGES = 1 << 16, 200
-# A document adds at most so many characters to a dictionary.
-SAMPLE_CHARS = 1000
+# Different words that a task counts before it hands the counts on.
+WORDS_AT_ONCE = 200_000
 # Characters compressed at once: in longer blocks a text helps itself more than the dictionary does.
 BLOCK, LEVEL = 2000, 6
 # A margin below this is measured again, with a more thorough level added to the totals; sizes are whole
@@ -27,10 +32,10 @@ BLOCK, LEVEL = 2000, 6
 NEAR, THOROUGH, LEAST_BYTES = 0.03, 12, 96
 # The least share by which the runner-up must be larger, at any length.
 LEAST_MARGIN = 0.002
-# Margins of so many labelled documents a language, apart from those learned from, set a higher one for each
-# length (powers of two): so much of the margin that all but `LOW` of them reach, where there are `ENOUGH` of them.
-CALIBRATED, LOW, PART, ENOUGH = 1000, 0.01, 1 / 3, 50
-# The share of a language's documents that are left for it where there are few.
+# Margins of the labelled documents that were not learned from set a higher one for each length (powers of
+# two): so much of the margin that all but `LOW` of them reach, where there are `ENOUGH` of them.
+LOW, PART, ENOUGH = 0.01, 1 / 3, 50
+# The share of the labelled documents that is left for it.
 LEFT = 0.25
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -49,44 +54,57 @@ def training_rows(docs: DataFrame) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0
 
 
-def _in_turn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[DataFrame, dict[str, int]]:
-    """Labelled rows to learn from, with `turn`: about their number in their language in the order of a hash of
-    the id, and how many rows a language has."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """`lang`, `text` and `is_left` of the labelled rows to learn from; a hash of the id leaves `LEFT` for `margins`."""
     labelled = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                            F.col(lang_col).alias("lang")).filter("lang is not null and doc_id is not null")
-    labelled = labelled.filter(training_rows(labelled))
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n"))
-              .limit(MOST_LANGUAGES + 1).collect()}
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    if not counts:
-        return labelled.limit(0).withColumns({"drawn": F.lit(0), "n": F.lit(0), "turn": F.lit(0.0)}), counts
-    n = F.create_map(*[F.lit(x) for item in counts.items() for x in item])[F.col("lang")]
-    drawn = F.xxhash64("doc_id")
-    return labelled.withColumns({"drawn": drawn, "n": n}).withColumn(
-        "turn", F.pmod("drawn", F.lit(1 << 20)) * F.col("n") / F.lit(1 << 20)), counts
+    left = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) >= F.lit(int((1 - LEFT) * (1 << 20)))
+    return labelled.filter(training_rows(labelled)).select("lang", "text", left.alias("is_left"))
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`lang`, `word`, `n`: counts for Spark to add up. A word longer than a block counts as the pieces of it."""
+    counts: Counter[tuple[str, str]] = Counter()
 
+    def counted() -> pa.RecordBatch:
+        made = pa.RecordBatch.from_arrays(
+            [pa.array([lang for lang, _ in counts], pa.string()), pa.array([word for _, word in counts], pa.string()),
+             pa.array(counts.values(), pa.int64())], ["lang", "word", "n"])
+        counts.clear()
+        return made
 
-def _learned_from() -> Column:
-    wanted = 4 * DICTIONARY_BYTES // SAMPLE_CHARS
-    return F.col("turn") < F.least(F.lit(float(wanted)), F.col("n") * (1 - LEFT))
+    for batch in (part for whole in batches for part in slices(whole)):
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            for word, n in Counter(letters(text or "").split()).items():
+                for i in range(0, len(word), BLOCK):
+                    counts[lang, word[i:i + BLOCK]] += n
+        if len(counts) >= WORDS_AT_ONCE:
+            yield counted()
+    yield counted()
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
-    """A dictionary for each language, from a bounded sample of the rows with a label.
+    """A dictionary for each language: the most frequent words of all its labelled rows but those left for `margins`.
 
-    Of a language about four times the characters that fill a dictionary are drawn by the hash of the ids, from
-    all documents alike, and the driver joins them in the order of that hash. A language with few
-    documents keeps `LEFT` of them for `margins`. More than `MOST_LANGUAGES` labels raise an error, as
-    their dictionaries would not fit a task: none is left out.
+    Words are counted over the whole texts; as many as fit are taken, the most frequent ones last, where
+    the compressor finds them soonest, and those of one count in the order of a hash. More than
+    `MOST_LANGUAGES` labels raise an error, as their dictionaries would not fit a task: none is left out.
     """
-    labelled, counts = _in_turn(docs, id_col, text_col, lang_col)
-    if not counts:
-        return {}
-    sample = labelled.filter(_learned_from()).select(
-        "lang", "drawn", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
-    return {lang: _dictionary(sorted((r["drawn"], r["text"] or "") for r in sample if r["lang"] == lang))
-            for lang in sorted(counts)}
+    labelled = _labelled(docs, id_col, text_col, lang_col)
+    languages = [r["lang"] for r in labelled.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()]
+    if len(languages) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    counts = labelled.filter("not is_left").select("lang", "text").mapInArrow(
+        _count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    frequent = Window.partitionBy("lang").orderBy(F.desc("n"), F.xxhash64("word"), "word")
+    # A word and its space are two bytes at least.
+    ranked = counts.withColumn("rank", F.row_number().over(frequent)).filter(F.col("rank") <= DICTIONARY_BYTES // 2)
+    filled = F.sum(F.octet_length("word") + 1).over(Window.partitionBy("lang").orderBy("rank").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow))
+    chosen = ranked.withColumn("filled", filled).filter(F.col("filled") <= DICTIONARY_BYTES)
+    words = F.sort_array(F.collect_list(F.struct((-F.col("rank")).alias("rank"), "word")))["word"]
+    filling = chosen.groupBy("lang").agg(F.concat(F.array_join(words, " "), F.lit(" ")).alias("words")).collect()
+    return dict.fromkeys(sorted(languages), b"") | {r["lang"]: r["words"].encode() for r in filling}
 
 
 def margins(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text",
@@ -94,12 +112,10 @@ def margins(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_
     """The least margin for each length of a text (the bits of its number of letters and spaces).
 
     It is `PART` of the margin that all but `LOW` of the rightly judged labelled documents of that length
-    reach; about `CALIBRATED` whole documents a language are judged, none of which was learned from. A
-    length with fewer than `ENOUGH` of them is left out: `LEAST_MARGIN` holds there.
+    reach: all those that `learn` leaves, whole. A length with fewer than `ENOUGH` of them is left out:
+    `LEAST_MARGIN` holds there.
     """
-    labelled, _ = _in_turn(docs, id_col, text_col, lang_col)
-    sample = labelled.filter(~_learned_from() & (F.col("turn") < F.least(
-        F.lit(float(4 * DICTIONARY_BYTES // SAMPLE_CHARS)), F.col("n") * (1 - LEFT)) + CALIBRATED))
+    left = _labelled(docs, id_col, text_col, lang_col).filter("is_left")
     classifier = _judging(dictionaries)
 
     def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -108,19 +124,32 @@ def margins(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_
             [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[2] for f in found], pa.float64()),
              pa.array([f[3].bit_length() for f in found], pa.int32())], ["lang", "lang_pred", "margin", "bits"])
 
-    judged = sample.select("lang", "text").mapInArrow(
+    judged = left.select("lang", "text").mapInArrow(
         over_batches(measure), "lang string, lang_pred string, margin double, bits int").filter("lang = lang_pred")
-    low = judged.groupBy("bits").agg(F.count("*").alias("n"), F.percentile("margin", LOW).alias("low")).collect()
-    return {r["bits"]: max(LEAST_MARGIN, PART * r["low"]) for r in low if r["n"] >= ENOUGH}
+    return {bits: max(LEAST_MARGIN, PART * low) for bits, low in _reached(judged).items()}
+
 
+def _reached(judged: DataFrame) -> dict[int, float]:
+    """The margin that all but `LOW` of the rows reach, exactly, for each `bits` with `ENOUGH` rows.
 
-def _dictionary(texts: list[tuple[int, str]]) -> bytes:
-    held = b""
-    for _, text in texts:
-        held += letters(text).encode() + b" "
-        if len(held) > DICTIONARY_BYTES:
-            break
-    return held[:DICTIONARY_BYTES]
+    Equal margins are counted first and put in order per stretch of margins; only the rows beside
+    the wanted place come to the driver, two a length.
+    """
+    counts = judged.groupBy("bits", "margin").agg(F.count("*").alias("rows")).withColumn(
+        BLOCK_OF, F.floor(F.col("margin") * 4096))
+    others = from_earlier_blocks(counts, ["bits"], {"before": (F.sum("rows"), F.sum)}, {"n": (F.sum("rows"), F.sum)})
+    upto = (F.sum("rows").over(so_far(["bits"], "margin")) + F.coalesce("before", F.lit(0))).alias("upto")
+    place = (F.col("n") - 1) * LOW
+    beside = (counts.join(others, ["bits", BLOCK_OF]).filter(F.col("n") >= ENOUGH)
+              .select("bits", "margin", "rows", "n", upto)
+              .filter((F.col("upto") > F.floor(place)) & (F.col("upto") - F.col("rows") <= F.ceil(place)))).collect()
+    low: dict[int, float] = {}
+    for bits in {r["bits"] for r in beside}:
+        found = sorted((r["margin"], r["upto"], r["n"]) for r in beside if r["bits"] == bits)
+        at = (found[0][2] - 1) * LOW
+        first, last = found[0][0], next(m for m, upto, _ in found if upto > math.ceil(at))
+        low[bits] = first + (last - first) * (at - math.floor(at))
+    return low
 
 
 class Classifier:
