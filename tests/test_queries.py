@@ -1,6 +1,7 @@
 """Every registered query against its SQL in DuckDB, on the same tables."""
 
 import math
+from datetime import datetime, timedelta
 
 import duckdb
 import pytest
@@ -60,3 +61,22 @@ def test_state_processors_run_in_a_session_of_defaults(spark, database, sf):
     ours = plain(driver.queries()[name](plain_session, sf).toPandas())
     assert ours == plain(database.sql(driver.oracle_sql()[name]).df())
     assert plain_session.conf.get(provider) == default
+
+
+@pytest.mark.parametrize("name", ["stream_running_avg_changelog", "stream_session_average"])
+def test_steps_of_many_files_in_no_order(spark, tmp_path, name):
+    """A step that takes more files than a micro-batch once read, each with records from its beginning to its end."""
+    start = datetime(2024, 1, 1)
+    events = [(i, start + timedelta(minutes=i), i % 5, "view", float(i % 97), "{}") for i in range(3000)]
+    frame = spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+                                  "props string").repartition(20, "value")
+    frame.write.parquet(f"{tmp_path}/events.parquet")
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+        theirs = plain(con.sql(driver.oracle_sql()[name]).df())
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a task for each file
+    try:
+        ours = plain(driver.queries()[name](spark, str(tmp_path)).toPandas())
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert ours == theirs

@@ -35,10 +35,6 @@ from windflow.streaming.state import state_table
 STEPS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 
 
-# Files that a micro-batch reads at most.
-FILES_PER_BATCH = 8
-
-
 class _Run:
     """One run's own place in the shared folder, with its topic log. The session is left as it is; the
     log and the job's state go when the run is over, and its output stays."""
@@ -62,7 +58,9 @@ class _Run:
             text_key.alias("key"), codec.encode().alias("value")), self.log)
 
     def stream(self, topic: str, **options) -> DataFrame:
-        return topic_log.stream_topics(self.spark, self.log, [topic], max_files=FILES_PER_BATCH, **options)
+        """All that is new in a topic as one micro-batch: tasks write a step's files side by side, so
+        between these files there is no order, and jobs want one from each micro-batch to the next."""
+        return topic_log.stream_topics(self.spark, self.log, [topic], **options)
 
     def over(self) -> None:
         for folder in (self.log, self.checkpoint):

@@ -16,7 +16,7 @@ from windflow.operators.blocks import BLOCK_WIDTH
 from windflow.operators.joins import enrich_as_of, join_within
 from windflow.operators.windows import with_stream_time
 from windflow.streaming.sinks import BatchLog
-from windflow.streaming.slots import CLOCKS, Slots, advanced, as_side, other_clock
+from windflow.streaming.slots import CLOCKS, Slots, advanced, as_side, other_clock, reads_once
 
 _SIDES = ("left", "right")
 
@@ -74,6 +74,7 @@ class ExactRangeJoin(_TwoSided):
     def _kept(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return self.slots.left_by(spark, "rows", batch_id, self._stored).filter("not is_over").select(*self.held.names)
 
+    @reads_once
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if self.out.is_committed(spark, batch_id):
@@ -131,6 +132,7 @@ class AsOfJoin(_TwoSided):
     def _state(self, spark: SparkSession, name: str, batch_id: int) -> DataFrame:
         return self.slots.left_by(spark, name, batch_id, self._stored)
 
+    @reads_once
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if self.out.is_committed(spark, batch_id):

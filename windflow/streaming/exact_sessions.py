@@ -18,7 +18,7 @@ from windflow.operators.blocks import BLOCK_WIDTH
 from windflow.operators.windows import (
     SESSION_BLOCK, as_sessions, is_final, joined_intervals, session_slots, with_stream_time)
 from windflow.streaming.sinks import BatchLog
-from windflow.streaming.slots import CLOCKS, Slots, advanced
+from windflow.streaming.slots import CLOCKS, Slots, advanced, computed_once, reads_once
 
 
 class ExactSessions:
@@ -42,6 +42,7 @@ class ExactSessions:
         self._stored = T.StructType([*self._sessions.fields, T.StructField("is_over", T.BooleanType())])
         self.closed = BatchLog(f"{path.rstrip('/')}/closed", self._sessions, ())
 
+    @reads_once
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if self.closed.is_committed(spark, batch_id):
@@ -57,9 +58,10 @@ class ExactSessions:
         intervals = session_slots(kept, self.keys, "at", "amount", self.gap).unionByName(
             open_before.select(*self._sessions.names))
         clocks = advanced(self.slots, clocks_before, rows, batch_id)
-        joined = joined_intervals(intervals, self.keys, self.gap, self.session_width).join(clocks, "log").withColumn(
-            "is_over", is_final(F.col("last"), F.col("clock"), self.gap, self.grace))
-        written = self.slots.write(joined.select(*self._stored.names), "sessions", batch_id, ("is_over",))
+        with computed_once(intervals) as kept_intervals:
+            joined = joined_intervals(kept_intervals, self.keys, self.gap, self.session_width).join(
+                clocks, "log").withColumn("is_over", is_final(F.col("last"), F.col("clock"), self.gap, self.grace))
+            written = self.slots.write(joined.select(*self._stored.names), "sessions", batch_id, ("is_over",))
         self.closed.write(written.filter("is_over").select(*self._sessions.names), batch_id)
 
     def results(self, spark: SparkSession) -> DataFrame:

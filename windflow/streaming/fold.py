@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from windflow.operators.aggregates import Fold, custom_fold, latest_by_key
 from windflow.operators.blocks import BLOCK_WIDTH
 from windflow.streaming.sinks import BatchLog
-from windflow.streaming.slots import Slots
+from windflow.streaming.slots import Slots, reads_once
 
 Initializer = Callable[[], tuple]
 Aggregator = Callable[[str, pd.DataFrame, tuple], tuple]
@@ -76,6 +76,7 @@ class MergedFolds:
         self._kept = T.StructType([T.StructField(key, rows.schema[key].dataType), T.StructField(name, accumulator)])
         self.changes = BatchLog(f"{path.rstrip('/')}/changes", self._kept, ())
 
+    @reads_once
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if self.changes.is_committed(spark, batch_id):

@@ -19,6 +19,7 @@ from windflow.operators.blocks import BLOCK_WIDTH
 from windflow.operators.windows import open_windows, with_stream_time
 from windflow.schemas import struct_of
 from windflow.streaming.sinks import BatchLog
+from windflow.streaming.slots import reads_once
 
 
 # A batch reads the state of the one before and replaces its own: three slots are more than enough.
@@ -65,6 +66,7 @@ class ExactFinalWindows:
         return (windows.filter(~F.col("is_closed")).drop("is_closed"),
                 spark.read.schema(self._clocks).parquet(self._slot("clocks", batch_id)))
 
+    @reads_once
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if self.closed.is_committed(spark, batch_id):

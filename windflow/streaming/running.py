@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from windflow.operators.aggregates import present, running_average
 from windflow.operators.blocks import BLOCK_WIDTH
 from windflow.streaming.sinks import BatchLog
-from windflow.streaming.slots import Slots
+from windflow.streaming.slots import Slots, reads_once
 
 
 class RunningAverages:
@@ -31,6 +31,7 @@ class RunningAverages:
             *rows.schema.fields, T.StructField("sum_power", T.DoubleType()),
             T.StructField("num_data_points", T.LongType()), T.StructField("average", T.DoubleType())]), ())
 
+    @reads_once
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if self.changes.is_committed(spark, batch_id):

@@ -6,6 +6,10 @@ gives the same result. Three slots in turns are more than enough, and nothing pi
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +19,25 @@ from windflow.streaming.sinks import read_if_there
 _SLOTS = 3
 
 
+@contextmanager
+def computed_once(df: DataFrame) -> Iterator[DataFrame]:
+    """`df`, kept by the executors (in memory, then on disk) while several tables are made of it."""
+    kept = df.persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
+def reads_once(take: Callable[..., None]) -> Callable[..., None]:
+    """A `foreachBatch` method that makes several tables of its micro-batch, read and decoded for all of them once."""
+    @functools.wraps(take)
+    def taken(self, batch: DataFrame, batch_id: int) -> None:
+        with computed_once(batch) as kept:
+            take(self, kept, batch_id)
+    return taken
+
+
 class Slots:
     """Tables of one job under `path`."""
 
