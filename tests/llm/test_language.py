@@ -1,6 +1,9 @@
 import random
+import sys
+import unicodedata
 import zlib
 
+import pyarrow as pa
 import pytest
 from edges import ROWS, edge_docs
 from pyspark.sql import functions as F
@@ -116,3 +119,33 @@ def test_margin_reached_is_the_exact_percentile(spark):
         F.percentile("margin", language.LOW).alias("low")).collect()}
     assert language._reached(frame) == pytest.approx(exact)
     assert language._reached(frame.limit(0)) == {}
+
+
+def test_margins_judge_each_text_once(spark):
+    docs = edge_docs(spark, [(i, f"some words {i}") for i in range(600)]).withColumn("lang", F.lit("aa"))
+    left = language._labelled(docs, "doc_id", "text", "lang").filter("is_left").count()
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    assert language.margins(docs.withColumn("text", counted("text")), {"aa": b"some words "}) == {4: language.PART}
+    assert read.value == left >= language.ENOUGH
+
+
+def test_letters_of_every_character():
+    """A character alone and between letters: letters stay, all else parts words."""
+    for code in {*range(sys.maxunicode + 1)} - {*range(0xD800, 0xE000)}:
+        for text in (chr(code), f"A{chr(code)}b"):
+            plain = "".join([c if unicodedata.category(c)[0] == "L" else " " for c in text.lower()])
+            assert language.letters(text) == " ".join(plain.split())
+
+
+def test_words_are_counted_per_language():
+    long = "x" * (2 * language.BLOCK + 1)
+    rows = pa.RecordBatch.from_pydict({"lang": ["b", "a", "b", "b", "a"], "text": ["Und und, 5 und", "und", None, long, ""]})
+    found = [r for made in language._count_words(iter([rows, rows])) for r in made.to_pylist()]
+    assert sorted((r["lang"], r["word"], r["n"]) for r in found) == [
+        ("a", "und", 2), ("b", "und", 6), ("b", "x", 2), ("b", "x" * language.BLOCK, 4)]

@@ -9,15 +9,14 @@ learned from. Every labelled text is used, whole: three in four for the words, t
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from windflow.llm.common import over_batches, slices
+from windflow.llm.common import Scratch, over_batches, slices
 from windflow.operators.blocks import BLOCK as BLOCK_OF
 from windflow.operators.blocks import from_earlier_blocks, so_far
 
@@ -38,15 +37,25 @@ LOW, PART, ENOUGH = 0.01, 1 / 3, 50
 # The share of the labelled documents that is left for it.
 LEFT = 0.25
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+class _Plain(dict):
+    """For `str.translate`: letters as they are, all else a space; what a character is, is asked once."""
+
+    def __missing__(self, code: int) -> str:
+        self[code] = found = chr(code) if chr(code).isalpha() else " "
+        return found
+
+
+_plain = _Plain()
+
+
+def _words(text: str) -> list[str]:
+    """Lower-cased words of letters; numerals that are no digits, such as fractions, are no letters."""
+    return text.lower().translate(_plain).split()
 
 
 def letters(text: str) -> str:
-    """Lower-cased words of letters, a space between two."""
-    plain = _NOT_LETTERS.sub(" ", text.lower())
-    if not plain.isascii():  # numerals that are no digits, such as fractions, are no letters
-        plain = _NOT_LETTERS.sub(" ", "".join([c if c.isalpha() or c == " " else " " for c in plain]))
-    return " ".join(plain.split())
+    """The words of a text, a space between two."""
+    return " ".join(_words(text))
 
 
 def training_rows(docs: DataFrame) -> Column:
@@ -64,21 +73,23 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Dat
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """`lang`, `word`, `n`: counts for Spark to add up. A word longer than a block counts as the pieces of it."""
-    counts: Counter[tuple[str, str]] = Counter()
+    counts: defaultdict[str, Counter[str]] = defaultdict(Counter)
 
     def counted() -> pa.RecordBatch:
         made = pa.RecordBatch.from_arrays(
-            [pa.array([lang for lang, _ in counts], pa.string()), pa.array([word for _, word in counts], pa.string()),
-             pa.array(counts.values(), pa.int64())], ["lang", "word", "n"])
+            [pa.array([lang for lang, words in counts.items() for _ in words], pa.string()),
+             pa.array([word for words in counts.values() for word in words], pa.string()),
+             pa.array([n for words in counts.values() for n in words.values()], pa.int64())], ["lang", "word", "n"])
         counts.clear()
         return made
 
     for batch in (part for whole in batches for part in slices(whole)):
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            for word, n in Counter(letters(text or "").split()).items():
-                for i in range(0, len(word), BLOCK):
-                    counts[lang, word[i:i + BLOCK]] += n
-        if len(counts) >= WORDS_AT_ONCE:
+            words = _words(text or "")
+            if max(map(len, words), default=0) > BLOCK:
+                words = [word[i:i + BLOCK] for word in words for i in range(0, len(word), BLOCK)]
+            counts[lang].update(words)
+        if sum(map(len, counts.values())) >= WORDS_AT_ONCE:
             yield counted()
     yield counted()
 
@@ -133,10 +144,16 @@ def _reached(judged: DataFrame) -> dict[int, float]:
     """The margin that all but `LOW` of the rows reach, exactly, for each `bits` with `ENOUGH` rows.
 
     Equal margins are counted first and put in order per stretch of margins; only the rows beside
-    the wanted place come to the driver, two a length.
+    the wanted place come to the driver, two a length. The counts are used twice: they are kept in the
+    shared folder, so that each text is judged once.
     """
-    counts = judged.groupBy("bits", "margin").agg(F.count("*").alias("rows")).withColumn(
-        BLOCK_OF, F.floor(F.col("margin") * 4096))
+    with Scratch(judged.sparkSession) as scratch:
+        return _at_place(scratch.table(judged.groupBy("bits", "margin").agg(F.count("*").alias("rows")), "margins"))
+
+
+def _at_place(counts: DataFrame) -> dict[int, float]:
+    """`_reached` from the number of `rows` of each `bits` and `margin`."""
+    counts = counts.withColumn(BLOCK_OF, F.floor(F.col("margin") * 4096))
     others = from_earlier_blocks(counts, ["bits"], {"before": (F.sum("rows"), F.sum)}, {"n": (F.sum("rows"), F.sum)})
     upto = (F.sum("rows").over(so_far(["bits"], "margin")) + F.coalesce("before", F.lit(0))).alias("upto")
     place = (F.col("n") - 1) * LOW
